@@ -14,6 +14,7 @@ from tidetable.functions.timefuncs import (
     in_time_range,
     is_datetime,
 )
+from tidetable.session import written
 
 # Aggregates with the value an empty period has; NULL unless listed.
 AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg, "count": F.count}
@@ -73,10 +74,6 @@ def value_counts(df: DataFrame, column: str, name: str = "count") -> DataFrame:
     )
 
 
-# Steps a spine is opened in, so that no single array grows with the time span.
-_SPINE_CHUNK = 4096
-
-
 def _step_of(unit: str, seconds: Column) -> Column:
     """Number of the period holding ``seconds``; consecutive periods differ by one."""
     if unit in SECONDS_PER:
@@ -118,6 +115,9 @@ def resample(
     period's first second, or with ``label="end"`` the start of its last day (for units
     shorter than a day: the start itself). Empty periods hold NULL, but 0 for sums and
     counts.
+
+    The grouped rows are written to the shared folder at once, so the input is read one
+    time; the periods between the first and the last then come from a range of known size.
     """
     unit = check_unit(unit)
     if label not in ("start", "end"):
@@ -132,12 +132,10 @@ def resample(
         .groupBy(step)
         .agg(*_aggregates(aggs))
     )
-    span = filled.agg(F.min(step).alias("lo"), F.max(step).alias("hi")).where("lo IS NOT NULL")
-    chunks = span.select(
-        F.explode(F.sequence("lo", "hi", F.lit(_SPINE_CHUNK).cast("bigint"))).alias("at"), "hi"
-    )
-    upto = F.least(F.col("hi"), F.col("at") + F.lit(_SPINE_CHUNK - 1))
-    spine = chunks.select(F.explode(F.sequence("at", upto)).alias(step))
+    filled = written(filled, "resample")
+    first, last = filled.agg(F.min(step), F.max(step)).first()
+    span = (0, 0) if first is None else (first, last + 1)
+    spine = df.sparkSession.range(*span).withColumnRenamed("id", step)
     start = _start_of(unit, F.col(step))
     if label == "end" and unit not in ("second", "minute", "hour"):
         start = _start_of(unit, F.col(step) + F.lit(1)) - F.lit(SECONDS_PER["day"])

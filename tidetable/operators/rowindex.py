@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidetable.session import scratch_path
+from tidetable.session import written
 
 # monotonically_increasing_id() holds the partition number above these bits and the
 # position inside the partition in them.
@@ -28,7 +27,6 @@ def add_row_index(
     """
     if name in df.columns:
         raise ValueError(f"the frame already has a column {name!r}")
-    spark = df.sparkSession
     slot, tie, copy = "_slot", "_tie", "_copy"
     ordered = df
     if order_by is not None:
@@ -38,11 +36,7 @@ def add_row_index(
         ordered = df.withColumns({tie: F.xxhash64(*hashed), copy: F.monotonically_increasing_id()})
         keys = [*keys, F.col(tie), F.col(copy)]
         ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie, copy)
-    path = scratch_path(spark, "rowindex")
-    ordered.withColumn(slot, F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.schema(
-        T.StructType([*df.schema.fields, T.StructField(slot, T.LongType())])
-    ).parquet(path)
+    numbered = written(ordered.withColumn(slot, F.monotonically_increasing_id()), "rowindex")
 
     part = F.shiftright(F.col(slot), _POSITION_BITS)
     position = F.col(slot).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))

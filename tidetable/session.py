@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Unix-second arithmetic needs UTC; a join followed by a grouping on the same key
 # is only split by AQE when the extra shuffle is allowed explicitly.
@@ -91,3 +91,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path in the shared folder, never used before."""
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder now and return a frame that reads it back.
+
+    Cuts the lineage in a way that survives the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
