@@ -81,7 +81,8 @@ def conform_checked(df: DataFrame, schema: T.StructType, evolve: bool = False) -
             bad = source.isNotNull() & target.isNull()
             if isinstance(f.dataType, T.ArrayType):
                 # A bad element turns NULL inside an array that itself survives.
-                bad = bad | (_nulls_in(target) > _nulls_in(source))
+                worse = _nulls_in(target) > _nulls_in(source)
+                bad = bad | F.coalesce(worse, F.lit(False))
             tests.append((bad, f"{f.name} is not {f.dataType.simpleString()}"))
     if "time" in df.columns:
         tests.append((F.col("time").isNull(), "time is null"))
