@@ -5,17 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidetable.llm.frames import table
+from tidetable.llm.token_counts import count_tokens
 from tidetable.llm.token_files import tokens_round_trip
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(table(spark, sf_dir, "documents"), budget=1024)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "budget_chars")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_round_trip(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_token_files,)
+    f.__name__: f for f in (op6_token_counts, op7_token_files)
 }
 
 #: SQL with the same rows, where SQL can express them.
