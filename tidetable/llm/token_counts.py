@@ -13,10 +13,9 @@ repeated, an empty table gives an empty result; null ids stay null.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidetable.llm.encoding import BYTE_BPE, MOST_CHARS, MOST_PIECES, tokenizer_path
+from tidetable.llm.encoding import BYTE_BPE, LONE_SPACES, PieceTable, text_bytes, tokenizer_path
 from tidetable.llm.frames import text_runs, whole_text
 
 # Fixed values of the public byte-level vocabularies: the pattern that cuts text into words,
@@ -37,13 +36,11 @@ WORDS = (
 LONG_ENDINGS = ("'re", "'ve", "'ll")
 SELF_SHOWN = (range(33, 127), range(161, 173), range(174, 256))
 
-#: Bound of the worker's table of token pairs.
-MOST_PAIRS = 1_000_000
+#: Bounds of the worker's tables of token pairs and of words.
+MOST_PAIRS, MOST_WORDS = 1_000_000, 400_000
 
 _words = regex.compile(WORDS)
 _white = regex.compile(r"\p{White_Space}+")
-#: Where white space stands beside a space, the end of a prefix may change the word before it.
-_space_pair = re.compile(r" \s|\s ")
 
 SUMMARY = "doc_id long, n_bytes long, n_tokens long, budget_chars long"
 
@@ -55,15 +52,19 @@ def byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class PrefixCounter:
-    """Counts tokens at every code point of texts, for a byte-level vocabulary file."""
+class PrefixCounter(PieceTable):
+    """Counts tokens at every code point of texts, for a byte-level vocabulary file.
+
+    Where white space stands beside a space, the end of a prefix may change the word before it;
+    there a text is not cut into pieces.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             saved = json.load(f)
-        self.special = [t["content"] for t in saved["added_tokens"]]
+        self.added = [t["content"] for t in saved["added_tokens"]]
         sign, vocab = byte_of_sign(), saved["model"]["vocab"]
-        added = set(self.special)
+        added = set(self.added)
         self.ids = {bytes(sign[c] for c in t): i for t, i in vocab.items() if t not in added}
         self.bytes = {i: b for b, i in self.ids.items()}
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
@@ -75,15 +76,8 @@ class PrefixCounter:
             self.suffixes.add_word(raw.decode("latin-1"), (len(raw), i))
         self.suffixes.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
         self.words: dict[str, list[int]] = {}
-        self.slots: dict = {}
-        self.chars = self.used = 0
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
+        super().__init__(LONE_SPACES, self.added)
 
     def merged(self, raw: bytes) -> list[int]:
         """The ids of ``raw`` by merging its bytes, lowest rank first."""
@@ -131,8 +125,9 @@ class PrefixCounter:
                 known = [known[i] for i in range(len(raw)) if i + 1 == len(raw) or raw[i + 1] & 0xC0 != 0x80]
             if word in LONG_ENDINGS:
                 known = [known[0], 2, known[2]]  # cut short, the pattern takes its signs apart
+            if len(self.words) > MOST_WORDS:
+                self.words.clear()
             self.words[word] = known
-            self.chars += len(word)
         return known
 
     def plain_counts(self, text: str) -> list[int]:
@@ -155,7 +150,7 @@ class PrefixCounter:
         """Counts after each code point; a special string is one token once it is complete."""
         out: list[int] = []
         base, rest = 0, text
-        while found := [(rest.find(s), s) for s in self.special if s in rest]:
+        while found := [(rest.find(s), s) for s in self.added if s in rest]:
             at, special = min(found)
             out += [base + n for n in self.plain_counts(rest[:at] + special[:-1])]
             base = (out[len(out) - len(special)] if at else base) + 1
@@ -163,47 +158,29 @@ class PrefixCounter:
             rest = rest[at + len(special) :]
         return out + [base + n for n in self.plain_counts(rest)]
 
-    def learn(self, keys: list) -> None:
-        found = [self.plain_counts(k[0] if isinstance(k, tuple) else f" {k}") for k in keys]
-        count, total = len(self.slots), sum(map(len, found))
-        while count + len(keys) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+    def learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.plain_counts(p.decode()) for p in pieces]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.flat[self.used : self.used + total] = np.fromiter((n for x in found for n in x), np.int32, total)
-        self.sizes[count : count + len(keys)] = sizes
-        self.starts[count : count + len(keys)] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.chars += total
-        self.slots.update(zip(keys, range(count, count + len(keys)), strict=True))
-
-    def parts(self, text: str, at_once: int = 200_000) -> Iterator[np.ndarray]:
-        """The counts after each code point, in consecutive parts of a bounded number of pieces."""
-        if len(self.slots) > MOST_PIECES or self.chars > MOST_CHARS:
-            self.forget()
-        if _space_pair.search(text) or any(s in text for s in self.special):
-            yield np.array(self.text_counts(text), np.int64)
-            return
-        pieces: list = text.split(" ")
-        pieces[0] = (pieces[0],)
-        base, get = 0, self.slots.get
-        for i in range(0, len(pieces), at_once):
-            some = pieces[i : i + at_once]
-            found = np.fromiter(map(get, some, repeat(-1)), np.int64, len(some))
-            missing = np.flatnonzero(found < 0)
-            if len(missing):
-                new = [some[k] for k in missing.tolist()]
-                self.learn(list(dict.fromkeys(new)))
-                found[missing] = np.fromiter(map(get, new), np.int64, len(new))
-            sizes, starts = self.sizes[found], self.starts[found]
-            totals = np.where(sizes > 0, self.flat[starts + np.maximum(sizes, 1) - 1], 0)
-            bases = base + np.cumsum(totals) - totals
-            after = np.cumsum(sizes)
-            at = np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1])
-            yield self.flat[at] + np.repeat(bases, sizes)
-            base += int(totals.sum())
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def prefix_counts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The counts after each code point of all texts in a row, and the texts' code points."""
+        data, bounds = text_bytes(column)
+        starts, stops = self.pieces(data, bounds)
+        found = self.look_up(data, starts, stops)
+        counts, sizes = self.values(found)
+        after = np.cumsum(sizes)
+        totals = np.r_[0, np.cumsum(counts[after - 1], dtype=np.int64)] if len(after) else np.zeros(1, np.int64)
+        pieces = np.searchsorted(starts, bounds)
+        bases = totals[:-1] - np.repeat(totals[pieces[:-1]], np.diff(pieces))
+        counts = counts + np.repeat(bases, sizes)
+        chars = np.diff(np.r_[0, after][pieces])
+        if len(held := self.held_special(data, bounds)):
+            rows = np.split(counts, np.cumsum(chars)[:-1])
+            for k in held.tolist():
+                rows[k] = np.array(self.text_counts(column[k].as_py()), np.int64)
+            counts, chars = np.concatenate(rows), np.array([len(r) for r in rows])
+        return counts, chars
 
 
 @lru_cache(maxsize=2)
@@ -219,18 +196,15 @@ def count_tokens(docs: DataFrame, budget: int, tokenizer: str = BYTE_BPE) -> Dat
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_runs(batches):
             counter = prefix_counter(tokenizer)
-            tokens, fitting = [], []
-            texts = batch.column("text").to_pylist()
-            for text in texts:
-                total = seen = longest = 0
-                for part in counter.parts(text):
-                    if len(part):
-                        total = int(part[-1])
-                        within = np.flatnonzero(part <= budget)
-                        longest = seen + int(within[-1]) + 1 if len(within) else longest
-                        seen += len(part)
-                tokens.append(total)
-                fitting.append(longest)
+            counts, chars = counter.prefix_counts(batch.column("text"))
+            ends = np.cumsum(chars)
+            tokens = np.where(chars > 0, counts[np.maximum(ends - 1, 0)], 0) if len(counts) else chars
+            places = np.arange(1, len(counts) + 1) - np.repeat(ends - chars, chars)
+            filled = np.flatnonzero(chars)
+            fitting = np.zeros(len(chars), np.int64)
+            if len(filled):
+                fits = np.where(counts <= budget, places, 0)
+                fitting[filled] = np.maximum.reduceat(fits, (ends - chars)[filled])
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -252,12 +226,10 @@ def prefix_tables(docs: DataFrame, tokenizer: str = BYTE_BPE) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_runs(batches, 1 << 20):
             counter = prefix_counter(tokenizer)
-            tables = [
-                np.concatenate([np.zeros(0, np.int64), *counter.parts(text)]).tolist()
-                for text in batch.column("text").to_pylist()
-            ]
+            counts, chars = counter.prefix_counts(batch.column("text"))
+            tables = pa.ListArray.from_arrays(np.r_[0, np.cumsum(chars)].astype(np.int32), counts.astype(np.int32))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "counts": pa.array(tables, pa.list_(pa.int32()))}
+                {"doc_id": batch.column("doc_id"), "counts": tables}
             )
 
     return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(

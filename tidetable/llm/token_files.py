@@ -37,7 +37,7 @@ MAGIC = b"PFORIDS1"
 _head, _tail = struct.Struct("<IBH"), struct.Struct("<QQQQ8s")
 
 MANIFEST = "file string, docs long, tokens long, first_id long, first_tie long"
-READ = "file string, doc_id long, position long, n_tokens long, ids_crc32 long"
+READ = "doc_id long, start long, n_tokens long, ids_crc32 long, file string, position long"
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
@@ -47,17 +47,19 @@ def bit_lengths(values: np.ndarray) -> np.ndarray:
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of unsigned values as rows of packed bytes, ``width`` bits a value."""
-    bits = np.unpackbits(np.ascontiguousarray(values, "<u4").view(np.uint8), bitorder="little")
-    kept = bits.reshape(*values.shape, 32)[:, :, :width]
+    size = 2 if width <= 16 else 4
+    bits = np.unpackbits(np.ascontiguousarray(values, f"<u{size}").view(np.uint8), bitorder="little")
+    kept = bits.reshape(*values.shape, 8 * size)[:, :, :width]
     return np.packbits(kept.reshape(len(values), -1), axis=1, bitorder="little")
 
 
 def unpack_bits(packed: np.ndarray, width: int, count: int) -> np.ndarray:
     """The reverse of :func:`pack_bits`, for rows of ``count`` values."""
     bits = np.unpackbits(packed, axis=1, bitorder="little")[:, : width * count]
-    wide = np.zeros((len(packed), count, 32), np.uint8)
+    size = 2 if width <= 16 else 4
+    wide = np.zeros((len(packed), count, 8 * size), np.uint8)
     wide[:, :, :width] = bits.reshape(len(packed), count, width)
-    return np.packbits(wide.reshape(len(packed), -1), axis=1, bitorder="little").view("<u4")
+    return np.packbits(wide.reshape(len(packed), -1), axis=1, bitorder="little").view(f"<u{size}")
 
 
 def encode_blocks(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
@@ -200,7 +202,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = first = None
         for batch in text_runs(batches):
-            ids, counts = piece_encoder(tokenizer).encode(batch.column("text").to_pylist())
+            ids, counts = piece_encoder(tokenizer).encode(batch.column("text"))
             if writer is None:
                 store, path = open_store(folder)
                 name = f"{uuid.uuid4().hex}.pfor"
@@ -222,12 +224,12 @@ def write_token_files(
 
 
 def read_token_files(manifest: DataFrame, folder: str, at_once: int = 1 << 20) -> DataFrame:
-    """A row for each document in the files: file, doc_id, its first token's position in the
-    file, its number of tokens and the crc32 of them all as unsigned 32-bit integers."""
+    """A row for each document in the files: doc_id, its start in the whole sequence, its number
+    of tokens, the crc32 of them all as unsigned 32-bit integers, its file and position there."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = open_store(folder)
-        for name in (n for batch in batches for n in batch.column("file").to_pylist()):
+        for name, before in ((r["file"], r["base"]) for batch in batches for r in batch.to_pylist()):
             with store.open_input_file(f"{path}/{name}") as source:
                 reader = TokenReader(source)
                 ends = np.append(reader.firsts[1:], reader.tokens)
@@ -244,17 +246,19 @@ def read_token_files(manifest: DataFrame, folder: str, at_once: int = 1 << 20) -
                             sums.append(zlib.crc32(ids[a - base : b - base]))
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "file": pa.array([name] * (after - begin), pa.string()),
                             "doc_id": pa.array(reader.doc_ids[begin:after], pa.int64()),
-                            "position": pa.array(reader.firsts[begin:after], pa.int64()),
+                            "start": pa.array(reader.firsts[begin:after] + before, pa.int64()),
                             "n_tokens": pa.array((ends - reader.firsts)[begin:after], pa.int64()),
                             "ids_crc32": pa.array(sums, pa.int64()),
+                            "file": pa.array([name] * (after - begin), pa.string()),
+                            "position": pa.array(reader.firsts[begin:after], pa.int64()),
                         }
                     )
                     begin = after
 
-    files = manifest.select("file").repartition(max(1, manifest.count()), "file")
-    return files.mapInArrow(read, READ)
+    before = Window.orderBy(F.asc_nulls_first("first_id"), "first_tie").rowsBetween(Window.unboundedPreceding, -1)
+    bases = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
+    return bases.repartition(max(1, manifest.count()), "file").mapInArrow(read, READ)
 
 
 def crc_of_range(reader: TokenReader, begin: int, end: int, at_once: int) -> int:
@@ -268,13 +272,8 @@ def crc_of_range(reader: TokenReader, begin: int, end: int, at_once: int) -> int
 def tokens_round_trip(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 0) -> DataFrame:
     """Write ``docs`` as token files, read them back and place every document in the whole sequence.
 
-    Columns: doc_id, start, n_tokens, ids_crc32, file, position (its first token's place there).
+    The columns are those of :func:`read_token_files`.
     """
     folder = work_path(docs.sparkSession, "tokens")
     manifest = write_token_files(docs, folder, tokenizer, end_id)
-    before = Window.orderBy(F.asc_nulls_first("first_id"), "first_tie").rowsBetween(Window.unboundedPreceding, -1)
-    bases = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    rows = read_token_files(manifest, folder)
-    return rows.join(bases, "file").select(
-        "doc_id", (F.col("base") + F.col("position")).alias("start"), "n_tokens", "ids_crc32", "file", "position"
-    )
+    return read_token_files(manifest, folder)
