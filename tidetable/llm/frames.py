@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -19,6 +20,15 @@ def work_path(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/corpus/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
+def find_code(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver does, if they can see that folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder now and read it back, which cuts its lineage."""
     path = work_path(df.sparkSession, tag)
@@ -34,6 +44,7 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -74,13 +85,15 @@ def prefix_sums(values: Column, block: int = 256) -> Column:
     return F.when(n <= 0, zero).when(n <= block, running(values)).otherwise(spread)
 
 
-def text_runs(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that the string column ``text`` of each holds about ``size`` bytes.
+def text_runs(
+    batches: Iterator[pa.RecordBatch], size: int = 2 << 20, column: str = "text"
+) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that a string or binary column of each holds about ``size`` bytes.
 
     A single longer text is a batch of its own.
     """
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
+        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         begin = held = 0
         for i, length in enumerate(lengths):
             if i > begin and held + length > size:

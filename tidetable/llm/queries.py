@@ -7,9 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidetable.llm.decontaminate import mark_contamination
 from tidetable.llm.frames import table
+from tidetable.llm.langid import languages
+from tidetable.llm.packing import packed
+from tidetable.llm.pii import KINDS, personal_spans, written_spans
+from tidetable.llm.simhash import near_duplicate_groups
+from tidetable.llm.spotsigs import edited_and_next
+from tidetable.llm.substring_dedup import deduplicated
 from tidetable.llm.token_counts import count_tokens
 from tidetable.llm.token_files import tokens_round_trip
+from tidetable.llm.warc import archived
+
+
+def op1_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = personal_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.array_join(F.concat(*[written_spans(kind, kind) for kind in KINDS]), ",")
+    everything = F.array_join(F.concat(*[written_spans(k, k) for k in KINDS], written_spans("terms", "term")), ",")
+    return spans.select(
+        "doc_id",
+        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        everything.alias("spans"),
+    )
+
+
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op3_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op4_relative_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +66,33 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_round_trip(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_and_next(table(spark, sf_dir, "documents"))
+
+
+def op9_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_token_counts, op7_token_files)
+    f.__name__: f
+    for f in (
+        op1_disclosure_pii,
+        op2_pattern_packing,
+        op3_language_filters,
+        op4_relative_lz_dedup,
+        op5_benchmark_windows,
+        op6_token_counts,
+        op7_token_files,
+        op8_spotsigs,
+        op9_pigeonring_simhash,
+        op10_indexed_warc,
+    )
 }
 
 #: SQL with the same rows, where SQL can express them.
