@@ -49,9 +49,10 @@ def test_read_table(spark, loaded, events):
     assert parsed.schema["time"].dataType.simpleString() == "timestamp"
 
 
-def test_default_limit(spark, db):
-    load_table(spark.range(10_001), f"{db}.big")
-    assert read_table(spark, f"{db}.big").count() == 10_000
+def test_all_rows_unless_limited(spark, db):
+    load_table(spark.range(25_000), f"{db}.big")
+    assert read_table(spark, f"{db}.big").count() == 25_000
+    assert read_table(spark, f"{db}.big", limit=10).count() == 10
 
 
 def test_run_query(spark, loaded, events, db, tmp_path):

@@ -1,13 +1,15 @@
 """Time arithmetic on unix seconds, as plain column expressions.
 
 Everything here folds to comparisons and built-in functions, so filters reach the
-parquet scan and aggregations stay inside generated code.
+parquet scan and aggregations stay inside generated code. Times without a zone are UTC,
+whatever zone the session is set to.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import numbers
+import re
 import zoneinfo
 
 import pandas as pd
@@ -70,6 +72,27 @@ def in_time_range(time: Column, start: object = None, end: object = None) -> Col
     return F.lit(True) if test is None else test
 
 
+def utc_day(time: Column) -> Column:
+    """The UTC date of unix seconds."""
+    width = F.lit(SECONDS_PER["day"]).cast("bigint")
+    return F.date_from_unix_date(F.call_function("div", time - F.pmod(time, width), width).cast("int"))
+
+
+def day_start(day: Column) -> Column:
+    """Unix seconds of a date's first second in UTC."""
+    return F.unix_date(day).cast("bigint") * F.lit(SECONDS_PER["day"])
+
+
+def ntz_epoch(stamp: Column) -> Column:
+    """Unix seconds of a timestamp without zone, read as UTC and floored."""
+    return (
+        day_start(stamp.cast("date"))
+        + F.hour(stamp) * F.lit(SECONDS_PER["hour"])
+        + F.minute(stamp) * F.lit(SECONDS_PER["minute"])
+        + F.second(stamp)
+    )
+
+
 def epoch_trunc(unit: str, time: Column, tz: str | None = None) -> Column:
     """Start of the period holding ``time``, as unix seconds."""
     name = check_unit(unit)
@@ -77,18 +100,22 @@ def epoch_trunc(unit: str, time: Column, tz: str | None = None) -> Column:
         width = SECONDS_PER[name]
         return time if width == 1 else time - F.pmod(time, F.lit(width).cast("bigint"))
     if tz is None:
-        return F.unix_seconds(F.date_trunc(name, F.timestamp_seconds(time)))
+        return day_start(F.trunc(utc_day(time), name))
     zone = F.lit(check_timezone(tz))
-    local = F.from_utc_timestamp(F.timestamp_seconds(time), zone)
-    return F.unix_seconds(F.to_utc_timestamp(F.date_trunc(name, local), zone))
+    local = F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(time), zone))
+    return F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(epoch_trunc(name, local)), zone))
 
 
 def epoch_format(time: Column, pattern: str, tz: str | None = None) -> Column:
-    """Format unix seconds with a Spark datetime pattern; literals may be part of it."""
+    """Format unix seconds with a Spark datetime pattern; literals may be part of it.
+
+    The wall clock shown is that of UTC or ``tz``. Spark formats in the session's zone, so
+    an hour that the session's zone skips is shown as the next one there.
+    """
     stamp = F.timestamp_seconds(time)
     if tz is not None:
         stamp = F.from_utc_timestamp(stamp, F.lit(check_timezone(tz)))
-    return F.date_format(stamp, pattern)
+    return F.date_format(F.to_utc_timestamp(stamp, F.current_timezone()), pattern)
 
 
 def is_datetime(kind: T.DataType) -> bool:
@@ -96,21 +123,39 @@ def is_datetime(kind: T.DataType) -> bool:
     return isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
+# A zone at the end of a text, after its time of day; the pattern letters that stand for one.
+_ZONE = r":[0-9.]+ ?([Zz]|[+-][0-9:]+|[A-Za-z]+[A-Za-z0-9/_+:-]*)$"
+_ZONE_LETTERS = "VzOXxZ"
+
+
+def _text_epoch(column: Column, pattern: str | None, lenient: bool) -> Column:
+    if pattern is None:
+        with_zone = F.try_to_timestamp(column) if lenient else F.to_timestamp(column)
+        without = column.try_cast("timestamp_ntz") if lenient else column.cast("timestamp_ntz")
+        return F.when(column.rlike(_ZONE), F.unix_seconds(with_zone)).otherwise(ntz_epoch(without))
+    letters = re.sub(r"'[^']*'", "", pattern)
+    if not any(c in letters for c in _ZONE_LETTERS):
+        column, pattern = F.concat(column, F.lit(" +0000")), f"{pattern} xx"
+    parsed = F.try_to_timestamp(column, F.lit(pattern)) if lenient else F.to_timestamp(column, pattern)
+    return F.unix_seconds(parsed)
+
+
 def as_epoch(
     column: Column, kind: T.DataType, parse_pattern: str | None = None, lenient: bool = False
 ) -> Column:
     """Turn any kind of time column into unix seconds, flooring fractions (C4).
 
-    Malformed text raises, or becomes NULL if ``lenient``.
+    Malformed text raises, or becomes NULL if ``lenient``. Text, dates and timestamps without
+    a zone are read as UTC.
     """
     if isinstance(kind, T.StringType):
-        parse = F.try_to_timestamp if lenient else F.to_timestamp
-        if parse_pattern is None:
-            return F.unix_seconds(parse(column))
-        pattern = F.lit(parse_pattern) if lenient else parse_pattern
-        return F.unix_seconds(parse(column, pattern))
-    if is_datetime(kind):
-        return F.unix_seconds(column.cast("timestamp"))
+        return _text_epoch(column, parse_pattern, lenient)
+    if isinstance(kind, T.TimestampNTZType):
+        return ntz_epoch(column)
+    if isinstance(kind, T.DateType):
+        return day_start(column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(column)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.floor(F.nanvl(column.cast("double"), F.lit(None).cast("double"))).cast("bigint")
     if isinstance(kind, T.DecimalType):

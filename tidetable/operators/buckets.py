@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tidetable.functions.timefuncs import (
     SECONDS_PER,
+    as_epoch,
     check_unit,
+    day_start,
     epoch_trunc,
     in_time_range,
     is_datetime,
+    utc_day,
 )
 from tidetable.session import written
 
@@ -82,8 +85,8 @@ def _step_of(unit: str, seconds: Column) -> Column:
         width = 7 * SECONDS_PER["day"]
         seconds = seconds + F.lit(3 * SECONDS_PER["day"])  # the epoch was a Thursday
     else:
-        stamp = F.timestamp_seconds(seconds)
-        months = F.year(stamp).cast("bigint") * F.lit(12) + F.month(stamp) - F.lit(1)
+        day = utc_day(seconds)
+        months = F.year(day).cast("bigint") * F.lit(12) + F.month(day) - F.lit(1)
         width = {"month": 1, "quarter": 3, "year": 12}[unit]
         return F.call_function("div", months, F.lit(width).cast("bigint"))
     wide = F.lit(width).cast("bigint")
@@ -99,7 +102,7 @@ def _start_of(unit: str, step: Column) -> Column:
     months = step * F.lit({"month": 1, "quarter": 3, "year": 12}[unit])
     year = F.call_function("div", months, F.lit(12).cast("bigint")).cast("int")
     month = (F.pmod(months, F.lit(12)) + F.lit(1)).cast("int")
-    return F.unix_seconds(F.make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    return day_start(F.make_date(year, month, F.lit(1)))
 
 
 def resample(
@@ -124,7 +127,7 @@ def resample(
         raise ValueError("label must be 'start' or 'end'")
     seconds = F.col(f"`{time}`")
     if is_datetime(df.schema[time].dataType):
-        seconds = F.unix_seconds(seconds.cast("timestamp"))
+        seconds = as_epoch(seconds, df.schema[time].dataType)
     step = "_step"
     filled = (
         df.withColumn(step, _step_of(unit, seconds))

@@ -99,13 +99,18 @@ def coerce(
     keep_arrays: bool = False,
     keep_bool: bool = False,
     keep: Collection[str] = (),
+    as_is: Collection[str] = (),
 ) -> DataFrame:
     """Coerce every column of ``df`` in one projection.
 
-    Arrays and booleans become text unless kept, all of them or those named in ``keep``.
+    Arrays and booleans become text unless kept, all of them or those named in ``keep``;
+    columns named in ``as_is`` are left alone.
     """
     columns = []
     for f in df.schema.fields:
+        if f.name in as_is:
+            columns.append(F.col(f"`{f.name}`"))
+            continue
         kept = f.name in keep
         column = coerced(F.col(f"`{f.name}`"), f.dataType, keep_arrays or kept, keep_bool or kept)
         columns.append(column.alias(f.name))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidetable.operators.coerce import clean_array, nan_to_null
 from tidetable.operators.timecols import TIME_TEXT
 
 # Type names table definitions may use, and their Spark names.
@@ -46,16 +47,56 @@ def _check_columns(df: DataFrame, schema: T.StructType, evolve: bool) -> list[st
     return extra
 
 
+def converted(column: Column, source: T.DataType, target: T.DataType, lenient: bool = False) -> Column:
+    """A column in its declared type, NaN as NULL there too; a column of that type stays as it is.
+
+    A bad value raises, or becomes NULL if ``lenient``.
+    """
+    if source != target:
+        column = column.try_cast(target) if lenient else column.cast(target)
+    if isinstance(target, (T.FloatType, T.DoubleType)):
+        return nan_to_null(column).cast(target)
+    if isinstance(target, T.ArrayType) and _floats_inside(target):
+        return clean_array(column, target).cast(target)
+    return column
+
+
+def _floats_inside(kind: T.ArrayType) -> bool:
+    inner = kind.elementType
+    return _floats_inside(inner) if isinstance(inner, T.ArrayType) else isinstance(inner, (T.FloatType, T.DoubleType))
+
+
 def conform(df: DataFrame, schema: T.StructType, evolve: bool = False) -> DataFrame:
     """Select and cast to ``schema`` by name; absent columns are NULL, bad values raise."""
     extra = _check_columns(df, schema, evolve)
     columns = [
-        (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (
+            converted(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType)
+            if f.name in df.columns
+            else F.lit(None).cast(f.dataType)
+        ).alias(f.name)
         for f in schema.fields
     ]
     return df.select(*columns, *[F.col(f"`{c}`") for c in extra])
 
 
+def _loses(column: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """Whether a value changes in its declared type, where types of numbers or times can tell.
+
+    Single precision is exempt: hardly any double survives it unchanged.
+    """
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        if _loses(column, source.elementType, target.elementType) is None:
+            return None
+    elif isinstance(target, T.FloatType) or not (
+        (isinstance(source, T.NumericType) and isinstance(target, T.NumericType))
+        or (isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType))
+    ):
+        return None
+    back = column.try_cast(target).cast(source)
+    return F.coalesce(back != column, F.lit(False))
+
+
 def _nulls_in(array: Column) -> Column:
     return F.size(F.filter(array, lambda x: x.isNull()))
 
@@ -63,7 +104,8 @@ def _nulls_in(array: Column) -> Column:
 def conform_checked(df: DataFrame, schema: T.StructType, evolve: bool = False) -> DataFrame:
     """Like :func:`conform`, but mark rows that cannot be stored instead of failing.
 
-    A row is rejected when a value does not read as its declared type or ``time`` is NULL.
+    A row is rejected when a value does not read as its declared type, or only by losing a
+    part of it (1.7 as BIGINT), or ``time`` is NULL.
     Such rows carry the reason and the row as JSON; the other rows carry NULL there.
     """
     extra = _check_columns(df, schema, evolve)
@@ -76,9 +118,13 @@ def conform_checked(df: DataFrame, schema: T.StructType, evolve: bool = False) -
         if df.schema[f.name].dataType == f.dataType:
             columns.append(source)
         else:
+            kind = df.schema[f.name].dataType
             target = source.try_cast(f.dataType)
-            columns.append(target.alias(f.name))
+            columns.append(converted(source, kind, f.dataType, lenient=True).alias(f.name))
             bad = source.isNotNull() & target.isNull()
+            loses = _loses(source, kind, f.dataType)
+            if loses is not None:
+                bad = bad | loses
             if isinstance(f.dataType, T.ArrayType):
                 # A bad element turns NULL inside an array that itself survives.
                 worse = _nulls_in(target) > _nulls_in(source)

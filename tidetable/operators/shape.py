@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidetable.operators.timecols import TIME, convert_time, shift_timezone
+from tidetable.session import written
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -30,21 +32,29 @@ def _present_counts(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for i, name in enumerate(names) if row[f"n{i}"]]
 
 
-def drop_null_columns(df: DataFrame, probe_rows: int = 1000) -> DataFrame:
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the frame is columns and rows picked from files, which are cheap to read again."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    names = {re.sub(r"^[\s:+-]*'?", "", line).split(" ")[0].split("[")[0].split("(")[0] for line in plan.splitlines() if line.strip()}
+    return names <= {"Project", "Filter", "Relation", "SubqueryAlias", "LogicalRelation", "View"}
+
+
+def evaluated_once(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` itself if it only reads files, else its rows written to the shared folder."""
+    return df if _is_scan(df) else written(df, tag)
+
+
+def drop_null_columns(df: DataFrame) -> DataFrame:
     """Drop columns that hold no value in any row; NaN counts as none.
 
-    A few rows settle most columns; only those still empty are counted over all rows, so
-    the full pass reads just the (nearly) empty columns. ``probe_rows=0`` goes straight
-    to the full pass.
+    One aggregate over all rows decides. An input that is more than a scan of files is written
+    to the shared folder first, so it is evaluated once.
     """
-    open_names = list(df.columns)
-    kept: set[str] = set()
-    if probe_rows and open_names:
-        kept.update(_present_counts(df.limit(probe_rows), open_names))
-        open_names = [c for c in open_names if c not in kept]
-    if open_names:
-        kept.update(_present_counts(df.select(*[_col(c) for c in open_names]), open_names))
-    return df.select(*[_col(c) for c in df.columns if c in kept])
+    if not df.columns:
+        return df
+    df = evaluated_once(df, "present")
+    kept = _present_counts(df, df.columns)
+    return df.select(*[_col(c) for c in kept])
 
 
 def key_first(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
@@ -71,14 +81,19 @@ def split_columns(schema: T.StructType) -> tuple[str, list[str], list[str]]:
     return key.name, dimensions, [f.name for f in rest if f.name not in dimensions]
 
 
-def pivot_result(df: DataFrame, values: Sequence[object] | None = None) -> DataFrame:
+def pivot_result(
+    df: DataFrame, values: Sequence[object] | None = None, other: str = "error"
+) -> DataFrame:
     """Turn dimensions into columns, one row per key.
 
     With several dimensions their values are joined by ``_``; with several measures the
-    columns are named ``<value>_<measure>``. Two rows for the same cell raise. ``values``
-    lists the dimension values (tuples for several dimensions) and saves the job that
-    finds them. No dimension: the frame comes back unchanged.
+    columns are named ``<value>_<measure>``. Two rows for the same cell raise, and so do
+    columns of the same name. ``values`` lists the dimension values (tuples for several
+    dimensions) and saves the job that finds them; a row with any other value raises, or is
+    left out with ``other="drop"``. No dimension: the frame comes back unchanged.
     """
+    if other not in ("error", "drop"):
+        raise ValueError(f"other must be 'error' or 'drop', not {other!r}")
     key, dimensions, measures = split_columns(df.schema)
     if not dimensions:
         return df
@@ -87,6 +102,7 @@ def pivot_result(df: DataFrame, values: Sequence[object] | None = None) -> DataF
     texts = [_col(d).cast("string") for d in dimensions]
     if values is None:
         limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        df = evaluated_once(df, "pivot")
         found = df.select(*texts).distinct().limit(limit + 1).collect()
         if len(found) > limit:
             raise ValueError(f"more than {limit} dimension values; raise spark.sql.pivotMaxValues")
@@ -95,27 +111,31 @@ def pivot_result(df: DataFrame, values: Sequence[object] | None = None) -> DataF
         combos = [tuple(v) if isinstance(v, (tuple, list)) else (v,) for v in values]
         combos = [tuple(None if x is None else str(x) for x in t) for t in combos]
     labels = ["_".join("null" if x is None else x for x in t) for t in combos]
-    clashing = sorted(n for n, times in Counter(labels).items() if times > 1)
+    if len(measures) > 1:
+        labels = [f"{label}_{m}" for label in labels for m in measures]
+    clashing = sorted(n for n, times in Counter(n.lower() for n in [key, *labels]).items() if times > 1)
     if clashing:
-        raise ValueError(f"different dimension values share a column name: {', '.join(clashing)}")
+        raise ValueError(f"columns of the pivot share a name: {', '.join(clashing)}")
 
     # Each text is preceded by its length, so values holding the separator stay apart.
     cell = "_cell"
     marks = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     wanted = ["".join("-" if x is None else f"{len(x)}:{x}" for x in t) for t in combos]
+    mark = F.concat(*marks)
+    if values is not None and other == "error":
+        unlisted = F.raise_error(F.concat(F.lit("pivot: a dimension value is not among those listed: "), mark))
+        mark = F.when(mark.isin(wanted), mark).otherwise(unlisted.cast("string"))
     single = []
     for m in measures:
         clash = F.raise_error(F.lit("pivot: duplicate entries for one cell")).cast(df.schema[m].dataType)
         single.append(F.when(F.count(F.lit(1)) > 1, clash).otherwise(F.first(_col(m))).alias(m))
     wide = (
-        df.select(_col(key), F.concat(*marks).alias(cell), *[_col(m) for m in measures])
+        df.select(_col(key), mark.alias(cell), *[_col(m) for m in measures])
         .groupBy(_col(key))
         .pivot(cell, wanted)
         .agg(*single)
     )
-    if len(measures) == 1:
-        return wide.toDF(key, *labels)
-    return wide.toDF(key, *[f"{label}_{m}" for label in labels for m in measures])
+    return wide.toDF(key, *labels)
 
 
 def shape_result(
@@ -127,6 +147,8 @@ def shape_result(
 ) -> DataFrame:
     """Prepare a result for reading: convert ``time``, drop empty columns, then pivot or
     bring ``time`` to the front, and show it in ``timezone``."""
+    if dropna or pivot:
+        df = evaluated_once(df, "shape")
     out = convert_time(df)
     if dropna:
         out = drop_null_columns(out)

@@ -38,7 +38,7 @@ def build_time(
     """
     if time_col is not None and time_key is not None:
         raise ValueError("give time_col or time_key, not both")
-    if TIME in df.columns and time_col != TIME:
+    if any(c.lower() == TIME and c != time_col for c in df.columns):
         raise ValueError("the frame already has a 'time' column")
     for name in (time_col, time_key):
         if name is not None and name not in df.columns:
@@ -78,9 +78,10 @@ def _from_number(column: Column, unit: str) -> Column:
     if unit == "s":
         return F.timestamp_seconds(column)
     if unit == "ms":
-        return F.timestamp_millis(whole)
+        # Scaled first, so that the fraction of a millisecond stays.
+        return F.timestamp_micros(F.floor(column * F.lit(1000)).cast("bigint"))
     if unit == "us":
-        return F.timestamp_micros(whole)
+        return F.timestamp_micros(F.floor(column).cast("bigint"))
     if unit == "ns":
         # Integer division only: going through a double would round the microseconds.
         thousand = F.lit(1000).cast("bigint")

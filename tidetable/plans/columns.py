@@ -240,11 +240,12 @@ def coerce_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "arrays_to_text",
     "T5",
-    "SELECT CAST([l_orderkey, l_partkey, l_suppkey] AS VARCHAR) AS keys, count(*) AS n FROM lineitem GROUP BY 1",
+    "SELECT l_orderkey, l_linenumber, CAST([l_orderkey, l_partkey, l_suppkey] AS VARCHAR) AS keys FROM lineitem",
 )
 def arrays_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = table(spark, sf_dir, "lineitem").select(F.array("l_orderkey", "l_partkey", "l_suppkey").alias("keys"))
-    return coerce(keys).groupBy("keys").agg(F.count(F.lit(1)).alias("n"))
+    keys = F.array("l_orderkey", "l_partkey", "l_suppkey").alias("keys")
+    rows = coerce(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", keys))
+    return rows.withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
 
 
 @query(

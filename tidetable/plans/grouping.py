@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidetable.functions.timefuncs import as_epoch
 from tidetable.operators import aggregate, bucket_aggregate, pivot_result, resample, shape_result, value_counts
+from tidetable.operators.rowindex import add_row_index
 from tidetable.plans.registry import EVENTS_SQL, events_with_time, loaded_events, query, table
 from tidetable.sources import run_query
 
@@ -13,12 +16,13 @@ from tidetable.sources import run_query
 @query(
     "group_counts",
     "A1 O1",
-    "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2",
+    """SELECT l_returnflag, l_linestatus, count(*) AS n,
+    row_number() OVER (ORDER BY l_returnflag, l_linestatus DESC) - 1 AS place FROM lineitem GROUP BY 1, 2""",
 )
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = f"""SELECT l_returnflag, l_linestatus, count(1) AS n FROM parquet.`{sf_dir}/lineitem.parquet`
                GROUP BY 1, 2 ORDER BY 1, 2 DESC"""
-    return run_query(spark, text)
+    return add_row_index(run_query(spark, text), name="place")
 
 
 @query(
@@ -72,34 +76,51 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     max(o_totalprice) AS high FROM orders GROUP BY 1, 2""",
 )
 def monthly_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").withColumn("time", F.unix_seconds(F.col("o_orderdate").cast("timestamp")))
+    orders = table(spark, sf_dir, "orders").withColumn("time", as_epoch(F.col("o_orderdate"), T.TimestampNTZType()))
     return bucket_aggregate(orders, "month", {"n": ("count", "*"), "high": ("max", "o_totalprice")}, by=["o_orderstatus"])
 
 
 @query(
     "value_counts",
     "A5",
-    """SELECT kind, count(*) AS n FROM (SELECT nullif(event_type, 'view') AS kind FROM events)
-    WHERE kind IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1""",
+    """SELECT kind, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, kind) - 1 AS place
+    FROM (SELECT nullif(event_type, 'view') AS kind FROM events) WHERE kind IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1""",
 )
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place in the result is a column, so that the order is compared too."""
     kinds = table(spark, sf_dir, "events").select(F.nullif("event_type", F.lit("view")).alias("kind"))
-    return value_counts(kinds, "kind", "n")
+    return add_row_index(value_counts(kinds, "kind", "n"), name="place")
 
 
 @query(
     "resample_monthly",
     "A6",
     """WITH m AS (SELECT date_trunc('month', o_orderdate) AS p, max(o_totalprice) AS high, count(*) AS n
-      FROM orders WHERE o_totalprice > 499000 GROUP BY 1),
+      FROM orders GROUP BY 1),
     spine AS (SELECT unnest(generate_series((SELECT min(p)::TIMESTAMP FROM m), (SELECT max(p)::TIMESTAMP FROM m),
       INTERVAL 1 MONTH)) AS p)
     SELECT CAST(epoch(spine.p) AS BIGINT) AS time, high, coalesce(n, 0) AS n FROM spine LEFT JOIN m ON m.p = spine.p""",
 )
 def resample_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders above a price are rare enough to leave months empty."""
-    dear = table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 499000)
-    return resample(dear, "month", {"high": ("max", "o_totalprice"), "n": ("count", "*")}, time="o_orderdate")
+    orders = table(spark, sf_dir, "orders")
+    filled = resample(orders, "month", {"high": ("max", "o_totalprice"), "n": ("count", "*")}, time="o_orderdate")
+    return filled.withColumnRenamed("o_orderdate", "time")
+
+
+@query(
+    "resample_orders_hourly",
+    "A6",
+    """WITH h AS (SELECT date_trunc('hour', o_orderdate) AS p, max(o_totalprice) AS high, count(*) AS n
+      FROM orders GROUP BY 1),
+    spine AS (SELECT unnest(generate_series((SELECT min(p)::TIMESTAMP FROM h), (SELECT max(p)::TIMESTAMP FROM h),
+      INTERVAL 1 HOUR)) AS p)
+    SELECT CAST(epoch(spine.p) AS BIGINT) AS time, high, coalesce(n, 0) AS n FROM spine LEFT JOIN h ON h.p = spine.p""",
+)
+def resample_orders_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates are midnights, so 23 of 24 hours are gaps to fill."""
+    orders = table(spark, sf_dir, "orders")
+    filled = resample(orders, "hour", {"high": ("max", "o_totalprice"), "n": ("count", "*")}, time="o_orderdate")
+    return filled.withColumnRenamed("o_orderdate", "time")
 
 
 @query(
@@ -120,17 +141,17 @@ def resample_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     "resample_month_end",
     "A6",
     """WITH m AS (SELECT date_trunc('month', o_orderdate) AS p, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total
-      FROM orders WHERE o_totalprice > 499000 GROUP BY 1),
+      FROM orders GROUP BY 1),
     spine AS (SELECT unnest(generate_series((SELECT min(p)::TIMESTAMP FROM m), (SELECT max(p)::TIMESTAMP FROM m),
       INTERVAL 1 MONTH)) AS p)
     SELECT CAST(epoch(spine.p + INTERVAL 1 MONTH - INTERVAL 1 DAY) AS BIGINT) AS time,
     CAST(coalesce(total, 0) AS DOUBLE) AS total FROM spine LEFT JOIN m ON m.p = spine.p""",
 )
 def resample_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 499000)
+    orders = table(spark, sf_dir, "orders")
     exact = orders.select("o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
     filled = resample(exact, "month", {"total": ("sum", "price")}, time="o_orderdate", label="end")
-    return filled.withColumn("total", F.col("total").cast("double"))
+    return filled.withColumn("total", F.col("total").cast("double")).withColumnRenamed("o_orderdate", "time")
 
 
 _KINDS = ("click", "error", "purchase", "signup", "view")

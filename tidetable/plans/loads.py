@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tidetable.operators import declared_schema
 from tidetable.plans.registry import EVENTS_SQL, events_with_time, new_database, query, table
-from tidetable.session import scratch_path
+from tidetable.session import isolated_session, scratch_path
 from tidetable.sinks import create_table, load_table, recast_columns, rows_per_file, store_frame, write_csv
 from tidetable.sources import read_table
 from tidetable.streaming import stream_load
 
 
 def _read(spark: SparkSession, name: str) -> DataFrame:
-    return read_table(spark, name, limit=None)
+    return read_table(spark, name)
 
 
 @query(
@@ -42,7 +42,7 @@ def load_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "load_overwrite_schema",
     "L2",
-    "SELECT c_custkey, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer WHERE c_acctbal > 0",
+    "SELECT c_custkey, c_acctbal * 2 AS c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer",
 )
 def load_overwrite_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replaces rows and schema, the second time from the table itself."""
@@ -50,7 +50,7 @@ def load_overwrite_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_table(table(spark, sf_dir, "supplier"), name, add_time=False)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
     load_table(customer, name, "overwrite", add_time=False)
-    load_table(spark.table(name).where("c_acctbal > 0"), name, "replace", add_time=False)
+    load_table(spark.table(name).withColumn("c_acctbal", F.col("c_acctbal") * 2), name, "replace", add_time=False)
     return _read(spark, name)
 
 
@@ -117,29 +117,34 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _part_of(key: str):
+    """One of three parts by a hash of the key, a missing key included."""
+    return F.pmod(F.hash(key), F.lit(3))
+
+
 @query(
     "load_replay",
     "L5",
     EVENTS_SQL + "SELECT event_id, event_type, time FROM ev",
 )
 def load_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One load per event type; two of them are run twice."""
+    """Three loads that hold all events between them; two of them are run twice."""
     name = f"{new_database(spark)}.t"
     events = events_with_time(spark, sf_dir).select("event_id", "event_type", "time")
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    for kind in [*kinds, "error", "view"]:
-        load_table(events.where(F.col("event_type") == kind), name, "append", load_id=kind)
+    for part in (0, 1, 2, 1, 2):
+        load_table(events.where(_part_of("event_id") == part), name, "append", load_id=f"part-{part}")
     return _read(spark, name)
 
 
-@query("load_chunked", "L6", "SELECT true AS within, count(*) AS n FROM lineitem")
+@query("load_chunked", "L6", "SELECT true AS within, true AS few_files, count(*) AS n FROM lineitem")
 def load_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{new_database(spark)}.t"
     lines = table(spark, sf_dir, "lineitem")
     cap = rows_per_file(lines.count(), 5000)
     load_table(lines, name, chunk_rows=5000, validate=True)
     files = spark.table(name).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("rows"))
-    return files.agg((F.max("rows") <= cap).alias("within"), F.sum("rows").alias("n"))
+    few = F.count(F.lit(1)) <= F.ceil(F.sum("rows") / cap) + F.lit(1)
+    return files.agg((F.max("rows") <= cap).alias("within"), few.alias("few_files"), F.sum("rows").alias("n"))
 
 
 @query(
@@ -221,9 +226,9 @@ def recast(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def recast_session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{new_database(spark)}.t"
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.lit(1).alias("time"))
-    for status in ("F", "O", "P"):
-        load_table(orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), name, "append", load_id=status)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.lit(1).alias("time"))
+    for part in range(3):
+        load_table(orders.where(_part_of("o_orderkey") == part), name, "append", load_id=f"part-{part}")
     recast_columns(spark, name, [("o_custkey", "varchar")])
     return _read(spark, name)
 
@@ -262,9 +267,88 @@ def load_day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_load", "X1 L5", EVENTS_SQL + "SELECT * FROM ev")
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as many files, one micro-batch each, folded as they come."""
     name = f"{new_database(spark)}.t"
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    stream_load(stream, name, scratch_path(spark, "stream"), "events", time_col="ts").awaitTermination()
+    events, source = table(spark, sf_dir, "events"), scratch_path(spark, "source")
+    events.repartition(24, "event_id").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    running = stream_load(
+        stream, name, scratch_path(spark, "stream"), "events", fold_every=8, time_col="ts"
+    )
+    running.awaitTermination()
     spark.catalog.refreshTable(name)
     return _read(spark, name)
+
+
+@query(
+    "load_other_session_zone",
+    "C4 F1 R1",
+    EVENTS_SQL
+    + """SELECT event_id, time, value FROM ev
+    WHERE time >= epoch(TIMESTAMP '2024-01-07 06:00:00') AND time < epoch(TIMESTAMP '2024-01-21')""",
+)
+def load_other_session_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded and read in a session set to another zone: times without a zone are UTC all the same."""
+    tokyo = isolated_session(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"})
+    name = f"{new_database(tokyo)}.t"
+    load_table(table(tokyo, sf_dir, "events"), name, time_col="ts")
+    return read_table(tokyo, name, ["event_id", "time", "value"], ("2024-01-07 06:00", "2024-01-21"))
+
+
+@query(
+    "load_declared_binary",
+    "L10",
+    "SELECT p_partkey, p_name AS raw, p_size AS size_in_map, p_brand AS brand, 1 AS time FROM part",
+)
+def load_declared_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, maps and records reach columns declared as such unchanged."""
+    name = f"{new_database(spark)}.t"
+    schema = declared_schema(
+        ["p_partkey", "raw", "sizes", "about", "time"],
+        ["bigint", "binary", "map(varchar, int)", "struct<brand:string>", "bigint"],
+    )
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_name").cast("binary").alias("raw"),
+        F.create_map(F.lit("size"), "p_size").alias("sizes"),
+        F.struct(F.col("p_brand").alias("brand")).alias("about"),
+        F.lit(1).alias("time"),
+    )
+    load_table(part, name, schema=schema)
+    return _read(spark, name).select(
+        "p_partkey",
+        F.col("raw").cast("string").alias("raw"),
+        F.col("sizes")["size"].alias("size_in_map"),
+        F.col("about.brand").alias("brand"),
+        F.col("time").cast("int").alias("time"),
+    )
+
+
+@query(
+    "load_rejects_lossy",
+    "L4",
+    "SELECT event_id, value FROM events WHERE value <> floor(value)",
+)
+def load_rejects_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with a fraction don't fit a column of whole numbers, and are set aside whole."""
+    name = f"{new_database(spark)}.t"
+    events = events_with_time(spark, sf_dir).select("event_id", "value", "time")
+    whole = events.withColumn("value", F.when(F.col("event_id") % 5 == 0, F.floor("value")).otherwise(F.col("value")))
+    both = whole.unionByName(events.where(F.col("event_id") % 5 == 0))
+    load_table(both, name, validate=True, schema=declared_schema(["event_id", "value", "time"], ["bigint"] * 3))
+    row = F.from_json("_row", "event_id BIGINT, value DOUBLE")
+    return spark.table(f"{name}__rejects").select(row["event_id"].alias("event_id"), row["value"].alias("value"))
+
+
+@query(
+    "recast_nan",
+    "L11 T8",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS value FROM events""",
+)
+def recast_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text that reads as not-a-number is no value once recast."""
+    name = f"{new_database(spark)}.t"
+    text = F.when(F.col("event_id") % 3 == 0, F.lit("NaN")).otherwise(F.col("value").cast("string"))
+    load_table(table(spark, sf_dir, "events").select("event_id", text.alias("value")), name, add_time=False)
+    recast_columns(spark, name, [("value", "double")])
+    return _read(spark, name)

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidetable.plans.registry import (
     EVENTS_SQL,
@@ -17,7 +18,9 @@ from tidetable.plans.registry import (
     table,
 )
 from tidetable.functions import epoch_format, epoch_trunc, in_time_range
+from tidetable.functions.timefuncs import as_epoch
 from tidetable.session import scratch_path
+from tidetable.sinks import load_table
 from tidetable.sources import list_databases, list_tables, read_result, read_table, run_query, save_result
 
 
@@ -44,6 +47,15 @@ def read_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, loaded_events(spark, sf_dir), limit=None)
 
 
+@query("read_table_default", "R1", "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity FROM lineitem")
+def read_table_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of many rows read without a word about a limit."""
+    name = f"{new_database(spark)}.lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    load_table(lines, name, add_time=False)
+    return read_table(spark, name)
+
+
 @query(
     "read_limit_ordered",
     "R1 O1 O2",
@@ -112,7 +124,7 @@ def sql_time_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders""",
 )
 def epoch_trunc_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    time = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    time = as_epoch(F.col("o_orderdate"), T.TimestampNTZType())
     units = {"y": "year", "q": "quarter", "m": "month", "w": "week", "d": "day"}
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -140,14 +152,18 @@ def epoch_format_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     EVENTS_SQL
     + """SELECT event_type, count(*) AS n FROM ev
     WHERE time >= epoch(TIMESTAMP '2024-01-02') AND time < epoch(TIMESTAMP '2024-01-30')
-    AND event_type IN ('click', 'view') GROUP BY 1""",
+    AND event_type IN ('click', 'view') AND event_type LIKE '%i%' GROUP BY 1""",
 )
 def sql_bound_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_query(
         spark,
         """SELECT event_type, count(*) AS n FROM IDENTIFIER({name})
-           WHERE time_range(time, '{start}', '{end}') AND event_type IN ({a}, {b}) GROUP BY 1""",
-        {"name": loaded_events(spark, sf_dir), "start": "2024-01-02", "end": "2024-01-30", "a": "click", "b": "view"},
+           WHERE time_range(time, '{start}', '{end}') AND event_type IN ({a}, {b})
+           AND event_type LIKE '%{part}%' GROUP BY 1""",
+        {
+            "name": loaded_events(spark, sf_dir), "start": "2024-01-02", "end": "2024-01-30",
+            "a": "click", "b": "view", "part": "i",
+        },
     )
 
 

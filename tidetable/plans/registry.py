@@ -63,17 +63,11 @@ def new_database(spark: SparkSession) -> str:
     return name
 
 
-_loaded: dict[tuple[str, str], str] = {}
-
-
 def loaded_events(spark: SparkSession, sf_dir: str) -> str:
-    """Name of the whole events table loaded with its time column; loaded once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _loaded:
-        name = f"{new_database(spark)}.events"
-        load_table(table(spark, sf_dir, "events"), name, time_col="ts")
-        _loaded[key] = name
-    return _loaded[key]
+    """Name of a table that holds the whole events with their time column."""
+    name = f"{new_database(spark)}.events"
+    load_table(table(spark, sf_dir, "events"), name, time_col="ts")
+    return name
 
 
 def events_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -20,8 +19,6 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_own_scratch: dict[str, str] = {}
-
 
 def get_spark(app_name: str = "tidetable", **settings: str) -> SparkSession:
     """Build (or reuse) a session with the settings above; ``settings`` win over them."""
@@ -73,18 +70,9 @@ def sql_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
-
-    Only a local session may go without that setting; it then gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _own_scratch:
-            _own_scratch[app] = tempfile.mkdtemp(prefix="tidetable-")
-        root = _own_scratch[app]
+    """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it, or
+    the warehouse where that is not set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tidetable"
 
 

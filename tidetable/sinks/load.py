@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidetable.errors import NoValidRecordsError, TableExistsError
+from tidetable.functions.timefuncs import utc_day
 from tidetable.operators.coerce import coerce
 from tidetable.operators.declared import conform
 from tidetable.operators.names import normalise_name, normalise_names
 from tidetable.operators.rowindex import add_row_index
+from tidetable.operators.shape import evaluated_once
 from tidetable.operators.textguess import guess_text_types
 from tidetable.operators.timecols import TIME, build_time, format_dates
 from tidetable.session import sql_settings
@@ -25,6 +27,7 @@ from tidetable.sinks.tables import (
     LOAD_ID,
     Destination,
     add_columns,
+    forget_loads,
     insert_by_name,
     policy,
     staging_for,
@@ -63,19 +66,18 @@ def from_pandas(
     index_label: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Spark frame from a pandas one; ``index=True`` turns index levels into columns."""
-    frame = frame.copy(deep=False)
     if index:
-        many = isinstance(frame.index, pd.MultiIndex)
-        if index_label is not None:
-            names = [index_label] if isinstance(index_label, str) else list(index_label)
-        elif many:
-            names = [n or f"level_{i}" for i, n in enumerate(frame.index.names)]
-        else:
-            names = [frame.index.name or "index"]
-        for i, name in enumerate(names):
-            frame[name] = frame.index.get_level_values(i)
-    frame.columns = [str(c) for c in frame.columns]
-    return spark.createDataFrame(frame)
+        levels = frame.index.nlevels
+        frame = frame.reset_index(names=index_label)
+        frame = frame[[*frame.columns[levels:], *frame.columns[:levels]]]
+    frame = frame.rename(columns=str)
+    return spark.createDataFrame(_complex_as_text(frame))
+
+
+def _complex_as_text(frame: pd.DataFrame) -> pd.DataFrame:
+    """Columns of complex numbers as text, since Spark has no such type."""
+    changed = {c: frame[c].map(str, na_action="ignore") for c in frame.columns if frame[c].dtype.kind == "c"}
+    return frame.assign(**changed)
 
 
 def prepare(
@@ -101,7 +103,10 @@ def prepare(
     if infer_text_types:
         frame = guess_text_types(frame)
     kept = [f.name for f in declared or () if isinstance(f.dataType, (T.ArrayType, T.BooleanType))]
-    return coerce(frame, keep_arrays, keep_bool, kept)
+    # Text has no way back to these, so they are converted from what they are.
+    nested = (T.BinaryType, T.MapType, T.StructType)
+    as_is = [f.name for f in declared or () if isinstance(f.dataType, nested)]
+    return coerce(frame, keep_arrays, keep_bool, kept, as_is)
 
 
 def load_table(
@@ -165,7 +170,12 @@ def load_table(
     )
     settings = {}
     if chunk_rows is not None:
-        settings["spark.sql.files.maxRecordsPerFile"] = str(rows_per_file(frame.count(), chunk_rows))
+        # Written once to be counted, then dealt evenly over the files that the count allows.
+        frame = evaluated_once(frame, "chunks")
+        n_rows = frame.count()
+        cap = rows_per_file(n_rows, chunk_rows)
+        settings["spark.sql.files.maxRecordsPerFile"] = str(cap)
+        frame = frame.repartition(max(1, -(-n_rows // cap)))
     if in_session:
         if sort_by_time:
             frame = frame.sortWithinPartitions(TIME)
@@ -197,7 +207,7 @@ def _write_direct(
     keys = [TIME] if sort_by_time else []
     if by_day:
         # Rebalancing gathers a day's rows and lets AQE split the days that are too big.
-        frame = frame.withColumn(DAY, F.to_date(F.timestamp_seconds(F.col(TIME)))).hint("rebalance", DAY)
+        frame = frame.withColumn(DAY, utc_day(F.col(TIME))).hint("rebalance", DAY)
         keys = [DAY, *keys] if keys else []
     if keys:
         frame = frame.sortWithinPartitions(*keys)
@@ -219,6 +229,8 @@ def _write_direct(
         raise NoValidRecordsError(f"no rows to load into {dest.sql}")
     if mode == "overwrite":
         swap_in(dest, target)
+        dest.spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
+        forget_loads(dest)
     return total
 
 
@@ -238,8 +250,8 @@ def store_frame(
 ) -> LoadReport:
     """Load with explicit rules for ``time``, the row index and dates.
 
-    ``time_col`` is renamed to ``time``; ``time_key`` names a datetime key column that is
-    copied into it; with neither, the current time is used and a ``time`` column already
+    ``time_col`` is renamed to ``time``; ``time_key`` names a datetime key column, or a level
+    of a pandas frame's index, that is copied into it; with neither, the current time is used and a ``time`` column already
     there is an error. ``index`` adds a row index (following ``order_by``; for a pandas
     frame: its own index). ``date_format`` writes the datetime columns as text.
     """
@@ -247,11 +259,26 @@ def store_frame(
     if isinstance(df, pd.DataFrame):
         if spark is None:
             spark = SparkSession.getActiveSession()
-        df = from_pandas(spark, df, index, index_label)
+        level = time_key in df.index.names and time_key not in df.columns
+        df = from_pandas(spark, _with_level(df, time_key, index) if level else df, index, index_label)
+        if level and not index:
+            # The level gives the time; it is not stored as a column of its own.
+            frame = build_time(normalise_names(df), None, normalise_name(time_key))
+            frame = format_dates(frame.drop(normalise_name(time_key)), date_format)
+            return load_table(frame, name, if_exists, **options)
         index = False
-    frame = build_time(df, time_col, time_key)
+    frame = normalise_names(df)
+    time_col, time_key = (None if n is None else normalise_name(n) for n in (time_col, time_key))
+    frame = build_time(frame, time_col, time_key)
     if index:
         label = index_label if isinstance(index_label, str) else (index_label or ["index"])[0]
-        frame = add_row_index(frame, order_by, label)
+        keys = [order_by] if isinstance(order_by, str) else order_by
+        keys = None if keys is None else [normalise_name(k) if isinstance(k, str) else k for k in keys]
+        frame = add_row_index(frame, keys, label)
     frame = format_dates(frame, date_format)
     return load_table(frame, name, if_exists, **options)
+
+
+def _with_level(frame: pd.DataFrame, level: str, index: bool) -> pd.DataFrame:
+    """The frame with an index level as a column, unless the whole index becomes columns anyway."""
+    return frame if index else frame.reset_index(level=level)

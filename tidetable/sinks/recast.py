@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidetable.operators.declared import REJECTED, declared_type
+from tidetable.operators.declared import converted, declared_type
 from tidetable.session import sql_settings
-from tidetable.sinks.sessions import RECAST_PREFIX
+from tidetable.sinks.sessions import RECAST_PREFIX, partition_path
 from tidetable.sinks.storage import child_names, delete_path
 from tidetable.sinks.tables import DAY, LOAD_ID, Destination, create_empty, staging_for, swap_in
 
@@ -38,7 +38,7 @@ def recast_columns(
         if field.name in wanted:
             kind, *alias = wanted[field.name]
             notes = {"comment": alias[0], DISPLAY_NAME: alias[0]} if alias else dict(field.metadata)
-            column = column.cast(kind).alias(field.name, metadata=notes)
+            column = converted(column, field.dataType, kind).alias(field.name, metadata=notes)
         columns.append(column)
     recast = table.select(*columns)
 
@@ -65,22 +65,23 @@ def recast_columns(
         delete_path(spark, run)
         raise
     stored = T.StructType([f for f in recast.schema if f.name != LOAD_ID])
-    spark.sql(f"DROP TABLE {dest.sql}")
-    create_empty(dest, stored, [LOAD_ID])
-    written = set(child_names(spark, run))
-    specs = [
-        f"PARTITION (`{LOAD_ID}` = '{i}') LOCATION '{run}/{LOAD_ID}={i}'"
-        for i in ids
-        if f"{LOAD_ID}={i}" in written
-    ]
-    for at in range(0, len(specs), 500):
-        spark.sql(f"ALTER TABLE {dest.sql} ADD {' '.join(specs[at : at + 500])}")
-    dest.refresh()
-    for name in child_names(spark, dest.loads_path):
-        old = f"{dest.loads_path}/{name}"
-        if name.startswith(RECAST_PREFIX):
-            if old != run:
-                delete_path(spark, old)
-        else:
-            # Rejected rows stay where the rejects table points.
-            delete_path(spark, f"{old}/{REJECTED}=false")
+    staged = staging_for(dest)
+    old = [path for path in (partition_path(dest, i) for i in ids) if path]
+    try:
+        create_empty(staged, stored, [LOAD_ID])
+        written = set(child_names(spark, run))
+        specs = [
+            f"PARTITION (`{LOAD_ID}` = '{i}') LOCATION '{run}/{LOAD_ID}={i}'"
+            for i in ids
+            if f"{LOAD_ID}={i}" in written
+        ]
+        for at in range(0, len(specs), 500):
+            spark.sql(f"ALTER TABLE {staged.sql} ADD {' '.join(specs[at : at + 500])}")
+        swap_in(dest, staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged.sql}")
+        delete_path(spark, run)
+        raise
+    # Rejected rows stay where the rejects table points.
+    for path in old:
+        delete_path(spark, path)

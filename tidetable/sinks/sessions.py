@@ -20,13 +20,16 @@ from tidetable.errors import NoValidRecordsError
 from tidetable.operators.declared import REASON, REJECTED, ROW, conform_checked
 from tidetable.operators.timecols import TIME_TEXT
 from tidetable.session import sql_settings
-from tidetable.sinks.storage import child_names, delete_path
+from tidetable.sinks.storage import delete_path
 from tidetable.sinks.tables import (
     LOAD_ID,
     Destination,
     add_columns,
     create_empty,
+    forget_loads,
     insert_by_name,
+    staging_for,
+    swap_in,
 )
 
 logger = logging.getLogger(__name__)
@@ -42,19 +45,32 @@ _REJECTS_SCHEMA = T.StructType(
 def check_load_id(load_id: str | None) -> str:
     """The given id if it is safe to use in names, or a new one."""
     if load_id is None:
-        return f"session-{uuid.uuid1()}"
+        return f"load-{uuid.uuid4().hex}"
     if not re.fullmatch(r"[A-Za-z0-9_-]+", load_id):
         raise ValueError(f"load id may hold letters, digits, - and _ only: {load_id!r}")
     return load_id
 
 
+def _spec(load_id: str) -> str:
+    return f"PARTITION (`{LOAD_ID}` = '{load_id}')"
+
+
+def partition_path(table: Destination, load_id: str) -> str | None:
+    """Where the files of one load lie, as the catalog knows it; nothing is listed."""
+    if not table.exists or LOAD_ID not in table.partition_columns:
+        return None
+    if not table.spark.sql(f"SHOW PARTITIONS {table.sql} {_spec(load_id)}").head(1):
+        return None
+    rows = table.spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql} {_spec(load_id)}").collect()
+    return next((r.data_type for r in rows if r.col_name == "Location"), None)
+
+
 def _point_partition(table: Destination, load_id: str, path: str) -> None:
-    spec = f"PARTITION (`{LOAD_ID}` = '{load_id}')"
     spark = table.spark
-    if spark.sql(f"SHOW PARTITIONS {table.sql} {spec}").head(1):
-        spark.sql(f"ALTER TABLE {table.sql} {spec} SET LOCATION '{path}'")
+    if spark.sql(f"SHOW PARTITIONS {table.sql} {_spec(load_id)}").head(1):
+        spark.sql(f"ALTER TABLE {table.sql} {_spec(load_id)} SET LOCATION '{path}'")
     else:
-        spark.sql(f"ALTER TABLE {table.sql} ADD PARTITION (`{LOAD_ID}` = '{load_id}') LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table.sql} ADD {_spec(load_id)} LOCATION '{path}'")
     table.refresh()
 
 
@@ -62,8 +78,7 @@ def _keep_rejects(dest: Destination, load_id: str, path: str | None) -> None:
     rejects = dest.sibling("__rejects")
     if path is None:
         if rejects.exists:
-            spec = f"PARTITION (`{LOAD_ID}` = '{load_id}')"
-            dest.spark.sql(f"ALTER TABLE {rejects.sql} DROP IF EXISTS {spec}")
+            dest.spark.sql(f"ALTER TABLE {rejects.sql} DROP IF EXISTS {_spec(load_id)}")
         return
     if not rejects.exists:
         create_empty(rejects, _REJECTS_SCHEMA, [LOAD_ID])
@@ -96,6 +111,11 @@ def run_session(
     stored = T.StructType([f for f in checked.schema if f.name not in (REJECTED, REASON, ROW)])
 
     run = f"{dest.loads_path}/{load_id}-{uuid.uuid4().hex}"
+    # What a repeated load id replaces, read from the catalog before it changes.
+    replaced = []
+    if appending and by_session:
+        tables = (dest, dest.sibling("__rejects"))
+        replaced = [path for path in (partition_path(t, load_id) for t in tables) if path]
     seen = Observation()
     observed = checked.observe(
         seen,
@@ -120,40 +140,99 @@ def run_session(
         delete_path(spark, run)
         if by_session and appending:
             # Repeating an id with an empty input takes that load's rows out again.
-            spec = f"PARTITION (`{LOAD_ID}` = '{load_id}')"
-            spark.sql(f"ALTER TABLE {dest.sql} DROP IF EXISTS {spec}")
+            spark.sql(f"ALTER TABLE {dest.sql} DROP IF EXISTS {_spec(load_id)}")
             _keep_rejects(dest, load_id, None)
-            _forget_runs(dest, load_id, None)
+            for path in replaced:
+                delete_path(spark, path)
         return load_id, total, valid
 
-    if mode == "overwrite":
-        spark.sql(f"DROP TABLE IF EXISTS {dest.sql}")
-        spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
     if appending:
         add_columns(dest, [f for f in stored if f.name not in dest.schema.names])
+        if by_session:
+            _point_partition(dest, load_id, good)
+        else:
+            insert_by_name(dest, spark.read.schema(stored).parquet(good))
+            delete_path(spark, good)
     else:
-        create_empty(dest, stored, [LOAD_ID])
-    if by_session:
-        _point_partition(dest, load_id, good)
-    else:
-        insert_by_name(dest, spark.read.schema(stored).parquet(good))
-        delete_path(spark, good)
+        # The new table is complete under another name before the old one goes.
+        staged = staging_for(dest)
+        create_empty(staged, stored, [LOAD_ID])
+        _point_partition(staged, load_id, good)
+        swap_in(dest, staged)
+        spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
+        forget_loads(dest, keep=run)
     _keep_rejects(dest, load_id, bad if total > valid else None)
-    _forget_runs(dest, load_id if appending else None, run)
+    for path in replaced:
+        if not path.startswith(run):
+            delete_path(spark, path)
     return load_id, total, valid
 
 
-def _forget_runs(dest: Destination, load_id: str | None, keep: str | None) -> None:
-    """Delete the files of replaced runs: those of one load, or of all if none is named.
+FOLD_EVERY = 50
+
 
-    A run's folder is ``<id>-<32 hex digits>``; a recast puts all loads into one folder.
+def fold_loads(dest: Destination, name: str, every: int = FOLD_EVERY) -> None:
+    """Fold finished loads ``<name>-<number>`` into loads ``<name>-<first>_<last>`` of many.
+
+    As soon as ``every`` loads of one size stand beside each other they become one, and the
+    results are folded again in turn; so the number of partitions grows with the logarithm of
+    that of loads. The newest load is left alone, as it may be run again. A folded load is
+    added before its parts are dropped; if a run ends between, the next call drops them.
     """
-    loads = dest.loads_path
-    for name in child_names(dest.spark, loads):
-        path = f"{loads}/{name}"
-        if path == keep:
+    for table in (dest, dest.sibling("__rejects")):
+        if not table.exists or LOAD_ID not in table.partition_columns:
             continue
-        if load_id is None or (name.startswith(f"{load_id}-") and len(name) == len(load_id) + 33):
-            delete_path(dest.spark, path)
-        elif name.startswith(RECAST_PREFIX):
-            delete_path(dest.spark, f"{path}/{LOAD_ID}={load_id}")
+        spans = _spans(table, name)
+        _drop_parts(table, name, spans)
+        spans = _spans(table, name)
+        done = sorted(spans)[:-1]
+        by_size: dict[int, list[tuple[int, int]]] = {}
+        for first, last in done:
+            size = 0
+            while every ** (size + 1) <= last - first + 1:
+                size += 1
+            by_size.setdefault(size, []).append((first, last))
+        for parts in by_size.values():
+            if len(parts) >= every:
+                _fold(table, name, parts)
+
+
+def _spans(table: Destination, name: str) -> dict[tuple[int, int], str]:
+    """First and last number of each load of that name, and its id."""
+    found = {}
+    for row in table.spark.sql(f"SHOW PARTITIONS {table.sql}").collect():
+        match = re.fullmatch(rf"{re.escape(LOAD_ID)}={re.escape(name)}-(\d+)(?:_(\d+))?", row.partition)
+        if match:
+            found[int(match[1]), int(match[2] or match[1])] = row.partition.split("=", 1)[1]
+    return found
+
+
+def covering_load(dest: Destination, name: str, number: int) -> bool:
+    """Whether a folded load already holds the load of that number."""
+    if not dest.exists or LOAD_ID not in dest.partition_columns:
+        return False
+    return any(first <= number <= last and first < last for first, last in _spans(dest, name))
+
+
+def _drop_parts(table: Destination, name: str, spans: dict[tuple[int, int], str]) -> None:
+    """Drop the loads that lie within another one, files included."""
+    inner = [
+        load for (a, b), load in spans.items() if any(c <= a and b <= d and (a, b) != (c, d) for c, d in spans)
+    ]
+    if inner:
+        paths = [partition_path(table, load) for load in inner]
+        table.spark.sql(f"ALTER TABLE {table.sql} DROP IF EXISTS {', '.join(map(_spec, inner))}")
+        table.refresh()
+        for path in filter(None, paths):
+            delete_path(table.spark, path)
+
+
+def _fold(table: Destination, name: str, parts: list[tuple[int, int]]) -> None:
+    spark = table.spark
+    ids = [_spans(table, name)[p] for p in parts]
+    first, last = parts[0][0], parts[-1][1]
+    run = f"{table.loads_path}/{name}-{first}_{last}-{uuid.uuid4().hex}"
+    rows = spark.table(table.sql).where(F.col(LOAD_ID).isin(ids)).drop(LOAD_ID)
+    rows.hint("rebalance").write.parquet(run)
+    _point_partition(table, f"{name}-{first}_{last}", run)
+    _drop_parts(table, name, _spans(table, name))

@@ -132,12 +132,30 @@ def drop_table(dest: Destination) -> None:
 def swap_in(dest: Destination, staged: Destination) -> None:
     """Put a finished staging table in the place of ``dest``.
 
-    Two catalog calls, so readers can meet a moment without the table; a failure before
-    them leaves ``dest`` untouched.
+    The old table is renamed away and dropped only once the new one has its name; if that
+    fails it gets its name back. Readers can meet a moment without the table, never a lost one.
     """
-    drop_table(dest)
-    dest.spark.sql(f"ALTER TABLE {staged.sql} RENAME TO {dest.sql}")
+    spark = dest.spark
+    old = dest.sibling(f"__old_{uuid.uuid4().hex[:12]}")
+    had = dest.exists
+    if had:
+        spark.sql(f"ALTER TABLE {dest.sql} RENAME TO {old.sql}")
+    try:
+        spark.sql(f"ALTER TABLE {staged.sql} RENAME TO {dest.sql}")
+    except BaseException:
+        if had:
+            spark.sql(f"ALTER TABLE {old.sql} RENAME TO {dest.sql}")
+        raise
     dest.refresh()
+    spark.sql(f"DROP TABLE IF EXISTS {old.sql}")
+
+
+def forget_loads(dest: Destination, keep: str | None = None) -> None:
+    """Delete the files of all load sessions but the run at ``keep``, of which nothing may read any more."""
+    for name in child_names(dest.spark, dest.loads_path):
+        path = f"{dest.loads_path}/{name}"
+        if path != keep:
+            delete_path(dest.spark, path)
 
 
 def staging_for(dest: Destination) -> Destination:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidetable.operators.timecols import TIME
@@ -23,20 +22,23 @@ def _details(spark: SparkSession, identifier: str) -> dict[str, str]:
     return {r.col_name: r.data_type for r in rows[at + 1 :]}
 
 
-def _stored_bytes(spark: SparkSession, identifier: str) -> int | None:
-    try:
-        # Adds up file sizes from a listing; no data is read.
-        spark.sql(f"ANALYZE TABLE {identifier} COMPUTE STATISTICS NOSCAN")
-    except AnalysisException:
-        return None
-    found = re.match(r"(\d+) bytes", _details(spark, identifier).get("Statistics", ""))
-    return int(found.group(1)) if found else None
+def _stored_bytes(table: DataFrame, details: dict[str, str]) -> int | None:
+    """Size of the table's files: from statistics if there are any, else the planner's figure for them."""
+    found = re.match(r"(\d+) bytes", details.get("Statistics", ""))
+    if found:
+        return int(found.group(1))
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    unknown = table.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))
+    return None if str(size) == unknown else int(str(size))
 
 
-def _created(details: dict[str, str]) -> str | None:
+def _created(details: dict[str, str]) -> Column:
     # e.g. "Tue Dec 01 08:28:18 UTC 2026"
-    found = re.match(r"\w+ (\w+ \d+ [\d:]+) \S+ (\d+)", details.get("Created Time", ""))
-    return f"{found.group(1)} {found.group(2)}" if found else None
+    found = re.match(r"\w+ (\w+ \d+ [\d:]+) (\S+) (\d+)", details.get("Created Time", ""))
+    if not found:
+        return F.lit(None).cast("timestamp")
+    text = F.lit(f"{found.group(1)} {found.group(3)} {found.group(2)}")
+    return F.to_timestamp(text, "MMM dd HH:mm:ss yyyy z")
 
 
 def _table_names(spark: SparkSession, pattern: str, database: str | None) -> list[tuple[str, str]]:
@@ -59,17 +61,17 @@ def list_tables(spark: SparkSession, pattern: str = "", database: str | None = N
     for db, name in _table_names(spark, pattern, database):
         identifier = f"`{db}`.`{name}`"
         table = spark.table(identifier)
+        details = _details(spark, identifier)
         has_time = TIME in table.columns and table.schema[TIME].dataType.typeName() in ("long", "integer")
         last = F.max(F.col(TIME)) if has_time else F.lit(None).cast("bigint")
-        made = F.to_timestamp(F.lit(_created(_details(spark, identifier))), "MMM dd HH:mm:ss yyyy")
         parts.append(
             table.agg(F.count(F.lit(1)).alias("count"), last.alias("last")).select(
                 F.lit(db).alias("db_name"),
                 F.lit(name).alias("name"),
                 "count",
-                F.lit(_stored_bytes(spark, identifier)).cast("bigint").alias("estimated_storage_size"),
+                F.lit(_stored_bytes(table, details)).cast("bigint").alias("estimated_storage_size"),
                 F.timestamp_seconds("last").alias("last_log_timestamp"),
-                made.alias("created_at"),
+                _created(details).alias("created_at"),
             )
         )
     if not parts:

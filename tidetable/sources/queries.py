@@ -7,26 +7,45 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidetable.operators.shape import key_first
+from tidetable.operators.shape import evaluated_once, key_first
 from tidetable.operators.timecols import parse_dates
 from tidetable.session import isolated_session
 from tidetable.sinks.csvfile import write_csv
 
 OPTIONS = ("db", "result_url")
 
-# Largest table side "broadcast" sends to every executor; bigger ones are shuffled.
+# Largest side "broadcast" sends to every executor: by the size AQE measures in memory, and,
+# before that is known, by the much smaller size of compressed files.
 BROADCAST_LIMIT = 256 * 1024 * 1024
+PLANNED_LIMIT = 32 * 1024 * 1024
 
-_PLACEHOLDER = re.compile(r"'\{(\w+)\}'|\{(\w+)\}")
+_LITERAL = re.compile(r"""'(?:[^'\\]|\\.|'')*'""", re.S)
+_PLACEHOLDER = re.compile(r"\{(\w+)\}")
+
+
+def _bound_literal(literal: str) -> str:
+    """A text literal with placeholders inside as its parts joined to the bound values."""
+    pieces = _PLACEHOLDER.split(literal[1:-1])
+    if len(pieces) == 1:
+        return literal
+    parts = [f"CAST(:{p} AS STRING)" if i % 2 else f"'{p}'" for i, p in enumerate(pieces) if i % 2 or p]
+    if len(parts) == 1:
+        return f":{pieces[1]}"
+    return f"concat({', '.join(parts)})"
 
 
 def bind_placeholders(text: str) -> str:
-    """Rewrite ``{name}`` and ``'{name}'`` placeholders as ``:name`` parameter markers.
+    """Rewrite ``{name}``, ``'{name}'`` and ``'%{name}%'`` placeholders with ``:name`` parameter markers.
 
     Values are then bound, not spliced. A table or column name goes into
     ``IDENTIFIER({name})``.
     """
-    return _PLACEHOLDER.sub(lambda m: f":{m.group(1) or m.group(2)}", text)
+    out, at = [], 0
+    for literal in _LITERAL.finditer(text):
+        out.append(_PLACEHOLDER.sub(r":\1", text[at : literal.start()]))
+        out.append(_bound_literal(literal.group()))
+        at = literal.end()
+    return "".join(out) + _PLACEHOLDER.sub(r":\1", text[at:])
 
 
 def join_settings(join: str | None, broadcast_limit: int = BROADCAST_LIMIT) -> dict[str, str]:
@@ -40,10 +59,10 @@ def join_settings(join: str | None, broadcast_limit: int = BROADCAST_LIMIT) -> d
         return {}
     if join not in ("broadcast", "partitioned"):
         raise ValueError(f"join must be 'broadcast' or 'partitioned', not {join!r}")
-    limit = str(broadcast_limit) if join == "broadcast" else "-1"
+    sides = (min(PLANNED_LIMIT, broadcast_limit), broadcast_limit) if join == "broadcast" else (-1, -1)
     return {
-        "spark.sql.autoBroadcastJoinThreshold": limit,
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": limit,
+        "spark.sql.autoBroadcastJoinThreshold": str(sides[0]),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(sides[1]),
     }
 
 
@@ -77,5 +96,7 @@ def run_query(
     else:
         rows = session.sql(text)
     if options.get("result_url"):
+        # Written once with its types; the CSV and the frame returned have the same rows.
+        rows = evaluated_once(rows, "query")
         write_csv(rows, str(options["result_url"]))
     return key_first(parse_dates(rows, parse), index_col)

@@ -13,8 +13,6 @@ from tidetable.operators.shape import key_first
 from tidetable.operators.timecols import TIME, parse_dates
 from tidetable.sinks.tables import DAY, HIDDEN
 
-DEFAULT_LIMIT = 10_000
-
 
 def _day_of(seconds: int) -> Column:
     day = dt.date(1970, 1, 1) + dt.timedelta(days=seconds // SECONDS_PER["day"])
@@ -26,7 +24,7 @@ def read_table(
     name: str,
     columns: Sequence[str] | None = None,
     time_range: tuple[object, object] | None = None,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     order_by: str | Column | Sequence[str | Column] | None = None,
     index_col: str | None = None,
     parse: Sequence[str] | Mapping[str, str] | None = None,
@@ -34,8 +32,8 @@ def read_table(
     """Rows of a table as a lazy frame.
 
     ``columns`` may be expressions; ``time_range`` is half open and tested before they
-    are computed, so ``time`` need not be among them. ``limit=None`` reads all rows;
-    without ``order_by`` which rows a limit keeps is not defined. ``index_col`` comes
+    are computed, so ``time`` need not be among them. All rows are read unless ``limit``
+    is given; without ``order_by`` which rows a limit keeps is not defined. ``index_col`` comes
     first; ``parse`` names date columns, see ``parse_dates``.
     """
     rows = spark.table(name)

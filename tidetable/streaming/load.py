@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidetable.sinks.load import load_table
-from tidetable.sinks.sessions import check_load_id
+from tidetable.sinks.sessions import FOLD_EVERY, check_load_id, covering_load, fold_loads
 from tidetable.sinks.tables import Destination
 
 
@@ -16,23 +16,29 @@ def stream_load(
     checkpoint: str,
     query_name: str,
     trigger: dict[str, object] | None = None,
+    fold_every: int = FOLD_EVERY,
     **options: object,
 ) -> StreamingQuery:
     """Start loading ``stream`` into table ``name``; returns the running query.
 
     Every micro-batch is a load session named ``<query_name>-<batch>``: a batch that is
-    run again after a failure replaces its own rows, so each row is stored once.
+    run again after a failure replaces its own rows, so each row is stored once. Finished
+    batches are folded into fewer, larger loads every ``fold_every`` batches.
     ``checkpoint`` is a folder all executors share; restart with the same one and the
     same ``query_name``. The default trigger takes what is there and stops. Further
     options go to ``load_table``.
     """
     check_load_id(query_name)
-    Destination.of(stream.sparkSession, name)
+    dest = Destination.of(stream.sparkSession, name)
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        if covering_load(dest, query_name, batch_id):
+            return  # folded already, so it was complete
         load_table(
             batch, name, "append", load_id=f"{query_name}-{batch_id}", allow_empty=True, **options
         )
+        if (batch_id + 1) % fold_every == 0:
+            fold_loads(dest, query_name, fold_every)
 
     return (
         stream.writeStream.queryName(query_name)
