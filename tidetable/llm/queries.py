@@ -76,7 +76,8 @@ def op9_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archived(table(spark, sf_dir, "pages"))
+    records = archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -95,5 +96,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BENCHMARK_WORDS = (
+    f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+)
+
 #: SQL with the same rows, where SQL can express them.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_relative_lz_dedup": r"""
+WITH docs AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS w
+    FROM docs, unnest(range(1, len(words) - 18)) t(i)),
+later AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+removed AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+gone AS (SELECT doc_id, list(p) AS places FROM removed GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+    sha256(array_to_string(
+        list_filter(words, lambda x, k: NOT list_contains(coalesce(places, []), k)), ' ')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (doc_id)""",
+    "op5_benchmark_windows": f"""
+WITH docs AS (SELECT doc_id, {_BENCHMARK_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_BENCHMARK_WORDS} AS words FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS w
+    FROM (SELECT item_id, words, least(13, len(words)) AS n FROM items WHERE len(words) > 0),
+        unnest(range(1, len(words) - n + 2)) t(i)),
+hits AS (
+    SELECT doc_id, i, n, item_id
+    FROM (SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS w
+        FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(words) - n + 2)) t(i))
+    JOIN windows USING (n, w)),
+words_hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items_hit AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)""",
+    "op10_indexed_warc": """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE bytes >= 100 GROUP BY digest)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN coalesce(first, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)""",
+}
