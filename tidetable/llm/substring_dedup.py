@@ -77,8 +77,6 @@ def window_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def joined_factors(doc: np.ndarray, pos: np.ndarray, source: np.ndarray, source_pos: np.ndarray):
     """Window matches, sorted by document and place, as factors: where each begins, and its last match."""
-    if not len(doc):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     goes_on = (
         (doc[1:] == doc[:-1])
         & (pos[1:] == pos[:-1] + 1)
@@ -126,18 +124,9 @@ def look_through(ids: list[int | None], texts: list[str]) -> Iterator[pa.RecordB
     fresh = np.ones(len(whole), bool)
     fresh[later] = False
 
-    back = np.argsort(later)
-    later, first = later[back], first[back]
-    begins, lasts = joined_factors(doc[later], pos[later], doc[first], pos[first])
-    found = np.zeros(len(begins), _factor)
-    found["begin"], found["end"] = pos[later[begins]], pos[later[lasts]] + WINDOW
-    found["source"], found["source_begin"] = doc[first[begins]], pos[first[begins]]
-    of = doc[later[begins]]
-    cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
-    payloads = [found[a:b].tobytes() for a, b in zip(cuts, np.r_[cuts[1:], len(of)], strict=True)]
-    if payloads:
-        keys = mixed(of[cuts].astype(np.uint64)).view(np.int64)
-        yield filed(FACTORS, keys, of[cuts], np.zeros(len(cuts), np.int32), payloads)
+    if len(later):
+        back = np.argsort(later)
+        yield filed_factors(doc, pos, later[back], first[back])
 
     kept = np.flatnonzero(fresh)
     breaks = (np.diff(kept) != 1) | (doc[kept[1:]] != doc[kept[:-1]]) | (low[kept[1:]] != low[kept[:-1]])
@@ -148,6 +137,19 @@ def look_through(ids: list[int | None], texts: list[str]) -> Iterator[pa.RecordB
     yield filed(BLOCK, low[kept[cuts]].view(np.int64), doc[kept[cuts]], pos[kept[cuts]], blocks)
 
 
+def filed_factors(doc: np.ndarray, pos: np.ndarray, later: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """The matches of some windows with first ones as rows of factors, one for each run of a document."""
+    begins, lasts = joined_factors(doc[later], pos[later], doc[first], pos[first])
+    found = np.zeros(len(begins), _factor)
+    found["begin"], found["end"] = pos[later[begins]], pos[later[lasts]] + WINDOW
+    found["source"], found["source_begin"] = doc[first[begins]], pos[first[begins]]
+    of = doc[later[begins]]
+    cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    payloads = [found[a:b].tobytes() for a, b in zip(cuts, np.r_[cuts[1:], len(of)], strict=True)]
+    keys = mixed(of[cuts].astype(np.uint64)).view(np.int64)
+    return filed(FACTORS, keys, of[cuts], np.zeros(len(cuts), np.int32), payloads)
+
+
 def filed(kind: int, keys: np.ndarray, docs: np.ndarray, pos: np.ndarray, payload) -> pa.RecordBatch:
     columns = [np.full(len(keys), kind), keys, docs, pos, payload]
     return pa.RecordBatch.from_arrays(
@@ -187,15 +189,7 @@ def match_blocks(blocks: pa.RecordBatch) -> pa.RecordBatch | None:
     if not len(later):
         return None
     order = np.lexsort((pos[later], doc[later]))
-    later, first = later[order], first[order]
-    begins, lasts = joined_factors(doc[later], pos[later], doc[first], pos[first])
-    found = np.zeros(len(begins), _factor)
-    found["begin"], found["end"] = pos[later[begins]], pos[later[lasts]] + WINDOW
-    found["source"], found["source_begin"] = doc[first[begins]], pos[first[begins]]
-    of = doc[later[begins]]
-    cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-    payloads = [found[a:b].tobytes() for a, b in zip(cuts, np.r_[cuts[1:], len(of)], strict=True)]
-    return filed(FACTORS, np.zeros(len(cuts), np.int64), of[cuts], np.zeros(len(cuts), np.int32), payloads)
+    return filed_factors(doc, pos, later[order], first[order])
 
 
 def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
