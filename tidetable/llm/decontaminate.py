@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidetable.llm.frames import stored, whole_text
+from tidetable.llm.frames import row_struct, stored, whole_text
 
 WIDTH = 13
 #: More windows than this are joined by a shuffle; at some 300 bytes each, 30 MB at most are broadcast.
@@ -41,16 +41,15 @@ def windows_of(words: Column, width: Column | int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The distinct windows of all items: size, hash, the words themselves and the items that hold them."""
+    """The distinct windows of all items: size, hash, the words joined by spaces and the items that hold them."""
     items = benchmark.select(F.col("item_id"), benchmark_words(whole_text()).alias("words"))
     sized = items.withColumn("size", F.least(F.lit(width), F.size("words"))).where("size > 0")
     each = sized.select(
         "item_id", "size", "words", F.explode(windows_of(F.col("words"), F.col("size"))).alias("at")
     ).select("item_id", "size", F.slice("words", F.col("at") + 1, F.col("size")).alias("window"))
     return (
-        each.groupBy("size", "window")
+        each.groupBy("size", F.xxhash64("window").alias("hash"), F.array_join("window", " ").alias("window"))
         .agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-        .withColumn("hash", F.xxhash64("window"))
     )
 
 
@@ -77,7 +76,7 @@ def window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .select("doc_id", F.col("w.at").alias("at"), F.col("w.size").alias("size"), F.col("w.hash").alias("hash"))
         .join(F.broadcast(wanted) if small else wanted, ["size", "hash"])
         .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("at", "size", "window", "items")).alias("hits"))
+        .agg(F.collect_list(F.struct("at", "size", "window", "items")).alias("hits"))
     )
 
 
@@ -87,13 +86,14 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
     and contaminated: a twentieth of the words hit, at least one."""
     windows = stored(item_windows(benchmark, width), "windows")
     hits = window_hits(docs, windows)
-    none = F.array().cast("array<struct<at:int,size:int,window:array<string>,items:array<string>>>")
+    none = F.array().cast("array<struct<at:int,size:int,window:string,items:array<string>>>")
     rows = (
-        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+        docs.select(row_struct(docs).alias("row"))
         .join(hits, F.col("row.doc_id").eqNullSafe(hits["doc_id"]), "left")
         .select("row", benchmark_words(whole_text("row.text")).alias("words"), F.coalesce("hits", none).alias("hits"))
     )
-    true_hits = F.filter("hits", lambda h: F.slice("words", h["at"] + 1, h["size"]) == h["window"])
+    # No word holds a space, so joined words are equal only if the words are.
+    true_hits = F.filter("hits", lambda h: F.array_join(F.slice("words", h["at"] + 1, h["size"]), " ") == h["window"])
     spans = F.array_sort(
         F.transform("hits", lambda h: F.struct(h["at"].alias("begin"), (h["at"] + h["size"]).alias("end")))
     )
@@ -141,4 +141,4 @@ def without_hit_words(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH)
     words = benchmark_words(whole_text("row.text"))
     free = F.filter(words, lambda w, i: ~F.exists("hit_spans", lambda s: (i >= s["begin"]) & (i < s["end"])))
     text = F.when(F.col("n_hit") > 0, F.array_join(free, " ")).otherwise(F.col("row.text"))
-    return marked.select(*[text.alias(c) if c == "text" else F.col(f"row.{c}") for c in docs.columns])
+    return marked.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -48,6 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_struct(df: DataFrame) -> Column:
+    """All columns of ``df`` in one, where no name meets those an operator uses."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def whole_text(text: str = "text") -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
