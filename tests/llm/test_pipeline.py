@@ -41,6 +41,19 @@ def test_stages(spark, planted):
     assert docs.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 2048
 
 
+def test_clashing_columns(spark, planted):
+    """Columns with the operators' own names, and with odd ones, pass through unchanged."""
+    docs = planted[0].limit(30)
+    names = ["row", "key", "masks", "new", "fp", "component_id", "lang_pred", "score", "hits", "words", "a.b", "row_key", "n words"]
+    wide = docs.select("*", *[F.concat(F.lit("v"), "doc_id").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        for r in out.collect():
+            assert [r[n] for n in names] == [f"v{r.doc_id}"] * len(names)
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() >= 30
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and rows.columns[:2] == ["doc_id", "piece"]

@@ -131,8 +131,8 @@ def test_only_the_text_decides(spark):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     filters = langid.fit_filters(real)
     clash = real.limit(20).selectExpr("text", "'x' AS lang", "'s' AS row", "doc_id AS score_")
-    a = [r.lang_pred for r in langid.with_language(clash, filters).orderBy("score_").collect()]
-    b = [r.lang_pred for r in langid.with_language(real.limit(20), filters).orderBy("doc_id").collect()]
+    a = [r.lang_pred for r in langid.with_language(clash, filters).orderBy("row.score_").collect()]
+    b = [r.lang_pred for r in langid.with_language(real.limit(20), filters).orderBy("row.doc_id").collect()]
     assert a == b
     kept = langid.with_known_language(real, 0.3)
     assert kept.columns == real.columns and kept.count() == real.count()

@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidetable.llm.encoding import mixed
-from tidetable.llm.frames import stored, text_runs, whole_text
+from tidetable.llm.frames import row_struct, stored, text_runs, whole_text
 
 SIZES = (3, 4)
 #: Labelled rows of a language that the filters are fitted on, about.
@@ -41,7 +42,6 @@ LEAST_PART = 0.2
 PLACES, HASHES = 1 << 20, 4
 
 UNKNOWN = "und"
-PREDICTED = "row long, lang_pred string, score double, n_grams long"
 
 _odd = np.uint64(0x9E3779B97F4A7C15)
 
@@ -198,11 +198,11 @@ def build_filters(languages: list[str], grams: np.ndarray, owner: np.ndarray) ->
     return LanguageFilters(languages, table, np.minimum(np.array(filled) ** HASHES, 0.99))
 
 
-def with_language(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``n_grams``; only the text decides."""
+def with_language(docs: DataFrame, filters: LanguageFilters, keep: list[str] | None = None) -> DataFrame:
+    """``lang_pred``, ``score`` and ``n_grams`` of each row, whose columns (or those to keep) are in
+    the struct ``row``; only the text decides."""
     model = docs.sparkSession.sparkContext.broadcast(filters)  # a table of fixed size
-    columns = docs.columns
-    packed = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    packed = docs.select(row_struct(docs if keep is None else docs.select(*keep)).alias("row"), F.col("text").cast("string").alias("text"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_runs(batches):
@@ -212,20 +212,20 @@ def with_language(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
                 names=["row", "lang_pred", "score", "n_grams"],
             )
 
-    schema = packed.schema["row"].dataType.simpleString()
-    out = packed.mapInArrow(predict, f"row {schema}, lang_pred string, score double, n_grams long")
-    return out.select("row.*", "lang_pred", "score", "n_grams")
+    found = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("n_grams", T.LongType())]
+    schema = T.StructType([packed.schema["row"], *(T.StructField(name, kind) for name, kind in found)])
+    return packed.mapInArrow(predict, schema)
 
 
 def languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred, score and n_grams for every row of ``docs`` (doc_id, text, lang)."""
     filters = fit_filters(docs, per_language)
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return with_language(rows, filters).select("doc_id", "held_out", "lang_pred", "score", "n_grams")
+    found = with_language(rows, filters, ["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score", "n_grams")
 
 
 def with_known_language(docs: DataFrame, least_score: float, per_language: int = PER_LANGUAGE) -> DataFrame:
     """``docs`` without the rows that have no language: ``und``, or a score under ``least_score``."""
     marked = with_language(docs, fit_filters(docs, per_language))
-    known = marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return known.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")

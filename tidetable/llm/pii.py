@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidetable.llm.frames import prefix_sums, stored, whole_text
+from tidetable.llm.frames import prefix_sums, row_struct, stored, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -268,20 +268,20 @@ def sanitised(
         .where(F.size("masks") > 0)
         .dropDuplicates(["row_key"])
     )
-    keyed = docs.withColumn("_whole", whole_text())
-    keyed = keyed.withColumn("_key", F.xxhash64("doc_id", "_whole"))
-    joined = keyed.join(masks, keyed["_key"] == masks["row_key"], "left")
-    text = F.when(F.col("masks").isNotNull(), masked(F.col("_whole"), F.col("masks"))).otherwise(F.col("text"))
-    joined = joined.withColumn("_new", text)
+    keyed = docs.select(row_struct(docs).alias("row"), whole_text().alias("text"), F.col("doc_id")).select(
+        "row", "text", row_key().alias("key")
+    )
+    joined = keyed.join(masks, keyed["key"] == masks["row_key"], "left").withColumn(
+        "new", F.when(F.col("masks").isNotNull(), masked(F.col("text"), F.col("masks")))
+    )
+    changed = {"text": F.col("new"), "n_chars": F.length("new")}
     out = []
     for c in docs.columns:
-        if c == "text":
-            out.append(F.col("_new").alias(c))
-        elif c == "n_chars":
-            new = F.length("_new").cast(docs.schema[c].dataType)
-            out.append(F.when(F.col("masks").isNotNull(), new).otherwise(keyed[c]).alias(c))
-        else:
-            out.append(keyed[c])
+        old = F.col("row")[c]
+        if c in changed:
+            new = changed[c].cast(docs.schema[c].dataType)
+            old = F.when(F.col("masks").isNotNull(), new).otherwise(old)
+        out.append(old.alias(c))
     return joined.select(*out)
 
 

@@ -35,7 +35,7 @@ SHINGLE = 3
 SEED = 42
 
 #: Rows of one key that are compared pair by pair; beyond, each row's neighbours are looked up.
-MOST_COMPARED = 200_000
+MOST_COMPARED = 50_000
 
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
@@ -216,4 +216,5 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     groups = near_duplicate_groups(docs.where(F.col("doc_id").isNotNull()), shingle)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return named.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()))
