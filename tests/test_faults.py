@@ -40,6 +40,7 @@ def test_rows_are_made_once(spark, db, tmp_path, work):
         out = run_query(spark, "SELECT id FROM counted_rows", result_url=str(tmp_path / "out"))
         assert out.count() == 900
         assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 900
+        spark.catalog.dropTempView("counted_rows")
     assert total.value == 900
 
 
@@ -135,6 +136,7 @@ def test_parameters_inside_literals(spark):
     spark.range(3).selectExpr("concat('x', id, 'y') AS t").createOrReplaceTempView("texts")
     out = run_query(spark, "SELECT t FROM texts WHERE t LIKE '%{part}%' AND t <> 'it''s'", {"part": "1"})
     assert [r.t for r in out.collect()] == ["x1y"]
+    spark.catalog.dropTempView("texts")
 
 
 @pytest.mark.parametrize("session", [False, True])
@@ -177,3 +179,27 @@ def test_listing_writes_nothing(spark, db):
     row = list_tables(spark, database=db).first()
     assert row["count"] == 5 and row.estimated_storage_size > 0 and row.created_at is not None
     assert spark.sql(f"DESCRIBE TABLE EXTENDED {db}.t").collect() == before
+
+
+def test_loads_divided_by_day(spark, db):
+    name, day = f"{db}.t", 86_400
+    rows = spark.range(12).selectExpr("id", f"(id % 4) * {day} + id AS time")
+    for part in (0, 1, 2):
+        load_table(rows.where(f"id % 3 = {part}"), name, "append", load_id=f"q-{part}", day_partitions=True)
+    load_table(rows.where("id % 3 = 1 AND id < 5"), name, "append", load_id="q-1")
+    want = [i for i in range(12) if i % 3 != 1 or i < 5]
+    assert sorted(r.id for r in read_table(spark, name, ["id"]).collect()) == want
+    assert spark.table(name).schema["_day"].dataType.simpleString() == "date"
+    inside = read_table(spark, name, ["id"], time_range=(day, 2 * day))
+    assert sorted(r.id for r in inside.collect()) == [i for i in want if i % 4 == 1]
+    assert "_day" in inside._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
+    recast_columns(spark, name, [("id", "varchar")])
+    assert sorted(int(r.id) for r in read_table(spark, name, ["id"]).collect()) == want
+    fold_loads(Destination.of(spark, name), "q", 2)
+    loads = {r.partition.split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    assert loads == {"_load_id=q-0_1", "_load_id=q-2"}
+    assert sorted(int(r.id) for r in read_table(spark, name, ["id"]).collect()) == want
+    bad = spark.createDataFrame([("5", "soon"), ("6", "1970-01-02 00:00:00")], "id string, at string")
+    load_table(bad, name, "append", load_id="q-3", time_col="at")
+    assert spark.table(f"{name}__rejects").count() == 1
+    assert "6" in {r.id for r in read_table(spark, name, ["id"], time_range=(day, 2 * day)).collect()}

@@ -157,7 +157,7 @@ def test_validated_load(spark, db, caplog):
     schema = declared_schema(["a", "time", "note"], ["bigint", "bigint", "varchar"])
     report = load_table(df, name, validate=True, schema=schema)
     assert (report.total, report.valid, report.rejected) == (5, 2, 3)
-    assert report.load_id.startswith("session-")
+    assert report.load_id.startswith("load-")
     assert "3 of 5 rows rejected" in caplog.text
     assert {r.note for r in read_table(spark, name).collect()} == {"ok", "null a"}
     assert read_table(spark, name).columns == ["a", "time", "note"]

@@ -352,3 +352,21 @@ def recast_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_table(table(spark, sf_dir, "events").select("event_id", text.alias("value")), name, add_time=False)
     recast_columns(spark, name, [("value", "double")])
     return _read(spark, name)
+
+
+@query(
+    "load_sessions_by_day",
+    "L5 L8 C3",
+    EVENTS_SQL
+    + """SELECT event_id, time FROM ev
+    WHERE time >= epoch(TIMESTAMP '2024-01-07 06:00:00') AND time < epoch(TIMESTAMP '2024-01-21')""",
+)
+def load_sessions_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeatable loads whose rows are divided by day, so that a time range opens few files."""
+    name = f"{new_database(spark)}.t"
+    events = events_with_time(spark, sf_dir).select("event_id", "time")
+    for part in (0, 1, 2, 1):
+        load_table(
+            events.where(_part_of("event_id") == part), name, "append", load_id=f"part-{part}", day_partitions=True
+        )
+    return read_table(spark, name, time_range=("2024-01-07 06:00", "2024-01-21"))

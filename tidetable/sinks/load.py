@@ -161,8 +161,7 @@ def load_table(
     mode = mode if exists else "create"
     partitions = dest.partition_columns if mode == "append" else []
     in_session = validate or load_id is not None or LOAD_ID in partitions
-    if in_session and (day_partitions or DAY in partitions):
-        raise ValueError("load sessions and day partitions cannot be combined")
+    by_day = DAY in partitions or (day_partitions and not (mode == "append" and LOAD_ID in partitions))
 
     declared = schema or (dest.schema if mode == "append" else None)
     frame = prepare(
@@ -180,13 +179,12 @@ def load_table(
         if sort_by_time:
             frame = frame.sortWithinPartitions(TIME)
         load_id, total, valid = run_session(
-            frame, dest, mode, schema, evolve, load_id, allow_empty, settings
+            frame, dest, mode, schema, evolve, load_id, allow_empty, settings, by_day
         )
         return LoadReport(dest.sql, load_id=load_id, total=total, valid=valid)
 
     if schema is not None:
         frame = conform(frame, schema, evolve)
-    by_day = day_partitions or DAY in partitions
     total = _write_direct(frame, dest, mode, evolve, settings, sort_by_time, by_day, allow_empty)
     return LoadReport(dest.sql, total=total, valid=total)
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidetable.operators.declared import converted, declared_type
 from tidetable.session import sql_settings
-from tidetable.sinks.sessions import RECAST_PREFIX, partition_path
+from tidetable.sinks.sessions import RECAST_PREFIX, add_parts, part_path, parts_of, written_parts
 from tidetable.sinks.storage import child_names, delete_path
 from tidetable.sinks.tables import DAY, LOAD_ID, Destination, create_empty, staging_for, swap_in
 
@@ -57,26 +57,18 @@ def recast_columns(
 
     # A session table: rewrite all loads beside the old ones, then point at the new files.
     run = f"{dest.loads_path}/{RECAST_PREFIX}{uuid.uuid4().hex}"
-    ids = [r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {dest.sql}").collect()]
-    try:
-        with sql_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"}):
-            recast.write.partitionBy(LOAD_ID).parquet(run)
-    except BaseException:
-        delete_path(spark, run)
-        raise
-    stored = T.StructType([f for f in recast.schema if f.name != LOAD_ID])
+    keys = [c for c in (LOAD_ID, DAY) if c in dest.partition_columns]
+    parts = parts_of(dest)
+    stored = T.StructType([f for f in recast.schema if f.name not in keys])
     staged = staging_for(dest)
-    old = [path for path in (partition_path(dest, i) for i in ids) if path]
+    old = [path for path in (part_path(dest, part) for part in parts) if path]
     try:
-        create_empty(staged, stored, [LOAD_ID])
-        written = set(child_names(spark, run))
-        specs = [
-            f"PARTITION (`{LOAD_ID}` = '{i}') LOCATION '{run}/{LOAD_ID}={i}'"
-            for i in ids
-            if f"{LOAD_ID}={i}" in written
-        ]
-        for at in range(0, len(specs), 500):
-            spark.sql(f"ALTER TABLE {staged.sql} ADD {' '.join(specs[at : at + 500])}")
+        with sql_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"}):
+            recast.write.partitionBy(*keys).parquet(run)
+        create_empty(staged, stored, keys)
+        loads = {name.split("=", 1)[1] for name in child_names(spark, run) if name.startswith(f"{LOAD_ID}=")}
+        for load_id in sorted(loads):
+            add_parts(staged, written_parts(staged, load_id, f"{run}/{LOAD_ID}={load_id}"))
         swap_in(dest, staged)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {staged.sql}")

@@ -3,7 +3,8 @@
 A session writes its files once, split into good and rejected rows, into a folder of its
 own beside the table. Publishing points the table's ``_load_id`` partition at the good
 files, so nothing is copied, a load appears at once or not at all, and repeating an id
-replaces that load's rows.
+replaces that load's rows. A table that is also divided by day has a partition for each
+load and day; there a load appears day by day.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidetable.errors import NoValidRecordsError
+from tidetable.functions.timefuncs import utc_day
 from tidetable.operators.declared import REASON, REJECTED, ROW, conform_checked
-from tidetable.operators.timecols import TIME_TEXT
+from tidetable.operators.timecols import TIME, TIME_TEXT
 from tidetable.session import sql_settings
-from tidetable.sinks.storage import delete_path
+from tidetable.sinks.storage import child_names, delete_path
 from tidetable.sinks.tables import (
+    DAY,
     LOAD_ID,
     Destination,
     add_columns,
@@ -37,6 +40,9 @@ logger = logging.getLogger(__name__)
 # Holds a dot, which no load id may.
 RECAST_PREFIX = "recast."
 
+# Stands for the day of rejected rows while a load is staged.
+NO_DAY = "none"
+
 _REJECTS_SCHEMA = T.StructType(
     [T.StructField(ROW, T.StringType()), T.StructField(REASON, T.StringType())]
 )
@@ -51,38 +57,80 @@ def check_load_id(load_id: str | None) -> str:
     return load_id
 
 
-def _spec(load_id: str) -> str:
-    return f"PARTITION (`{LOAD_ID}` = '{load_id}')"
+Part = dict[str, str]
+
+
+def _spec(part: Part) -> str:
+    return f"PARTITION ({', '.join(f'`{c}` = {v!r}' for c, v in part.items())})"
 
 
-def partition_path(table: Destination, load_id: str) -> str | None:
-    """Where the files of one load lie, as the catalog knows it; nothing is listed."""
+def parts_of(table: Destination, load_id: str | None = None) -> list[Part]:
+    """The catalog partitions of a table, or of one load in it; nothing is listed."""
     if not table.exists or LOAD_ID not in table.partition_columns:
-        return None
-    if not table.spark.sql(f"SHOW PARTITIONS {table.sql} {_spec(load_id)}").head(1):
-        return None
-    rows = table.spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql} {_spec(load_id)}").collect()
+        return []
+    only = "" if load_id is None else _spec({LOAD_ID: load_id})
+    rows = table.spark.sql(f"SHOW PARTITIONS {table.sql} {only}").collect()
+    return [dict(p.split("=", 1) for p in r.partition.split("/")) for r in rows]
+
+
+def part_path(table: Destination, part: Part) -> str | None:
+    """Where the files of a partition lie, as the catalog knows it."""
+    rows = table.spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql} {_spec(part)}").collect()
     return next((r.data_type for r in rows if r.col_name == "Location"), None)
 
 
-def _point_partition(table: Destination, load_id: str, path: str) -> None:
-    spark = table.spark
-    if spark.sql(f"SHOW PARTITIONS {table.sql} {_spec(load_id)}").head(1):
-        spark.sql(f"ALTER TABLE {table.sql} {_spec(load_id)} SET LOCATION '{path}'")
-    else:
-        spark.sql(f"ALTER TABLE {table.sql} ADD {_spec(load_id)} LOCATION '{path}'")
+def add_parts(table: Destination, located: list[tuple[Part, str]]) -> None:
+    for at in range(0, len(located), 500):
+        specs = " ".join(f"{_spec(part)} LOCATION '{path}'" for part, path in located[at : at + 500])
+        table.spark.sql(f"ALTER TABLE {table.sql} ADD {specs}")
+
+
+def drop_parts(table: Destination, parts: list[Part]) -> None:
+    if not parts:
+        return
+    for at in range(0, len(parts), 500):
+        specs = ", ".join(map(_spec, parts[at : at + 500]))
+        table.spark.sql(f"ALTER TABLE {table.sql} DROP IF EXISTS {specs}")
     table.refresh()
 
 
+def _run_folder(dest: Destination, path: str) -> str:
+    """What to delete when a load's files at ``path`` are replaced: its run's folder, or within the
+    shared folder of a recast its own."""
+    at = path.index("__loads/") + len("__loads/")
+    run = path[at:].split("/", 1)[0]
+    return path if run.startswith(RECAST_PREFIX) else path[:at] + run
+
+
+def written_parts(table: Destination, load_id: str, path: str) -> list[tuple[Part, str]]:
+    """The partitions that a load's files at ``path`` make, one for each day if the table has days."""
+    if DAY not in table.partition_columns:
+        return [({LOAD_ID: load_id}, path)]
+    days = [n.split("=", 1)[1] for n in child_names(table.spark, path) if n.startswith(f"{DAY}=")]
+    return [({LOAD_ID: load_id, DAY: day}, f"{path}/{DAY}={day}") for day in sorted(days)]
+
+
+def _point_load(table: Destination, load_id: str, path: str) -> None:
+    """Let a load's partitions show the files at ``path``, and nothing that it held before."""
+    have = parts_of(table, load_id)
+    located = written_parts(table, load_id, path)
+    for part, place in located:
+        if part in have:
+            table.spark.sql(f"ALTER TABLE {table.sql} {_spec(part)} SET LOCATION '{place}'")
+    add_parts(table, [(part, place) for part, place in located if part not in have])
+    now = [part for part, _ in located]
+    drop_parts(table, [part for part in have if part not in now])
+
+
 def _keep_rejects(dest: Destination, load_id: str, path: str | None) -> None:
     rejects = dest.sibling("__rejects")
     if path is None:
         if rejects.exists:
-            dest.spark.sql(f"ALTER TABLE {rejects.sql} DROP IF EXISTS {_spec(load_id)}")
+            drop_parts(rejects, parts_of(rejects, load_id))
         return
     if not rejects.exists:
         create_empty(rejects, _REJECTS_SCHEMA, [LOAD_ID])
-    _point_partition(rejects, load_id, path)
+    _point_load(rejects, load_id, path)
 
 
 def run_session(
@@ -94,9 +142,11 @@ def run_session(
     load_id: str | None = None,
     allow_empty: bool = False,
     write_settings: dict[str, str] | None = None,
+    by_day: bool = False,
 ) -> tuple[str, int, int]:
     """Stage, count, publish. Returns the load id and the total and valid row counts.
 
+    ``by_day`` files the rows of each load by their day too, so that time ranges skip files.
     ``mode`` is ``create``, ``overwrite`` or ``append``. No valid row: nothing is
     published and :class:`NoValidRecordsError` is raised (unless ``allow_empty``).
     """
@@ -115,18 +165,22 @@ def run_session(
     replaced = []
     if appending and by_session:
         tables = (dest, dest.sibling("__rejects"))
-        replaced = [path for path in (partition_path(t, load_id) for t in tables) if path]
+        replaced = [path for t in tables for path in (part_path(t, p) for p in parts_of(t, load_id)) if path]
     seen = Observation()
     observed = checked.observe(
         seen,
         F.count(F.lit(1)).alias("total"),
         F.count(F.when(~F.col(REJECTED), 1)).alias("valid"),
     )
-    # Two open files per task instead of a sort on the two-valued split column.
-    settings = {"spark.sql.maxConcurrentOutputFileWriters": "2", **(write_settings or {})}
+    # A few open files per task instead of a sort on the split columns.
+    settings = {"spark.sql.maxConcurrentOutputFileWriters": "32" if by_day else "2", **(write_settings or {})}
+    split = [REJECTED]
+    if by_day:
+        day = F.when(F.col(REJECTED), F.lit(NO_DAY)).otherwise(utc_day(F.col(TIME)).cast("string"))
+        observed, split = observed.withColumn(DAY, day), [REJECTED, DAY]
     try:
         with sql_settings(spark, settings):
-            observed.write.partitionBy(REJECTED).parquet(run)
+            observed.write.partitionBy(*split).parquet(run)
         total, valid = seen.get["total"], seen.get["valid"]
         if total > valid:
             logger.warning("load %s: %d of %d rows rejected", load_id, total - valid, total)
@@ -135,36 +189,36 @@ def run_session(
     except BaseException:
         delete_path(spark, run)
         raise
-    good, bad = f"{run}/{REJECTED}=false", f"{run}/{REJECTED}=true"
+    good, bad = f"{run}/{REJECTED}=false", f"{run}/{REJECTED}=true" + (f"/{DAY}={NO_DAY}" if by_day else "")
     if not valid:
         delete_path(spark, run)
         if by_session and appending:
             # Repeating an id with an empty input takes that load's rows out again.
-            spark.sql(f"ALTER TABLE {dest.sql} DROP IF EXISTS {_spec(load_id)}")
+            drop_parts(dest, parts_of(dest, load_id))
             _keep_rejects(dest, load_id, None)
-            for path in replaced:
+            for path in {_run_folder(dest, path) for path in replaced}:
                 delete_path(spark, path)
         return load_id, total, valid
 
     if appending:
         add_columns(dest, [f for f in stored if f.name not in dest.schema.names])
         if by_session:
-            _point_partition(dest, load_id, good)
+            _point_load(dest, load_id, good)
         else:
-            insert_by_name(dest, spark.read.schema(stored).parquet(good))
+            days = [T.StructField(DAY, T.DateType())] if by_day else []
+            insert_by_name(dest, spark.read.schema(T.StructType([*stored, *days])).parquet(good))
             delete_path(spark, good)
     else:
         # The new table is complete under another name before the old one goes.
         staged = staging_for(dest)
-        create_empty(staged, stored, [LOAD_ID])
-        _point_partition(staged, load_id, good)
+        create_empty(staged, stored, [LOAD_ID, DAY] if by_day else [LOAD_ID])
+        _point_load(staged, load_id, good)
         swap_in(dest, staged)
         spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
         forget_loads(dest, keep=run)
     _keep_rejects(dest, load_id, bad if total > valid else None)
-    for path in replaced:
-        if not path.startswith(run):
-            delete_path(spark, path)
+    for path in {_run_folder(dest, path) for path in replaced}:
+        delete_path(spark, path)
     return load_id, total, valid
 
 
@@ -179,60 +233,61 @@ def fold_loads(dest: Destination, name: str, every: int = FOLD_EVERY) -> None:
     that of loads. The newest load is left alone, as it may be run again. A folded load is
     added before its parts are dropped; if a run ends between, the next call drops them.
     """
-    for table in (dest, dest.sibling("__rejects")):
-        if not table.exists or LOAD_ID not in table.partition_columns:
-            continue
-        spans = _spans(table, name)
-        _drop_parts(table, name, spans)
-        spans = _spans(table, name)
-        done = sorted(spans)[:-1]
+    tables = (dest, dest.sibling("__rejects"))
+    emptied: list[str] = []
+    for table in tables:
+        emptied += _drop_inner(table, name)
+        done = sorted(_spans(table, name))[:-1]
         by_size: dict[int, list[tuple[int, int]]] = {}
         for first, last in done:
             size = 0
             while every ** (size + 1) <= last - first + 1:
                 size += 1
             by_size.setdefault(size, []).append((first, last))
-        for parts in by_size.values():
-            if len(parts) >= every:
-                _fold(table, name, parts)
+        for spans in by_size.values():
+            if len(spans) >= every:
+                emptied += _fold(table, name, spans)
+    held = {_run_folder(dest, p) for t in tables for p in (part_path(t, part) for part in parts_of(t)) if p} if emptied else set()
+    for path in {_run_folder(dest, path) for path in emptied} - held:
+        delete_path(dest.spark, path)
 
 
 def _spans(table: Destination, name: str) -> dict[tuple[int, int], str]:
     """First and last number of each load of that name, and its id."""
     found = {}
-    for row in table.spark.sql(f"SHOW PARTITIONS {table.sql}").collect():
-        match = re.fullmatch(rf"{re.escape(LOAD_ID)}={re.escape(name)}-(\d+)(?:_(\d+))?", row.partition)
+    for load_id in {part[LOAD_ID] for part in parts_of(table)}:
+        match = re.fullmatch(rf"{re.escape(name)}-(\d+)(?:_(\d+))?", load_id)
         if match:
-            found[int(match[1]), int(match[2] or match[1])] = row.partition.split("=", 1)[1]
+            found[int(match[1]), int(match[2] or match[1])] = load_id
     return found
 
 
 def covering_load(dest: Destination, name: str, number: int) -> bool:
     """Whether a folded load already holds the load of that number."""
-    if not dest.exists or LOAD_ID not in dest.partition_columns:
-        return False
     return any(first <= number <= last and first < last for first, last in _spans(dest, name))
 
 
-def _drop_parts(table: Destination, name: str, spans: dict[tuple[int, int], str]) -> None:
-    """Drop the loads that lie within another one, files included."""
-    inner = [
-        load for (a, b), load in spans.items() if any(c <= a and b <= d and (a, b) != (c, d) for c, d in spans)
-    ]
-    if inner:
-        paths = [partition_path(table, load) for load in inner]
-        table.spark.sql(f"ALTER TABLE {table.sql} DROP IF EXISTS {', '.join(map(_spec, inner))}")
-        table.refresh()
-        for path in filter(None, paths):
-            delete_path(table.spark, path)
+def _drop_inner(table: Destination, name: str) -> list[str]:
+    """Drop the loads that lie within another one; where their files were."""
+    spans = _spans(table, name)
+    inner = {load for (a, b), load in spans.items() if any(c <= a and b <= d and (a, b) != (c, d) for c, d in spans)}
+    parts = [part for part in parts_of(table) if part[LOAD_ID] in inner] if inner else []
+    paths = [part_path(table, part) for part in parts]
+    drop_parts(table, parts)
+    for path in filter(None, paths):
+        delete_path(table.spark, path)
+    return [path for path in paths if path]
 
 
-def _fold(table: Destination, name: str, parts: list[tuple[int, int]]) -> None:
+def _fold(table: Destination, name: str, spans: list[tuple[int, int]]) -> list[str]:
     spark = table.spark
-    ids = [_spans(table, name)[p] for p in parts]
-    first, last = parts[0][0], parts[-1][1]
-    run = f"{table.loads_path}/{name}-{first}_{last}-{uuid.uuid4().hex}"
+    ids = [load for span, load in _spans(table, name).items() if span in spans]
+    load_id = f"{name}-{spans[0][0]}_{spans[-1][1]}"
+    run = f"{table.loads_path}/{load_id}-{uuid.uuid4().hex}"
     rows = spark.table(table.sql).where(F.col(LOAD_ID).isin(ids)).drop(LOAD_ID)
-    rows.hint("rebalance").write.parquet(run)
-    _point_partition(table, f"{name}-{first}_{last}", run)
-    _drop_parts(table, name, _spans(table, name))
+    if DAY in table.partition_columns:
+        rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(run)
+    else:
+        rows.hint("rebalance").write.parquet(run)
+    _point_load(table, load_id, run)
+    return _drop_inner(table, name)

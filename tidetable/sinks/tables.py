@@ -97,7 +97,7 @@ def _definition(field: T.StructField) -> str:
 def create_empty(dest: Destination, schema: T.StructType, partitioned_by: Sequence[str] = ()) -> None:
     """Create a parquet table with the given columns, partition columns last."""
     columns = ", ".join(_definition(f) for f in schema.fields)
-    columns += "".join(f", `{c}` STRING" for c in partitioned_by)
+    columns += "".join(f", `{c}` {'DATE' if c == DAY else 'STRING'}" for c in partitioned_by)
     tail = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitioned_by)})" if partitioned_by else ""
     dest.spark.sql(f"CREATE TABLE {dest.sql} ({columns}) USING parquet{tail}")
 
