@@ -77,6 +77,7 @@ def letters(spark):
     rows = [(i, f"note {i} " + "so we met " * i + f"ask Zorbly about item{i} at zq@x.org or elsewhere") for i in range(12)]
     rows += [(100 + i, "we met at noon to ask about an item or a note elsewhere " * 40) for i in range(40)]
     rows += [(200 + i, "only Quandry knows cc@y.org here") for i in range(9)]
+    rows += [(300, "the Wumpel line has dd@z.org in it\n" * 30)]
     return spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
 
 

@@ -10,8 +10,9 @@ side of it that no digit or @ is part of. Over the whole corpus, with N contexts
 
 and the term's disclosure of the entity is the pointwise mutual information over the entity's
 information, log(p(entity, term) / (p(entity) p(term))) / -log p(entity): 1 where the term stands
-beside the entity alone, 0 where it tells nothing. Contexts of the same words count once, so that
-copies are no evidence, and fewer than ``SUPPORT`` contexts are none either. In a context of its
+beside the entity alone, 0 where it tells nothing. A document gives one context at most, and
+contexts of the same words count once, so that copies and repeated lines are no evidence; fewer
+than ``SUPPORT`` contexts are none either. In a context of its
 entity a term of disclosure ``GENERALISE`` or more is replaced by its kind of word, one of
 ``REMOVE`` or more is left out.
 
@@ -152,7 +153,6 @@ def context_terms(base: DataFrame) -> DataFrame:
     cut = entities.select(
         "row_key",
         "entity",
-        F.xxhash64("left", "right").alias("context"),
         "start",
         "end",
         F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH)).alias("before"),
@@ -167,7 +167,7 @@ def context_terms(base: DataFrame) -> DataFrame:
     words = cut.select(
         "row_key",
         "entity",
-        "context",
+        F.xxhash64(F.transform(F.concat("before", "after"), lambda w: F.lower(F.trim(w)))).alias("context"),
         F.explode(F.concat(placed("before", F.col("start") - before_chars), placed("after", F.col("end")))).alias("w"),
     )
     term = F.regexp_extract("w.word", f"{_letters}+", 0)
@@ -186,7 +186,9 @@ def context_terms(base: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, base: DataFrame, terms: DataFrame, support: int = SUPPORT) -> DataFrame:
     """``entity``, ``term`` and the term's ``disclosure`` of it, for all pairs with enough contexts."""
     pairs = (
-        terms.select("entity", "term", "context")
+        terms.groupBy("entity", "term", "row_key")
+        .agg(F.min("context").alias("context"))
+        .select("entity", "term", "context")
         .distinct()
         .groupBy("entity", "term")
         .agg(F.count("*").alias("together"))
@@ -194,7 +196,12 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, terms: DataFrame, support
     )
     pairs = stored(pairs, "pairs")
     contexts = (
-        terms.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts"))
+        terms.groupBy("entity", "row_key")
+        .agg(F.min("context").alias("context"))
+        .select("entity", "context")
+        .distinct()
+        .groupBy("entity")
+        .agg(F.count("*").alias("contexts"))
     )
     wanted = stored(pairs.select("term").distinct(), "wanted")
     n_wanted = wanted.count()
