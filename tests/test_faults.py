@@ -9,7 +9,7 @@ from pyspark.errors.exceptions.captured import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from tidetable.functions.timefuncs import as_epoch, epoch_trunc
-from tidetable.operators import declared_schema, parse_dates, pivot_result, shape_result
+from tidetable.operators import add_row_index, declared_schema, parse_dates, pivot_result, shape_result
 from tidetable.session import isolated_session
 from tidetable.sinks import Destination, load_table, recast_columns, store_frame, write_csv
 from tidetable.sinks import tables as sink_tables
@@ -179,6 +179,8 @@ def test_listing_writes_nothing(spark, db):
     row = list_tables(spark, database=db).first()
     assert row["count"] == 5 and row.estimated_storage_size > 0 and row.created_at is not None
     assert spark.sql(f"DESCRIBE TABLE EXTENDED {db}.t").collect() == before
+    unread = list_tables(spark, database=db, exact=False)
+    assert unread.first()["count"] is None and unread.first().estimated_storage_size > 0
 
 
 def test_loads_divided_by_day(spark, db):
@@ -203,3 +205,9 @@ def test_loads_divided_by_day(spark, db):
     load_table(bad, name, "append", load_id="q-3", time_col="at")
     assert spark.table(f"{name}__rejects").count() == 1
     assert "6" in {r.id for r in read_table(spark, name, ["id"], time_range=(day, 2 * day)).collect()}
+
+
+def test_row_index_in_given_partitions(spark):
+    df = spark.range(0, 500, 1, 3).selectExpr("id", "id % 2 AS k")
+    rows = add_row_index(df, ["k", "id"], "at", partitions=17).collect()
+    assert [r.at for r in sorted(rows, key=lambda r: (r.k, r.id))] == list(range(500))

@@ -15,8 +15,23 @@ from tidetable.session import written
 _POSITION_BITS = 33
 
 
+# Bytes of input that a sorting task should get, and the most tasks asked for.
+_TASK_BYTES, _MOST_TASKS = 256 * 1024 * 1024, 100_000
+
+
+def _sort_tasks(df: DataFrame) -> int:
+    """The session's number of shuffle partitions, or more where the input's known size asks for it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 2**62
+    wanted = min(size // _TASK_BYTES, _MOST_TASKS) if known else 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
 def add_row_index(
-    df: DataFrame, order_by: Sequence[str | Column] | str | Column | None = None, name: str = "index"
+    df: DataFrame,
+    order_by: Sequence[str | Column] | str | Column | None = None,
+    name: str = "index",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Append a 0-based index that follows ``order_by`` (or the present row order).
 
@@ -24,6 +39,7 @@ def add_row_index(
     starting points are summed from one count per partition. The numbered rows are written
     to the shared folder first: a recomputed shuffle could otherwise number them anew.
     Rows with equal keys are spread by a hash of the row, so no key fills one partition.
+    ``partitions`` is the number of sorting tasks; by default it follows the input's size.
     """
     if name in df.columns:
         raise ValueError(f"the frame already has a column {name!r}")
@@ -35,7 +51,8 @@ def add_row_index(
         hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         ordered = df.withColumns({tie: F.xxhash64(*hashed), copy: F.monotonically_increasing_id()})
         keys = [*keys, F.col(tie), F.col(copy)]
-        ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie, copy)
+        ordered = ordered.repartitionByRange(partitions or _sort_tasks(df), *keys)
+        ordered = ordered.sortWithinPartitions(*keys).drop(tie, copy)
     numbered = written(ordered.withColumn(slot, F.monotonically_increasing_id()), "rowindex")
 
     part = F.shiftright(F.col(slot), _POSITION_BITS)

@@ -51,21 +51,26 @@ def _table_names(spark: SparkSession, pattern: str, database: str | None) -> lis
     return sorted(found)
 
 
-def list_tables(spark: SparkSession, pattern: str = "", database: str | None = None) -> DataFrame:
+def list_tables(
+    spark: SparkSession, pattern: str = "", database: str | None = None, exact: bool = True
+) -> DataFrame:
     """One row per table whose ``db.table`` contains a match of ``pattern``.
 
+    With ``exact=False`` no table is read: counts and last log times are NULL.
     Counts and last log times are measured by one small aggregate per table (the count
     from file footers, the time from one column), computed together when the frame runs.
     """
     parts = []
+    unread = spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS count", "CAST(NULL AS BIGINT) AS last")
     for db, name in _table_names(spark, pattern, database):
         identifier = f"`{db}`.`{name}`"
         table = spark.table(identifier)
         details = _details(spark, identifier)
         has_time = TIME in table.columns and table.schema[TIME].dataType.typeName() in ("long", "integer")
         last = F.max(F.col(TIME)) if has_time else F.lit(None).cast("bigint")
+        measured = table.agg(F.count(F.lit(1)).alias("count"), last.alias("last")) if exact else unread
         parts.append(
-            table.agg(F.count(F.lit(1)).alias("count"), last.alias("last")).select(
+            measured.select(
                 F.lit(db).alias("db_name"),
                 F.lit(name).alias("name"),
                 "count",
