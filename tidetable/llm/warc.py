@@ -218,7 +218,8 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
             source.close()
 
     # Ranges of one file lie together and in order, files are dealt over all tasks.
-    dealt = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    files = max(1, index.select("file").distinct().count())
+    dealt = index.select("file", "offset", "length").repartition(files, "file").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(read, RECORD)
 
 
