@@ -28,8 +28,10 @@ from tidetable.llm.frames import stored, text_runs, whole_text
 SIZE = 2048
 #: Documents in a fitted pattern.
 MOST_IN = 3
-#: Pieces of one length that are numbered in one task.
-NUMBERED = 100_000
+#: Part of the fitted counts that patterns are repeated by.
+SHARE = 0.7
+#: Pieces in a part, of which those of one length are numbered in one task, and the most parts.
+NUMBERED, MOST_PARTS = 5_000, 4_096
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _piece_arrow = pa.schema(
@@ -85,6 +87,9 @@ def full_patterns(lengths: np.ndarray, size: int = SIZE, most: int = MOST_IN) ->
 def fitted_counts(patterns: np.ndarray, histogram: np.ndarray, rounds: int = 12, steps: int = 400) -> np.ndarray:
     """Repeat counts x >= 0 that bring the patterns' lengths close to the histogram, in least squares.
 
+    A length's error weighs by the square of its share of a sequence: what is left over of long
+    lengths is hard to place, and short ones fill the gaps.
+
     The patterns in use grow round by round: of those that begin with the same length the one
     with the largest gradient joins. Then the counts of all in use are fitted by accelerated
     projected gradients, and those at zero leave. So few patterns carry large counts, which
@@ -93,6 +98,7 @@ def fitted_counts(patterns: np.ndarray, histogram: np.ndarray, rounds: int = 12,
     x = np.zeros(len(patterns))
     if not len(patterns):
         return x
+    weight = (np.arange(len(histogram)) / (len(histogram) - 1)) ** 2
     target = histogram.astype(float)
     target[0] = 0
     order = np.argsort(patterns[:, 0], kind="stable")
@@ -104,7 +110,7 @@ def fitted_counts(patterns: np.ndarray, histogram: np.ndarray, rounds: int = 12,
         return np.bincount(rows.ravel(), np.repeat(counts, rows.shape[1]), minlength=len(target)) * (np.arange(len(target)) > 0)
 
     for _ in range(rounds):
-        rest = target - lengths_of(patterns, x)
+        rest = weight * (target - lengths_of(patterns, x))
         gain = (rest[patterns] * filled).sum(axis=1)
         best = np.maximum.reduceat(gain[order], groups)
         size = np.diff(np.r_[groups, len(order)])
@@ -116,11 +122,12 @@ def fitted_counts(patterns: np.ndarray, histogram: np.ndarray, rounds: int = 12,
         some = np.flatnonzero(used)
         rows = patterns[some]
         # No eigenvalue is larger than the largest sum of a row of A'A.
-        step = 1 / max(1.0, float((lengths_of(rows, np.ones(len(rows)))[rows] * filled[some]).sum(axis=1).max()))
+        every = weight * lengths_of(rows, np.ones(len(rows)))
+        step = 1 / max(1e-9, float((every[rows] * filled[some]).sum(axis=1).max()))
         y = old = x[some]
         t = 1.0
         for _ in range(steps):
-            slope = ((lengths_of(rows, y) - target)[rows] * filled[some]).sum(axis=1)
+            slope = ((weight * (lengths_of(rows, y) - target))[rows] * filled[some]).sum(axis=1)
             new = np.maximum(0, y - step * slope)
             t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
             y = new + (t - 1) / t_next * (new - old)
@@ -130,15 +137,20 @@ def fitted_counts(patterns: np.ndarray, histogram: np.ndarray, rounds: int = 12,
     return x
 
 
-def rounded_patterns(patterns: np.ndarray, counts: np.ndarray, left: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Whole repeat counts, largest first, never more than the histogram ``left`` has; it is reduced."""
+def rounded_patterns(
+    patterns: np.ndarray, counts: np.ndarray, left: np.ndarray, share: float = SHARE
+) -> list[tuple[tuple[int, ...], int]]:
+    """Whole repeat counts, largest first, never more than the histogram ``left`` has; it is reduced.
+
+    Only a share of each count is taken, so that enough of all lengths is left to fill gaps with.
+    """
     out = []
     for k in np.argsort(-counts, kind="stable").tolist():
-        if counts[k] < 0.5:
+        if share * counts[k] < 1:
             break
         lengths = tuple(n for n in patterns[k].tolist() if n)
         need = {n: lengths.count(n) for n in lengths}
-        times = min(int(counts[k] + 0.5), *(int(left[n]) // c for n, c in need.items()))
+        times = min(int(share * counts[k]), *(int(left[n]) // c for n, c in need.items()))
         if times > 0:
             out.append((lengths, times))
             for n, c in need.items():
@@ -228,7 +240,7 @@ def packed(docs: DataFrame, size: int = SIZE, tokenizer: str = WORD_BPE, end_id:
     where it is packed: sequence_id and offset."""
     pieces = stored(token_pieces(docs, size, tokenizer, end_id), "pieces")
     # A length that a third of all pieces have is numbered in parts, by hash.
-    parts = 1 + pieces.count() // NUMBERED
+    parts = min(1 + pieces.count() // NUMBERED, MOST_PARTS)
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
     counts = dealt.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -241,7 +253,8 @@ def packed(docs: DataFrame, size: int = SIZE, tokenizer: str = WORD_BPE, end_id:
     slots = slots_of(packing_plan(histogram, size), size)
 
     inside = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    numbered = dealt.join(bases.drop("n"), ["length", "part"]).withColumn(
+    # Its rows compress so well that a small file of them would be a large broadcast.
+    numbered = dealt.join(bases.drop("n").hint("merge"), ["length", "part"]).withColumn(
         "number", F.col("base") + F.row_number().over(inside) - 1
     )
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
