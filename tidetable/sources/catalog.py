@@ -32,6 +32,18 @@ def _stored_bytes(table: DataFrame, details: dict[str, str]) -> int | None:
     return None if str(size) == unknown else int(str(size))
 
 
+def _by_file(table: DataFrame, last: Column) -> DataFrame:
+    """Count, last time and size of a table whose size is not known, from its files as they are read."""
+    files = table.groupBy(F.col("_metadata.file_path")).agg(
+        F.count(F.lit(1)).alias("rows"), last.alias("last"), F.max("_metadata.file_size").alias("size")
+    )
+    return files.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("count"),
+        F.max("last").alias("last"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+    )
+
+
 def _created(details: dict[str, str]) -> Column:
     # e.g. "Tue Dec 01 08:28:18 UTC 2026"
     found = re.match(r"\w+ (\w+ \d+ [\d:]+) (\S+) (\d+)", details.get("Created Time", ""))
@@ -68,13 +80,20 @@ def list_tables(
         details = _details(spark, identifier)
         has_time = TIME in table.columns and table.schema[TIME].dataType.typeName() in ("long", "integer")
         last = F.max(F.col(TIME)) if has_time else F.lit(None).cast("bigint")
-        measured = table.agg(F.count(F.lit(1)).alias("count"), last.alias("last")) if exact else unread
+        size = _stored_bytes(table, details)
+        if not exact:
+            measured = unread
+        elif size is None:
+            measured = _by_file(table, last)
+        else:
+            measured = table.agg(F.count(F.lit(1)).alias("count"), last.alias("last"))
+        stored = F.col("bytes") if "bytes" in measured.columns else F.lit(size)
         parts.append(
             measured.select(
                 F.lit(db).alias("db_name"),
                 F.lit(name).alias("name"),
                 "count",
-                F.lit(_stored_bytes(table, details)).cast("bigint").alias("estimated_storage_size"),
+                stored.cast("bigint").alias("estimated_storage_size"),
                 F.timestamp_seconds("last").alias("last_log_timestamp"),
                 _created(details).alias("created_at"),
             )
