@@ -173,6 +173,23 @@ def test_loads_fold(spark, db):
     assert covering_load(dest, "q", 4) and not covering_load(dest, "q", 19)
 
 
+def test_folds_of_dense_and_sparse_loads_keep_all_rows(spark, db):
+    """0_1 and 10_11 are of one size, 2_9 between them is of another; of the good rows and of the rejects."""
+    name = f"{db}.t"
+    numbers = [0, 1, 2, 9, 10, 11, 12, 13]
+    for k in numbers:
+        rows = spark.createDataFrame([(f"good{k}", "1970-01-02 00:00:00"), (f"bad{k}", "soon")], "id string, at string")
+        load_table(rows, name, "append", load_id=f"q-{k}", time_col="at")
+        fold_loads(Destination.of(spark, name), "q", 2)
+    assert sorted(r.id for r in read_table(spark, name, ["id"]).collect()) == sorted(f"good{k}" for k in numbers)
+    rejects = [r[0] for r in spark.table(f"{name}__rejects").select("_row").collect()]
+    assert len(rejects) == len(numbers) and all(any(f'"bad{k}"' in r for r in rejects) for k in numbers)
+    for t in (name, f"{name}__rejects"):
+        assert {r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()} == {
+            "_load_id=q-0_11", "_load_id=q-12", "_load_id=q-13"
+        }
+
+
 def test_listing_writes_nothing(spark, db):
     load_table(spark.range(5), f"{db}.t")
     before = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.t").collect()

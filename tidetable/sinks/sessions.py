@@ -228,25 +228,18 @@ FOLD_EVERY = 50
 def fold_loads(dest: Destination, name: str, every: int = FOLD_EVERY) -> None:
     """Fold finished loads ``<name>-<number>`` into loads ``<name>-<first>_<last>`` of many.
 
-    As soon as ``every`` loads of one size stand beside each other they become one, and the
-    results are folded again in turn; so the number of partitions grows with the logarithm of
-    that of loads. The newest load is left alone, as it may be run again. A folded load is
-    added before its parts are dropped; if a run ends between, the next call drops them.
+    As soon as there are ``every`` loads of one size, they and all loads of other sizes that lie
+    between them become one, and the results are folded again in turn; so the number of
+    partitions grows with the logarithm of that of loads. The newest load is left alone, as it
+    may be run again. A folded load is added before its parts are dropped; if a run ends between,
+    the next call drops them.
     """
     tables = (dest, dest.sibling("__rejects"))
     emptied: list[str] = []
     for table in tables:
         emptied += _drop_inner(table, name)
-        done = sorted(_spans(table, name))[:-1]
-        by_size: dict[int, list[tuple[int, int]]] = {}
-        for first, last in done:
-            size = 0
-            while every ** (size + 1) <= last - first + 1:
-                size += 1
-            by_size.setdefault(size, []).append((first, last))
-        for spans in by_size.values():
-            if len(spans) >= every:
-                emptied += _fold(table, name, spans)
+        while spans := _full_span(table, name, every):
+            emptied += _fold(table, name, spans)
     held = {_run_folder(dest, p) for t in tables for p in (part_path(t, part) for part in parts_of(t)) if p} if emptied else set()
     for path in {_run_folder(dest, path) for path in emptied} - held:
         delete_path(dest.spark, path)
@@ -279,6 +272,26 @@ def _drop_inner(table: Destination, name: str) -> list[str]:
     return [path for path in paths if path]
 
 
+def _full_span(table: Destination, name: str, every: int) -> list[tuple[int, int]]:
+    """All finished loads from the first to the last one of the smallest size that has ``every`` loads.
+
+    Sizes are by numbers, which batches without rows leave out, so loads of another size may lie
+    between; as the folded load's numbers span them, they belong to it.
+    """
+    done = sorted(_spans(table, name))[:-1]
+    by_size: dict[int, list[tuple[int, int]]] = {}
+    for first, last in done:
+        size = 0
+        while every ** (size + 1) <= last - first + 1:
+            size += 1
+        by_size.setdefault(size, []).append((first, last))
+    full = [size for size, spans in by_size.items() if len(spans) >= every]
+    if not full:
+        return []
+    spans = by_size[min(full)]
+    return [span for span in done if spans[0] <= span <= spans[-1]]
+
+
 def _fold(table: Destination, name: str, spans: list[tuple[int, int]]) -> list[str]:
     spark = table.spark
     ids = [load for span, load in _spans(table, name).items() if span in spans]
