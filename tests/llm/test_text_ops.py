@@ -100,6 +100,24 @@ def test_sanitised(letters):
     assert general.text == "note 0 ask [TERM] about item0 at [EMAIL] or elsewhere"
 
 
+def given_away(spark, texts, **options):
+    """The terms found in each text."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.terms for r in pii.personal_spans(df, **options).collect()}
+    return [[t[s.start : s.end] for s in rows[i]] for i, t in enumerate(texts)]
+
+
+OTHERS = ["we met at noon to ask about an item or a note elsewhere " * 40] * 2
+
+
+def test_equal_contexts_of_different_texts_count(spark):
+    signed = [f"letter {'so it goes ' * i}\n\nyours as ever\nQuandry at cc@y.org here\n" for i in range(1, 10)]
+    found = given_away(spark, signed + OTHERS)
+    assert all("Quandry" in f for f in found[:9]) and found[9:] == [[], []]
+    long = "\n".join(f"then number {i} came and {'so ' * (i % 7)} it went on and Quandry wrote from cc@y.org on" for i in range(50))
+    assert given_away(spark, [long, *OTHERS])[0].count("Quandry") >= 50
+
+
 def test_overlapping_masks(spark):
     df = spark.createDataFrame([("0123456789",)], "t string")
     masks = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(s).alias("shown")) for a, b, s in [(1, 5, "A"), (3, 7, "B"), (7, 8, "")]])

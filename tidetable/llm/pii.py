@@ -10,9 +10,10 @@ side of it that no digit or @ is part of. Over the whole corpus, with N contexts
 
 and the term's disclosure of the entity is the pointwise mutual information over the entity's
 information, log(p(entity, term) / (p(entity) p(term))) / -log p(entity): 1 where the term stands
-beside the entity alone, 0 where it tells nothing. A document gives one context at most, and
-contexts of the same words count once, so that copies and repeated lines are no evidence; fewer
-than ``SUPPORT`` contexts are none either. In a context of its
+beside the entity alone, 0 where it tells nothing. Every occurrence of an entity gives a context,
+save that rows of one whole text count as one between them and a line that a text repeats counts
+where it first stands, so that copies and repeated lines are no evidence; fewer than ``SUPPORT``
+contexts are none either. In a context of its
 entity a term of disclosure ``GENERALISE`` or more is replaced by its kind of word, one of
 ``REMOVE`` or more is left out.
 
@@ -52,7 +53,7 @@ NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 _byte = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _letters, _others = r"[\p{L}\p{M}]", r"[^\p{L}\p{M}]"
-_span = "struct<kind:int,start:int,end:int,entity:bigint,left:string,right:string>"
+_span = "struct<kind:int,start:int,end:int,entity:bigint,first:boolean,left:string,right:string>"
 
 
 def luhn(digits: Column) -> Column:
@@ -86,17 +87,20 @@ def found_spans(kind: str, text: str = "text") -> tuple[Column, Column]:
     )
 
 
-def placed_spans(kind: str, parts: Column, matches: Column, starts: Column) -> Column:
-    """The array of a kind's spans, from the parts, the matches and the sums of the lengths before."""
+def placed_spans(kind: str, parts: Column, matches: Column, starts: Column, breaks: Column, lines: Column) -> Column:
+    """The array of a kind's spans, from the parts, the matches, the sums of the lengths and of the
+    line breaks before, and the hashes of the lines; ``first`` where the line stands first in its text."""
     number = F.lit(KINDS.index(kind))
 
     def span(m: Column, i: Column) -> Column:
         start = F.get(starts, i) + F.length(F.get(parts, i))
+        line = F.get(breaks, i) + line_breaks(F.get(parts, i))
         return F.struct(
             number.alias("kind"),
             start.alias("start"),
             (start + F.length(m)).alias("end"),
             F.xxhash64(number, normal(kind, m)).alias("entity"),
+            (F.array_position(lines, F.get(lines, line)) == line + 1).alias("first"),
             F.right(F.get(parts, i), F.lit(CONTEXT_CHARS)).alias("left"),
             F.left(F.get(parts, i + 1), F.lit(CONTEXT_CHARS)).alias("right"),
         )
@@ -110,19 +114,47 @@ def normal(kind: str, match: Column) -> Column:
     return F.lower(match) if kind in ("email", "ip") else F.regexp_replace(match, "[^0-9]", "")
 
 
+def line_breaks(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+
+
+def text_key(text: str = "text") -> Column:
+    """A digest of the whole text: equal for copies only."""
+    return F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+
+
+def copied_texts(base: DataFrame) -> DataFrame:
+    """``text_key`` and ``copies`` of the texts that several rows hold; stored."""
+    counted = base.groupBy("text_key").agg(F.count("*").alias("copies"))
+    return stored(counted.where("copies > 1"), "copies")
+
+
+def weighed(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """``rows`` with ``weight``, which all rows of one text_key share: 1 between them."""
+    few = copies.count() <= MOST_BROADCAST
+    joined = rows.join(F.broadcast(copies) if few else copies, "text_key", "left")
+    return joined.withColumn("weight", F.lit(1.0) / F.coalesce("copies", F.lit(1))).drop("copies", "text_key")
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, row_key, n_words and for each kind its spans, stored."""
+    """A row for each row of ``docs``: doc_id, row_key, text_key, n_words and for each kind its spans, stored."""
     texts = docs.select("doc_id", whole_text().alias("text")).select("doc_id", "text", row_key().alias("row_key"))
     words = F.size(F.array_remove(F.split(F.col("text"), f"{_others}+"), ""))
-    keyed = ["doc_id", "row_key", "n_words"]
-    looked = texts.select("doc_id", "row_key", words.cast("long").alias("n_words"), *_parts_and_matches())
+    keyed = ["doc_id", "row_key", "text_key", "n_words"]
+    lines = F.transform(F.split(F.col("text"), "\n", -1), lambda line: F.xxhash64(line))
+    looked = texts.select(
+        "doc_id", "row_key", text_key().alias("text_key"), words.cast("long").alias("n_words"), lines.alias("lines"), *_parts_and_matches()
+    )
     steps = {
         kind: F.transform(f"{kind}_matches", _step_of(F.col(f"{kind}_parts"))) for kind in KINDS
     }
-    placed = looked.select("*", *[prefix_sums(steps[kind]).alias(f"{kind}_starts") for kind in KINDS])
-    spans = [
-        placed_spans(kind, *[F.col(f"{kind}_{c}") for c in ("parts", "matches", "starts")]).alias(kind) for kind in KINDS
-    ]
+    breaks = {  # no match holds a line break
+        kind: F.transform(f"{kind}_matches", _breaks_of(F.col(f"{kind}_parts"))) for kind in KINDS
+    }
+    sums = [prefix_sums(steps[kind]).alias(f"{kind}_starts") for kind in KINDS]
+    placed = looked.select("*", *sums, *[prefix_sums(breaks[kind]).alias(f"{kind}_breaks") for kind in KINDS])
+    names = ("parts", "matches", "starts", "breaks")
+    spans = [placed_spans(kind, *[F.col(f"{kind}_{c}") for c in names], F.col("lines")).alias(kind) for kind in KINDS]
     return stored(placed.select(*keyed, *spans), "spans")
 
 
@@ -136,14 +168,23 @@ def _step_of(parts: Column):
     return lambda m, i: F.length(F.get(parts, i)) + F.length(m)
 
 
+def _breaks_of(parts: Column):
+    return lambda m, i: line_breaks(F.get(parts, i))
+
+
 def row_key() -> Column:
     """A number for the row's id and text."""
     return F.xxhash64("doc_id", "text")
 
 
 def context_terms(base: DataFrame) -> DataFrame:
-    """The terms in the contexts of all entities: row_key, entity, context, term, start, end; stored."""
-    entities = base.select("row_key", F.explode(F.concat(*KINDS)).alias("e")).select("row_key", "e.*")
+    """The terms in the contexts of all entities: row_key, entity, weight, term, start, end; stored.
+
+    Where a term stands in a context once more, and in a context that doesn't count, it has no weight.
+    """
+    counts = F.when(F.col("e.first"), F.col("weight")).otherwise(0.0)
+    entities = base.select("row_key", "weight", F.explode(F.concat(*KINDS)).alias("e"))
+    entities = entities.select("row_key", counts.alias("weight"), "e.*")
     whole = F.length("left") < CONTEXT_CHARS
     before = F.regexp_extract_all("left", F.lit(r"\S+\s*"), F.lit(0))
     before = F.when(whole, before).otherwise(F.slice(before, 2, F.greatest(F.size(before) - 1, F.lit(0))))
@@ -153,6 +194,7 @@ def context_terms(base: DataFrame) -> DataFrame:
     cut = entities.select(
         "row_key",
         "entity",
+        "weight",
         "start",
         "end",
         F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH)).alias("before"),
@@ -163,45 +205,35 @@ def context_terms(base: DataFrame) -> DataFrame:
         starts = prefix_sums(F.transform(words, F.length))
         return F.zip_with(words, starts, lambda w, s: F.struct(w.alias("word"), (begin + s).alias("at")))
 
+    def term_of(w: Column) -> Column:
+        term = F.regexp_extract(w["word"], f"{_letters}+", 0)
+        start = w["at"] + F.length(F.regexp_extract(w["word"], f"^{_others}*", 0))
+        return F.struct(F.lower(term).alias("term"), start.alias("start"), (start + F.length(term)).alias("end"))
+
     before_chars = F.aggregate("before", F.lit(0), lambda n, w: n + F.length(w))
-    words = cut.select(
+    words = F.concat(placed("before", F.col("start") - before_chars), placed("after", F.col("end")))
+    found = F.transform(F.filter(words, lambda w: ~w["word"].rlike("[@0-9]")), term_of)
+    listed = cut.select("row_key", "entity", "weight", F.filter(found, lambda t: t["term"] != "").alias("terms"))
+    listed = listed.withColumn("names", F.transform("terms", lambda t: t["term"]))
+    terms = listed.select("row_key", "entity", "weight", "names", F.posexplode("terms").alias("k", "t")).select(
         "row_key",
         "entity",
-        F.xxhash64(F.transform(F.concat("before", "after"), lambda w: F.lower(F.trim(w)))).alias("context"),
-        F.explode(F.concat(placed("before", F.col("start") - before_chars), placed("after", F.col("end")))).alias("w"),
+        F.when(F.array_position("names", F.col("t.term")) == F.col("k") + 1, F.col("weight")).otherwise(0.0).alias("weight"),
+        "t.*",
     )
-    term = F.regexp_extract("w.word", f"{_letters}+", 0)
-    start = F.col("w.at") + F.length(F.regexp_extract("w.word", f"^{_others}*", 0))
-    terms = words.where(~F.col("w.word").rlike("[@0-9]")).select(
-        "row_key",
-        "entity",
-        "context",
-        F.lower(term).alias("term"),
-        start.alias("start"),
-        (start + F.length(term)).alias("end"),
-    )
-    return stored(terms.where("term <> ''"), "terms")
+    return stored(terms, "terms")
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame, terms: DataFrame, support: int = SUPPORT) -> DataFrame:
     """``entity``, ``term`` and the term's ``disclosure`` of it, for all pairs with enough contexts."""
-    pairs = (
-        terms.groupBy("entity", "term", "row_key")
-        .agg(F.min("context").alias("context"))
-        .select("entity", "term", "context")
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("together"))
-        .where(F.col("together") >= support)
-    )
+    together = F.round(F.sum("weight")).cast("long")
+    pairs = terms.groupBy("entity", "term").agg(together.alias("together")).where(F.col("together") >= support)
     pairs = stored(pairs, "pairs")
     contexts = (
-        terms.groupBy("entity", "row_key")
-        .agg(F.min("context").alias("context"))
-        .select("entity", "context")
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count("*").alias("contexts"))
+        base.select("weight", F.explode(F.concat(*KINDS)).alias("e"))
+        .where("e.first")
+        .groupBy("e.entity")
+        .agg(F.round(F.sum("weight")).cast("long").alias("contexts"))
     )
     wanted = stored(pairs.select("term").distinct(), "wanted")
     n_wanted = wanted.count()
@@ -226,6 +258,7 @@ def personal_spans(
     """A row for each row of ``docs`` (doc_id, text): doc_id, row_key, for each kind the array of its
     spans (start, end), and ``terms``: the spans of disclosing terms with ``removed`` for each."""
     base = base_spans(docs)
+    base = weighed(base, copied_texts(base))
     terms = context_terms(base)
     judged = disclosing_terms(docs, base, terms, support).where(F.col("disclosure") >= generalise)
     given_away = (
