@@ -118,6 +118,15 @@ def test_equal_contexts_of_different_texts_count(spark):
     assert given_away(spark, [long, *OTHERS])[0].count("Quandry") >= 50
 
 
+def test_copies_change_no_decision(spark):
+    signed = [f"letter {'so it goes ' * i} and then Quandry wrote from cc@y.org about an item\n" for i in range(1, 13)]
+    once = given_away(spark, signed + OTHERS)
+    assert all("Quandry" in f for f in once[:12])
+    assert given_away(spark, signed * 40 + OTHERS * 40) == once[:12] * 40 + [[]] * 80
+    repeated = [t * 40 for t in signed]  # the same lines again are no dilution either
+    assert all("Quandry" in f for f in given_away(spark, repeated + OTHERS)[:12])
+
+
 def test_overlapping_masks(spark):
     df = spark.createDataFrame([("0123456789",)], "t string")
     masks = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(s).alias("shown")) for a, b, s in [(1, 5, "A"), (3, 7, "B"), (7, 8, "")]])

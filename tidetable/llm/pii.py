@@ -13,7 +13,8 @@ information, log(p(entity, term) / (p(entity) p(term))) / -log p(entity): 1 wher
 beside the entity alone, 0 where it tells nothing. Every occurrence of an entity gives a context,
 save that rows of one whole text count as one between them and a line that a text repeats counts
 where it first stands, so that copies and repeated lines are no evidence; fewer than ``SUPPORT``
-contexts are none either. In a context of its
+contexts are none either. Words and occurrences of terms are counted in the same lines of the
+same texts. In a context of its
 entity a term of disclosure ``GENERALISE`` or more is replaced by its kind of word, one of
 ``REMOVE`` or more is left out.
 
@@ -114,6 +115,11 @@ def normal(kind: str, match: Column) -> Column:
     return F.lower(match) if kind in ("email", "ip") else F.regexp_replace(match, "[^0-9]", "")
 
 
+def new_lines(text: str = "text") -> Column:
+    """The text without the lines that it holds before already."""
+    return F.array_join(F.array_distinct(F.split(F.col(text), "\n", -1)), "\n")
+
+
 def line_breaks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
@@ -139,7 +145,7 @@ def weighed(rows: DataFrame, copies: DataFrame) -> DataFrame:
 def base_spans(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: doc_id, row_key, text_key, n_words and for each kind its spans, stored."""
     texts = docs.select("doc_id", whole_text().alias("text")).select("doc_id", "text", row_key().alias("row_key"))
-    words = F.size(F.array_remove(F.split(F.col("text"), f"{_others}+"), ""))
+    words = F.size(F.array_remove(F.split(new_lines(), f"{_others}+"), ""))
     keyed = ["doc_id", "row_key", "text_key", "n_words"]
     lines = F.transform(F.split(F.col("text"), "\n", -1), lambda line: F.xxhash64(line))
     looked = texts.select(
@@ -224,7 +230,9 @@ def context_terms(base: DataFrame) -> DataFrame:
     return stored(terms, "terms")
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, terms: DataFrame, support: int = SUPPORT) -> DataFrame:
+def disclosing_terms(
+    docs: DataFrame, base: DataFrame, terms: DataFrame, copies: DataFrame, support: int = SUPPORT
+) -> DataFrame:
     """``entity``, ``term`` and the term's ``disclosure`` of it, for all pairs with enough contexts."""
     together = F.round(F.sum("weight")).cast("long")
     pairs = terms.groupBy("entity", "term").agg(together.alias("together")).where(F.col("together") >= support)
@@ -238,14 +246,16 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, terms: DataFrame, support
     wanted = stored(pairs.select("term").distinct(), "wanted")
     n_wanted = wanted.count()
     if n_wanted:
-        words = docs.select(F.explode(F.split(F.lower(whole_text()), f"{_others}+")).alias("term"))
+        texts = weighed(docs.select(whole_text().alias("text")).withColumn("text_key", text_key()), copies)
+        words = texts.select("weight", F.explode(F.split(F.lower(new_lines()), f"{_others}+")).alias("term"))
+        n = F.round(F.sum("weight")).cast("long").alias("n")
         if n_wanted <= MOST_BROADCAST:
-            counts = words.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count("*").alias("n"))
+            counts = words.join(F.broadcast(wanted), "term").groupBy("term").agg(n)
         else:
-            counts = words.groupBy("term").agg(F.count("*").alias("n")).join(wanted, "term")
+            counts = words.groupBy("term").agg(n).join(wanted, "term")
     else:
         counts = wanted.withColumn("n", F.lit(0).cast("long"))  # no pair to judge, so nothing to count
-    total = base.agg((F.coalesce(F.sum("n_words"), F.lit(0)) / (2 * REACH)).alias("windows"))
+    total = base.agg((F.coalesce(F.round(F.sum(F.col("n_words") * F.col("weight"))), F.lit(0.0)) / (2 * REACH)).alias("windows"))
     scored = pairs.join(contexts, "entity").join(counts, "term").join(F.broadcast(total))
     n = F.greatest(F.col("windows"), 2 * F.col("contexts"))
     shared = F.log2(F.col("together") * n / (F.col("contexts") * F.greatest("n", "together")))
@@ -258,9 +268,10 @@ def personal_spans(
     """A row for each row of ``docs`` (doc_id, text): doc_id, row_key, for each kind the array of its
     spans (start, end), and ``terms``: the spans of disclosing terms with ``removed`` for each."""
     base = base_spans(docs)
-    base = weighed(base, copied_texts(base))
+    copies = copied_texts(base)
+    base = weighed(base, copies)
     terms = context_terms(base)
-    judged = disclosing_terms(docs, base, terms, support).where(F.col("disclosure") >= generalise)
+    judged = disclosing_terms(docs, base, terms, copies, support).where(F.col("disclosure") >= generalise)
     given_away = (
         terms.join(judged, ["entity", "term"])
         .groupBy("row_key", "start", "end")
