@@ -127,6 +127,15 @@ def test_copies_change_no_decision(spark):
     assert all("Quandry" in f for f in given_away(spark, repeated + OTHERS)[:12])
 
 
+def test_every_letter_run_is_a_term(spark):
+    texts = [f"so {'it was ' * i} that {w} wrote from cc@y.org" for w in ("Smith-Jones", "name:Zorbly", "Jane/Doe", "O'Neill,") for i in range(1, 10)]
+    found = given_away(spark, [*texts, *OTHERS], generalise=0.05)
+    for k, names in enumerate((["Smith", "Jones"], ["name", "Zorbly"], ["Jane", "Doe"], ["O", "Neill"])):
+        for i in range(9):
+            at = found[9 * k + i].index(names[0])
+            assert found[9 * k + i][at : at + 2] == names
+
+
 def test_overlapping_masks(spark):
     df = spark.createDataFrame([("0123456789",)], "t string")
     masks = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(s).alias("shown")) for a, b, s in [(1, 5, "A"), (3, 7, "B"), (7, 8, "")]])

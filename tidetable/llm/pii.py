@@ -211,15 +211,21 @@ def context_terms(base: DataFrame) -> DataFrame:
         starts = prefix_sums(F.transform(words, F.length))
         return F.zip_with(words, starts, lambda w, s: F.struct(w.alias("word"), (begin + s).alias("at")))
 
-    def term_of(w: Column) -> Column:
-        term = F.regexp_extract(w["word"], f"{_letters}+", 0)
-        start = w["at"] + F.length(F.regexp_extract(w["word"], f"^{_others}*", 0))
-        return F.struct(F.lower(term).alias("term"), start.alias("start"), (start + F.length(term)).alias("end"))
+    def terms_of(w: Column) -> Column:
+        none = F.array().cast("array<struct<term:string,start:int,end:int>>")
+        pieces = F.regexp_extract_all(w["word"], F.lit(f"{_others}*+{_letters}++"), F.lit(0))
+
+        def step(s: Column, piece: Column) -> Column:
+            term, end = F.regexp_replace(piece, f"^{_others}++", ""), s["at"] + F.length(piece)
+            found = F.struct(F.lower(term).alias("term"), (end - F.length(term)).alias("start"), end.alias("end"))
+            return F.struct(F.concat(s["done"], F.array(found)).alias("done"), end.alias("at"))
+
+        return F.aggregate(pieces, F.struct(none.alias("done"), w["at"].alias("at")), step, lambda s: s["done"])
 
     before_chars = F.aggregate("before", F.lit(0), lambda n, w: n + F.length(w))
     words = F.concat(placed("before", F.col("start") - before_chars), placed("after", F.col("end")))
-    found = F.transform(F.filter(words, lambda w: ~w["word"].rlike("[@0-9]")), term_of)
-    listed = cut.select("row_key", "entity", "weight", F.filter(found, lambda t: t["term"] != "").alias("terms"))
+    found = F.flatten(F.transform(F.filter(words, lambda w: ~w["word"].rlike("[@0-9]")), terms_of))
+    listed = cut.select("row_key", "entity", "weight", found.alias("terms"))
     listed = listed.withColumn("names", F.transform("terms", lambda t: t["term"]))
     terms = listed.select("row_key", "entity", "weight", "names", F.posexplode("terms").alias("k", "t")).select(
         "row_key",
