@@ -136,6 +136,34 @@ def test_every_letter_run_is_a_term(spark):
             assert found[9 * k + i][at : at + 2] == names
 
 
+def brute_context(text, start, end):
+    words = text[:start].split()[-pii.REACH :] + text[end:].split()[: pii.REACH]
+    return [t.lower() for w in words if not re.search("[@0-9]", w) for t in re.findall(r"[^\W\d_]+", w)]
+
+
+def test_contexts_are_words_on_either_side(spark):
+    card = "4111 1111 1111 1111"
+    texts = [
+        f"Zorbly since 2019 pays with {card} or 12 34 coins", "a@x.org, b@x.org Zorbly", "長" * 700 + "，文 a@x.org" + "語" * 9000 + "。後 more",
+        " ".join("w" * 100 + "abcdefghijkl"[i] for i in range(12)) + " a@x.org " + " ".join("v" * 1500 + "abcdefghijkl"[i] for i in range(12)),
+        "foo1 (b2) a@x.org foo1", " \n " * 600 + "far off" + " " * 9000 + "a@x.org" + "\n" * 600 + "and on", "(Jane) x@y.zz/Doe-Roe " * 300,
+        "a@x.org", "so a@x.org", "," * 3000 + "a@x.org" + "!" * 3000 + "Z",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    base = pii.base_spans(docs)
+    keys = {r.row_key: r.doc_id for r in base.select("doc_id", "row_key").collect()}
+    got, want = [[] for _ in texts], [[] for _ in texts]
+    for r in pii.context_terms(base.withColumn("weight", F.lit(1.0))).collect():
+        assert texts[keys[r.row_key]][r.start : r.end].lower() == r.term
+        got[keys[r.row_key]].append(r.term)
+    for i, t in enumerate(texts):
+        for found in brute_spans(t).values():
+            for start, end in found:
+                want[i] += brute_context(t, start, end)
+    assert [sorted(x) for x in got] == [sorted(x) for x in want]
+    assert "zorbly" in got[0] and got[1].count("zorbly") == 2 and len(got[2]) == 5 and len(got[3]) == 16
+
+
 def test_overlapping_masks(spark):
     df = spark.createDataFrame([("0123456789",)], "t string")
     masks = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(s).alias("shown")) for a, b, s in [(1, 5, "A"), (3, 7, "B"), (7, 8, "")]])

@@ -35,8 +35,8 @@ TERM = "term"
 REACH = 8
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
-#: Code points of text on either side of an entity in which its context is looked for.
-CONTEXT_CHARS = 160
+#: Code points of a chunk of text; contexts are looked for in the next chunks before the whole text.
+CHUNK = 512
 #: Up to so many candidate terms (some 50 bytes each) are broadcast for their counts.
 MOST_BROADCAST = 500_000
 
@@ -54,7 +54,9 @@ NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 _byte = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _letters, _others = r"[\p{L}\p{M}]", r"[^\p{L}\p{M}]"
-_span = "struct<kind:int,start:int,end:int,entity:bigint,first:boolean,left:string,right:string>"
+_span = "struct<kind:int,start:int,end:int,entity:bigint,first:boolean>"
+# A run of letters after what is passed over: white space, whole words with a digit or @, other signs.
+_run = rf"\G(?:\s++|(?<!\S)(?=[^\s@0-9]*+[@0-9])\S++|[^\s\p{{L}}\p{{M}}]++)*+({_letters}++)"
 
 
 def luhn(digits: Column) -> Column:
@@ -102,14 +104,64 @@ def placed_spans(kind: str, parts: Column, matches: Column, starts: Column, brea
             (start + F.length(m)).alias("end"),
             F.xxhash64(number, normal(kind, m)).alias("entity"),
             (F.array_position(lines, F.get(lines, line)) == line + 1).alias("first"),
-            F.right(F.get(parts, i), F.lit(CONTEXT_CHARS)).alias("left"),
-            F.left(F.get(parts, i + 1), F.lit(CONTEXT_CHARS)).alias("right"),
         )
 
     spans = F.transform(matches, lambda m, i: F.when(holds(kind, m), span(m, i)))
     return F.coalesce(F.filter(spans, lambda s: s.isNotNull()), F.array().cast(f"array<{_span}>"))
 
 
+def words_before(chunks: Column, start: Column) -> Column:
+    """The text's last ``REACH`` words before a place, the last one up to the place, and what parts them."""
+    at = F.floor(start / CHUNK).cast("int")
+
+    def turned(n: Column) -> Column:
+        near = F.left(F.coalesce(F.get(chunks, at), F.lit("")), start % CHUNK)
+        return F.reverse(F.concat(F.array_join(F.slice(chunks, at - n + 1, n), ""), near))
+
+    def whole(n: Column) -> Column:
+        return F.regexp_extract(turned(n), rf"^\s*+(?:\S++\s++){{{REACH}}}", 0)
+
+    one, more = F.least(at, F.lit(1)), F.least(at, F.lit(16))
+    rest = F.regexp_extract(turned(at), rf"^\s*+(?:\S++\s++){{0,{REACH - 1}}}+\S*+", 0)
+    return F.reverse(F.when(whole(one) != "", whole(one)).when(whole(more) != "", whole(more)).otherwise(rest))
+
+
+def words_after(chunks: Column, end: Column) -> Column:
+    """The text's first ``REACH`` words after a place, the first one from the place on, and what parts them."""
+    at = F.floor(end / CHUNK).cast("int")
+
+    def ahead(n: Column) -> Column:
+        near = F.substring(F.coalesce(F.get(chunks, at), F.lit("")), end % CHUNK + 1, F.lit(CHUNK))
+        return F.concat(near, F.array_join(F.slice(chunks, at + 2, n), ""))
+
+    def whole(n: Column) -> Column:
+        return F.regexp_extract(ahead(n), rf"^(?:\s*+\S++){{{REACH}}}(?=\s)", 0)
+
+    one, more = F.lit(1), F.lit(16)
+    rest = F.regexp_extract(ahead(F.size(chunks)), rf"^(?:\s*+\S++){{0,{REACH}}}+", 0)
+    return F.when(whole(one) != "", whole(one)).when(whole(more) != "", whole(more)).otherwise(rest)
+
+
+def letter_runs(side: Column) -> Column:
+    """The runs of letters in the words that no digit or @ is part of, each with what it skips before."""
+    pieces, runs = (F.regexp_extract_all(side, F.lit(_run), F.lit(k)) for k in (0, 1))
+    return F.zip_with(pieces, runs, lambda p, r: F.struct((F.length(p) - F.length(r)).alias("skip"), r.alias("run")))
+
+
+def with_contexts(spans: Column, chunks: Column) -> Column:
+    """The spans with the letter runs of the words on either side, and where these words begin."""
+
+    def context(s: Column) -> Column:
+        before = F.transform(F.array(words_before(chunks, s["start"])), lambda w: F.struct(
+            (s["start"] - F.length(w)).alias("begin"), letter_runs(w).alias("runs")
+        ))
+        after = F.struct(s["end"].alias("begin"), letter_runs(words_after(chunks, s["end"])).alias("runs"))
+        names = ("kind", "start", "end", "entity", "first")
+        return F.struct(*[s[c].alias(c) for c in names], F.get(before, F.lit(0)).alias("left"), after.alias("right"))
+
+    return F.transform(spans, context)
+
+
 def normal(kind: str, match: Column) -> Column:
     """The entity that a match names, however it is written."""
     return F.lower(match) if kind in ("email", "ip") else F.regexp_replace(match, "[^0-9]", "")
@@ -149,7 +201,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
     keyed = ["doc_id", "row_key", "text_key", "n_words"]
     lines = F.transform(F.split(F.col("text"), "\n", -1), lambda line: F.xxhash64(line))
     looked = texts.select(
-        "doc_id", "row_key", text_key().alias("text_key"), words.cast("long").alias("n_words"), lines.alias("lines"), *_parts_and_matches()
+        "doc_id", "row_key", "text", text_key().alias("text_key"), words.cast("long").alias("n_words"), lines.alias("lines"), *_parts_and_matches()
     )
     steps = {
         kind: F.transform(f"{kind}_matches", _step_of(F.col(f"{kind}_parts"))) for kind in KINDS
@@ -161,7 +213,12 @@ def base_spans(docs: DataFrame) -> DataFrame:
     placed = looked.select("*", *sums, *[prefix_sums(breaks[kind]).alias(f"{kind}_breaks") for kind in KINDS])
     names = ("parts", "matches", "starts", "breaks")
     spans = [placed_spans(kind, *[F.col(f"{kind}_{c}") for c in names], F.col("lines")).alias(kind) for kind in KINDS]
-    return stored(placed.select(*keyed, *spans), "spans")
+    found = placed.select(*keyed, "text", *spans)
+    some = F.size(F.concat(*KINDS)) > 0
+    cut = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    chunks = F.when(some, cut).otherwise(F.array().cast("array<string>"))
+    found = found.select(*keyed, *KINDS, chunks.alias("chunks"))
+    return stored(found.select(*keyed, *[with_contexts(F.col(k), F.col("chunks")).alias(k) for k in KINDS]), "spans")
 
 
 def _parts_and_matches() -> list[Column]:
@@ -191,41 +248,18 @@ def context_terms(base: DataFrame) -> DataFrame:
     counts = F.when(F.col("e.first"), F.col("weight")).otherwise(0.0)
     entities = base.select("row_key", "weight", F.explode(F.concat(*KINDS)).alias("e"))
     entities = entities.select("row_key", counts.alias("weight"), "e.*")
-    whole = F.length("left") < CONTEXT_CHARS
-    before = F.regexp_extract_all("left", F.lit(r"\S+\s*"), F.lit(0))
-    before = F.when(whole, before).otherwise(F.slice(before, 2, F.greatest(F.size(before) - 1, F.lit(0))))
-    whole = F.length("right") < CONTEXT_CHARS
-    after = F.regexp_extract_all("right", F.lit(r"\s*\S+"), F.lit(0))
-    after = F.when(whole, after).otherwise(F.slice(after, 1, F.greatest(F.size(after) - 1, F.lit(0))))
-    cut = entities.select(
-        "row_key",
-        "entity",
-        "weight",
-        "start",
-        "end",
-        F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH)).alias("before"),
-        F.slice(after, 1, REACH).alias("after"),
-    )
-
-    def placed(words: str, begin: Column) -> Column:
-        starts = prefix_sums(F.transform(words, F.length))
-        return F.zip_with(words, starts, lambda w, s: F.struct(w.alias("word"), (begin + s).alias("at")))
 
-    def terms_of(w: Column) -> Column:
-        none = F.array().cast("array<struct<term:string,start:int,end:int>>")
-        pieces = F.regexp_extract_all(w["word"], F.lit(f"{_others}*+{_letters}++"), F.lit(0))
+    def placed(side: str) -> Column:
+        runs, begin = F.col(f"{side}.runs"), F.col(f"{side}.begin")
+        starts = prefix_sums(F.transform(runs, lambda r: r["skip"] + F.length(r["run"])))
 
-        def step(s: Column, piece: Column) -> Column:
-            term, end = F.regexp_replace(piece, f"^{_others}++", ""), s["at"] + F.length(piece)
-            found = F.struct(F.lower(term).alias("term"), (end - F.length(term)).alias("start"), end.alias("end"))
-            return F.struct(F.concat(s["done"], F.array(found)).alias("done"), end.alias("at"))
+        def term(r: Column, s: Column) -> Column:
+            start = begin + s + r["skip"]
+            return F.struct(F.lower(r["run"]).alias("term"), start.alias("start"), (start + F.length(r["run"])).alias("end"))
 
-        return F.aggregate(pieces, F.struct(none.alias("done"), w["at"].alias("at")), step, lambda s: s["done"])
+        return F.zip_with(runs, starts, term)
 
-    before_chars = F.aggregate("before", F.lit(0), lambda n, w: n + F.length(w))
-    words = F.concat(placed("before", F.col("start") - before_chars), placed("after", F.col("end")))
-    found = F.flatten(F.transform(F.filter(words, lambda w: ~w["word"].rlike("[@0-9]")), terms_of))
-    listed = cut.select("row_key", "entity", "weight", found.alias("terms"))
+    listed = entities.select("row_key", "entity", "weight", F.concat(placed("left"), placed("right")).alias("terms"))
     listed = listed.withColumn("names", F.transform("terms", lambda t: t["term"]))
     terms = listed.select("row_key", "entity", "weight", "names", F.posexplode("terms").alias("k", "t")).select(
         "row_key",
