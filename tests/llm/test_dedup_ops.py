@@ -233,3 +233,23 @@ def test_spotsigs_signatures(spark):
     a, b = F.array(*map(F.lit, range(10))), F.array(*map(F.lit, range(5, 25)))
     pair = spark.range(1).select(spotsigs.likeness(a, b).alias("x"), spotsigs.likeness(a, b, 0.8).alias("y")).first()
     assert pair.x == 5 / 25 and pair.y == 0
+
+
+def test_spotsigs_cover_texts_without_known_common_words(spark):
+    """Finnish-like texts and lists with one begin: each half of a text tells in its fingerprint."""
+    begin = "yksi kaksi kolme nelja viisi kuusi "
+    texts = [begin + " ".join(f"sana{k}x{i}" for i in range(40)) for k in range(2)] + ["|".join(f"w{i}" for i in range(40)) * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in spotsigs.edited_and_next(docs).collect()}
+    assert len({r.fingerprint for r in rows.values()}) == 3
+    assert rows[1].near_next < 0.5 and all(r.near_edited < 0.9 for r in rows.values())
+    sigs = spotsigs.with_signatures(docs, "text", "s", []).orderBy("doc_id").collect()
+    assert len(sigs[0].s) == 1 + 46 - spotsigs.CHAIN
+
+
+def test_spotsigs_anchors_are_the_corpus_s_common_words(spark):
+    texts = [f"ja sana{i} on ja uusi{i} on ja" for i in range(50)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert spotsigs.common_words(docs.limit(0)) == []
+    more = docs.selectExpr("doc_id", "concat(text, ' a', doc_id, ' b', doc_id, ' c', doc_id, ' d', doc_id) AS text")
+    assert spotsigs.common_words(more) == ["ja"]

@@ -1,8 +1,11 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors.
 
-A word is a run of letters, marks and digits, lower-cased. Common words are the anchors; wherever
+A word is a run of letters, marks and digits, lower-cased. The most frequent words of all texts are
+the anchors: as many as make up ``COMMON`` of all words, ``MOST_ANCHORS`` at most. Wherever
 content words follow one, the anchor and the next ``CHAIN`` content words, common ones between
-them passed over, are a signature. The begin of a text is an anchor too, and a text of common
+them passed over, are a signature. The begin of a text is an anchor too. Where no anchor comes
+within ``CHAIN`` content words, each further one up to the next anchor begins a signature as well,
+so that every content word is in one, in any language, in lists and in code. A text of common
 words only has one signature of them all, so every text has a fingerprint: the set of its
 signatures' hashes. Two sets are alike by their Jaccard index. Sets whose lengths alone rule a
 wanted likeness out are in different length partitions and never intersected.
@@ -20,12 +23,14 @@ from pyspark.sql import functions as F
 from tidetable.llm.frames import stored, whole_text
 
 CHAIN = 3
+#: Share of all words that the anchors make up, and the most anchors.
+COMMON, MOST_ANCHORS = 0.3, 500
 #: Rows that share a place in the order, and the most places; a place is a sort in one task.
 ROWS, MOST_PLACES = 2_000, 20_000
 #: Ids drawn for each place to find where places begin.
 DRAWN = 50
 
-# Common words of English, French, German and Spanish.
+# Common words of English, French, German and Spanish, for texts without a corpus.
 ANCHORS = (
     "a an and are as at be by for from has have he her his if in is it its not of on or she that the their"
     " there they this to was we were which will with you your"
@@ -37,10 +42,28 @@ ANCHORS = (
 ).split()
 
 
-def with_signatures(rows: DataFrame, text: str, name: str) -> DataFrame:
+def words_of(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), "")
+
+
+def common_words(docs: DataFrame) -> list[str]:
+    """The anchors of a corpus, from the words of all its rows."""
+    words = docs.select(F.explode(words_of(whole_text())).alias("word"))
+    counts = stored(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    anchors, held = [], 0
+    for r in counts.orderBy(F.desc("n"), "word").limit(MOST_ANCHORS).collect():
+        if held + r.n > COMMON * total:
+            break
+        anchors.append(r.word)
+        held += r.n
+    return anchors
+
+
+def with_signatures(rows: DataFrame, text: str, name: str, anchors: list[str] = ANCHORS) -> DataFrame:
     """``rows`` with the sorted distinct signature hashes of a text column."""
     words, content = f"{name}_words", f"{name}_content"
-    some_word = F.array_remove(F.split(F.lower(F.col(text)), r"[^\p{L}\p{M}\p{N}]+"), "")
+    some_word = words_of(F.col(text))
     places = F.sequence(F.lit(0), F.size(words) - 1)
     no_place = F.array().cast("array<int>")
 
@@ -50,7 +73,9 @@ def with_signatures(rows: DataFrame, text: str, name: str) -> DataFrame:
     def signature(place: Column, k: Column) -> Column:
         chain = [word(place)] + [word(F.get(F.col(content), k + j)) for j in range(1, CHAIN)]
         follows_anchor = (k == 0) | (place - F.get(F.col(content), k - 1) > 1)
-        return F.when(follows_anchor, F.xxhash64(F.coalesce(word(place - 1), F.lit("^")), *chain))
+        # As many places as content words back: no anchor between.
+        far_from_one = (k >= CHAIN) & (place - F.get(F.col(content), k - CHAIN) == CHAIN)
+        return F.when(follows_anchor | far_from_one, F.xxhash64(F.coalesce(word(place - 1), F.lit("^")), *chain))
 
     found = F.filter(F.transform(content, signature), lambda s: s.isNotNull())
     alone = F.array(F.xxhash64(F.lit("^"), F.col(words)))
@@ -58,7 +83,7 @@ def with_signatures(rows: DataFrame, text: str, name: str) -> DataFrame:
         rows.withColumn(words, some_word)
         .withColumn(
             content,
-            F.when(F.size(words) > 0, F.filter(places, lambda i: ~F.get(F.col(words), i).isin(ANCHORS))).otherwise(no_place),
+            F.when(F.size(words) > 0, F.filter(places, lambda i: ~F.get(F.col(words), i).isin(list(anchors)))).otherwise(no_place),
         )
         .withColumn(name, F.when(F.size(content) > 0, F.array_sort(F.array_distinct(found))).otherwise(alone))
         .drop(words, content)
@@ -98,7 +123,7 @@ def place_of(ident: Column, bounds: list[int]) -> Column:
     return first * step + F.greatest(last, F.lit(0))
 
 
-def with_next_text(docs: DataFrame) -> DataFrame:
+def with_next_text(docs: DataFrame, anchors: list[str]) -> DataFrame:
     """doc_id, text (null as empty), their signatures, and those of the next row in descending id
     order, after the last of which comes the first.
 
@@ -134,7 +159,7 @@ def with_next_text(docs: DataFrame) -> DataFrame:
         .select(F.lit(None).cast("long").alias("doc_id"), "text", "ident", "tie", "place")
     )
     both = keyed.withColumn("own", F.lit(1)).unionByName(copies.withColumn("own", F.lit(0)))
-    together = with_signatures(both.repartition("place"), "text", "signatures")
+    together = with_signatures(both.repartition("place"), "text", "signatures", anchors)
     after = Window.partitionBy("place").orderBy(F.desc("own"), F.desc("ident"), "tie")
     return (
         together.withColumn("next_text", F.lead("text").over(after))
@@ -154,7 +179,9 @@ def edited_and_next(docs: DataFrame) -> DataFrame:
     edited = F.concat(
         F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half)
     )
-    rows = with_signatures(with_next_text(docs).withColumn("edited", edited), "edited", "edited_signatures")
+    anchors = common_words(docs)
+    following = with_next_text(docs, anchors).withColumn("edited", edited)
+    rows = with_signatures(following, "edited", "edited_signatures", anchors)
     return rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
