@@ -83,6 +83,13 @@ def test_one_document_of_each_group_stays(docs):
     assert sorted(i for i in ids if i is not None) == sorted(groups) and ids.count(None) == 1
 
 
+def test_texts_of_one_id_in_different_groups_stay(spark):
+    words = ["alpha beta gamma delta " * 9, "one two three four five " * 9, "red green blue white " * 9]
+    rows = [(1, words[0]), (1, words[1]), (1, words[1]), (2, words[1]), (3, words[2]), (1, words[2])]
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == sorted((1, w) for w in words)
+
+
 def test_pigeonring_keys_lose_no_link(spark):
     """Fingerprints one to four bits apart, all linked pairs found against a full comparison."""
     rng = random.Random(3)

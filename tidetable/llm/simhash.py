@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidetable.llm.components import connected_components
-from tidetable.llm.frames import stored, text_runs, whole_text
+from tidetable.llm.frames import row_struct, stored, text_runs, whole_text
 
 DISTANCE = 3
 SEGMENTS = 4
@@ -60,17 +60,21 @@ def fingerprint(text: str, shingle: int = SHINGLE, at_once: int = 1 << 16) -> in
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint as a signed long) of each row of ``docs``."""
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """``doc_id`` and ``fp`` (the fingerprint as a signed long) of each row of ``docs``; ``keyed``: and
+    ``text_key``, a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_runs(batches):
             found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             values = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(values)})
+            keys = {"text_key": batch.column("text_key")} if keyed else {}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(values), **keys})
 
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    if keyed:
+        texts = texts.withColumn("text_key", F.xxhash64("text"))
+    return texts.mapInArrow(run, "doc_id long, fp long" + (", text_key long" if keyed else ""))
 
 
 def ring_keys(fp: Column) -> Column:
@@ -198,23 +202,34 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` for each row of ``docs`` (doc_id, text)."""
     prints = stored(with_fingerprints(docs, shingle), "fingerprints")
+    return prints.join(fingerprint_components(prints), "fp").select("doc_id", "fp", "component_id")
+
+
+def fingerprint_components(prints: DataFrame) -> DataFrame:
+    """``fp``, its component's ``root`` and ``component_id``, the smallest ``doc_id`` in it."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = connected_components(fingerprint_links(distinct))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return placed.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest id, once if it is repeated.
 
-    Rows without an id can't be named by one and stay.
+    Of several texts of that id in one group the one with the smallest hash stays; texts of one
+    id in different groups are different documents. Rows without an id can't be named by one and
+    stay.
     """
-    groups = near_duplicate_groups(docs.where(F.col("doc_id").isNotNull()), shingle)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return named.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    named = docs.where(F.col("doc_id").isNotNull())
+    prints = stored(with_fingerprints(named, shingle, keyed=True), "fingerprints")
+    first = prints.join(fingerprint_components(prints), "fp").where("doc_id = component_id")
+    kept = first.groupBy("root", F.col("doc_id").alias("kept_id")).agg(F.min("text_key").alias("kept_key"))
+    rows = named.select(
+        row_struct(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(whole_text()).alias("key")
+    )
+    here = (F.col("id") == F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    stay = rows.join(kept, here, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+    return stay.unionByName(docs.where(F.col("doc_id").isNull()))
