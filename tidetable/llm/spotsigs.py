@@ -7,8 +7,8 @@ them passed over, are a signature. The begin of a text is an anchor too. Where n
 within ``CHAIN`` content words, each further one up to the next anchor begins a signature as well,
 so that every content word is in one, in any language, in lists and in code. A text of common
 words only has one signature of them all, so every text has a fingerprint: the set of its
-signatures' hashes. Two sets are alike by their Jaccard index. Sets whose lengths alone rule a
-wanted likeness out are in different length partitions and never intersected.
+signatures' hashes. Two sets are alike by their Jaccard index. The query takes it of all its
+pairs; only callers of ``likeness`` with a wanted likeness skip pairs by their sets' lengths.
 
 DataFrame operations only. A null text is empty; texts without words have the empty chain as
 their signature and are alike; null ids come last in descending order and repeated ids follow
