@@ -61,5 +61,5 @@ def test_run(spark):
 
 
 def test_queries_cover_all_operators():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)

@@ -36,6 +36,17 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a table's files that a sorting task should get.
+TASK_BYTES = 128 << 20
+
+
+def sort_tasks(df: DataFrame) -> int:
+    """The session's number of shuffle partitions, or more where the size of the input's files asks for it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 2**62
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES if known else 0)
+
+
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and folder of a URI, for tasks that read and write files of their own format."""
     store, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))

@@ -10,15 +10,20 @@ from pyspark.sql import functions as F
 from tidetable.llm.decontaminate import mark_contamination
 from tidetable.llm.frames import table
 from tidetable.llm.langid import languages
+from tidetable.llm.merkle import verified_versions
 from tidetable.llm.packing import packed
 from tidetable.llm.pii import KINDS, personal_spans, written_spans
+from tidetable.llm.ranked_search import ranked
 from tidetable.llm.simhash import near_duplicate_groups
 from tidetable.llm.spotsigs import edited_and_next
 from tidetable.llm.substring_dedup import deduplicated
 from tidetable.llm.token_counts import count_tokens
 from tidetable.llm.token_files import tokens_round_trip
+from tidetable.llm.url_rules import judged
 from tidetable.llm.warc import archived
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def op1_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = personal_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -80,6 +85,24 @@ def op10_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urls = judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return urls.select("row.page_id", "host", "path", "rule", "verdict", "evidence")
+
+
+def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    versions = verified_versions(table(spark, sf_dir, "documents"), tampered, F.translate("text", _UPPER, _LOWER))
+    return versions.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", F.size("copies").alias("n_copied")
+    ).withColumn("n_copied", F.when(F.col("n_copied") >= 0, F.col("n_copied")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,14 +116,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_spotsigs,
         op9_pigeonring_simhash,
         op10_indexed_warc,
+        op11_url_rules,
+        op12_merkle_versions,
+        op13_ranked_search,
     )
 }
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BENCHMARK_WORDS = (
     f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
     r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 )
+_TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# CRC-32 of a number's digits, bit by bit.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    "lambda c: CAST(ord(c) AS BIGINT))), lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda v, turn: xor(v >> 1, 3988292384 * (v & 1)))))"
+)
+
+
+def _tree(name: str, nodes: str) -> str:
+    """All levels above ``nodes`` (g, pos, digest, n), eight to one."""
+    return f"""{name} AS (
+    SELECT g, CAST(0 AS BIGINT) AS level, pos, digest, n FROM {nodes}
+    UNION ALL
+    SELECT g, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+    FROM {name} WHERE n > 1 GROUP BY g, level, pos // 8, n)"""
+
+
+def _fold(name: str, start: str, tree: str) -> str:
+    """The changed path of each row of ``start`` (r, g, pos, digest) up a tree."""
+    return f"""{name} AS (
+    SELECT r, g, CAST(0 AS BIGINT) AS level, pos, digest FROM {start}
+    UNION ALL
+    SELECT f.r, f.g, f.level + 1, f.pos // 8,
+        sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.digest ELSE t.digest END, '' ORDER BY t.pos))
+    FROM {name} f JOIN {tree} t ON t.g = f.g AND t.level = f.level AND t.pos // 8 = f.pos // 8 AND t.n > 1
+    GROUP BY f.r, f.g, f.level, f.pos // 8)"""
+
+
+def _siblings(name: str, start: str, tree: str) -> str:
+    return f"""{name} AS (
+    SELECT r, string_agg(t.digest, '' ORDER BY t.level, t.pos) AS digests
+    FROM {start} s JOIN {tree} t ON t.g = s.g AND t.n > 1
+        AND t.pos // 8 = s.pos // CAST(8 ** (t.level + 1) AS BIGINT) AND t.pos <> s.pos // CAST(8 ** t.level AS BIGINT)
+    GROUP BY r)"""
+
 
 #: SQL with the same rows, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {
@@ -150,4 +225,52 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest
     CASE WHEN coalesce(first, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (digest)""",
+    "op12_merkle_versions": f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, {_leaf('text')} AS leaf,
+        CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS changed
+    FROM documents),
+placed AS (
+    SELECT r, doc_id, lang, leaf, changed, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS n
+    FROM d),
+leaves AS (SELECT g, pos, leaf AS digest, n FROM placed),
+{_tree("tree", "leaves")},
+subroots AS (SELECT 0 AS g, g AS pos, digest, count(*) OVER () AS n FROM tree WHERE n = 1),
+{_tree("top", "subroots")},
+root AS (SELECT digest AS root FROM top WHERE n = 1),
+low AS (SELECT r, g, pos, coalesce(changed, leaf) AS digest FROM placed),
+{_fold("low_fold", "low", "tree")},
+middle AS (
+    SELECT f.r, 0 AS g, f.g AS pos, f.digest FROM low_fold f JOIN tree t ON t.g = f.g AND t.level = f.level AND t.n = 1),
+{_fold("top_fold", "middle", "top")},
+folded AS (SELECT f.r, f.digest FROM top_fold f JOIN top t ON t.level = f.level AND t.n = 1),
+{_siblings("low_siblings", "low", "tree")},
+{_siblings("top_siblings", "middle", "top")},
+depth AS (SELECT t.g, t.level + u.level AS levels FROM tree t, top u WHERE t.n = 1 AND u.n = 1)
+SELECT doc_id, leaf, s.digest AS subroot, root,
+    sha256(coalesce(a.digests, '') || coalesce(b.digests, '')) AS proof_sha256, f.digest AS folded_root,
+    f.digest = root AS verified, CASE WHEN changed IS NOT NULL THEN CAST(levels AS INT) END AS n_copied
+FROM placed p JOIN subroots s ON s.pos = p.g JOIN folded f USING (r) JOIN depth ON depth.g = p.g
+LEFT JOIN low_siblings a USING (r) LEFT JOIN top_siblings b USING (r), root""",
+    "op13_ranked_search": f"""
+WITH held AS (SELECT r, doc_id, len(words) AS n, words FROM (
+    SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents) WHERE len(words) > 0),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM held),
+counts AS (
+    SELECT r, doc_id, n, word, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(words) AS word FROM held) GROUP BY ALL),
+asked AS (
+    SELECT i, item_id, word, count(*) AS times FROM (
+        SELECT row_number() OVER () AS i, item_id, unnest({_TERMS}) AS word FROM benchmark) GROUP BY ALL),
+weights AS (
+    SELECT word, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT word, count(*) AS df FROM counts GROUP BY word), totals),
+scores AS (
+    SELECT i, item_id, r, doc_id, CAST(sum(times * w
+        * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (word) JOIN counts USING (word), totals GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INT) AS rank
+    FROM scores WHERE score > 0) WHERE rank <= 10""",
 }
