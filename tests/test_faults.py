@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import pathlib
+
 import pandas as pd
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.errors.exceptions.captured import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from tidetable.functions.timefuncs import as_epoch, epoch_trunc
-from tidetable.operators import add_row_index, declared_schema, parse_dates, pivot_result, shape_result
+from tidetable.operators import (
+    add_row_index,
+    convert_time,
+    declared_schema,
+    drop_null_columns,
+    parse_dates,
+    pivot_result,
+    shape_result,
+    shift_timezone,
+)
 from tidetable.session import isolated_session
-from tidetable.sinks import Destination, load_table, recast_columns, store_frame, write_csv
-from tidetable.sinks import tables as sink_tables
+from tidetable.sinks import Destination, load_table, loads_of, recast_columns, store_frame, write_csv
 from tidetable.sinks.sessions import covering_load, fold_loads
+from tidetable.sinks.storage import path_exists
 from tidetable.sources import list_tables, read_table, run_query
 
+ROOT = pathlib.Path(__file__).resolve().parent.parent
+
 
 @pytest.mark.parametrize("work", ["shape", "chunks", "result"])
 def test_rows_are_made_once(spark, db, tmp_path, work):
@@ -139,27 +152,6 @@ def test_parameters_inside_literals(spark):
     spark.catalog.dropTempView("texts")
 
 
-@pytest.mark.parametrize("session", [False, True])
-def test_a_failed_swap_leaves_the_old_table(spark, db, monkeypatch, session):
-    load_table(spark.range(3), f"{db}.t", validate=session)
-    real = type(spark).sql
-
-    def failing(self, text, *args, **kwargs):
-        if "RENAME TO" in text and "__stg_" in text:
-            raise AnalysisException("the catalog is away")
-        return real(self, text, *args, **kwargs)
-
-    monkeypatch.setattr(type(spark), "sql", failing)
-    with pytest.raises(AnalysisException):
-        load_table(spark.range(5), f"{db}.t", "overwrite", validate=session)
-    monkeypatch.undo()
-    assert spark.table(f"{db}.t").count() == 3
-    load_table(spark.range(5), f"{db}.t", "overwrite", validate=session)
-    assert spark.table(f"{db}.t").count() == 5
-    assert not [t.name for t in spark.catalog.listTables(db) if "__old_" in t.name]
-    assert sink_tables.Destination.of(spark, f"{db}.t").exists
-
-
 def test_loads_fold(spark, db):
     name = f"{db}.t"
     dest = Destination.of(spark, name)
@@ -167,7 +159,7 @@ def test_loads_fold(spark, db):
         load_table(spark.range(k, k + 1), name, "append", load_id=f"q-{k}")
         if (k + 1) % 3 == 0:
             fold_loads(dest, "q", 3)
-            assert spark.sql(f"SHOW PARTITIONS {name}").count() <= 7
+            assert len(loads_of(dest)) <= 7
     load_table(spark.range(19, 20), name, "append", load_id="q-19")
     assert sorted(r.id for r in read_table(spark, name, ["id"]).collect()) == list(range(20))
     assert covering_load(dest, "q", 4) and not covering_load(dest, "q", 19)
@@ -185,9 +177,7 @@ def test_folds_of_dense_and_sparse_loads_keep_all_rows(spark, db):
     rejects = [r[0] for r in spark.table(f"{name}__rejects").select("_row").collect()]
     assert len(rejects) == len(numbers) and all(any(f'"bad{k}"' in r for r in rejects) for k in numbers)
     for t in (name, f"{name}__rejects"):
-        assert {r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()} == {
-            "_load_id=q-0_11", "_load_id=q-12", "_load_id=q-13"
-        }
+        assert {x.load_id for x in loads_of(Destination.of(spark, t))} == {"q-0_11", "q-12", "q-13"}
 
 
 def test_listing_writes_nothing(spark, db):
@@ -215,8 +205,7 @@ def test_loads_divided_by_day(spark, db):
     recast_columns(spark, name, [("id", "varchar")])
     assert sorted(int(r.id) for r in read_table(spark, name, ["id"]).collect()) == want
     fold_loads(Destination.of(spark, name), "q", 2)
-    loads = {r.partition.split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    assert loads == {"_load_id=q-0_1", "_load_id=q-2"}
+    assert {x.load_id for x in loads_of(Destination.of(spark, name))} == {"q-0_1", "q-2"}
     assert sorted(int(r.id) for r in read_table(spark, name, ["id"]).collect()) == want
     bad = spark.createDataFrame([("5", "soon"), ("6", "1970-01-02 00:00:00")], "id string, at string")
     load_table(bad, name, "append", load_id="q-3", time_col="at")
@@ -228,3 +217,166 @@ def test_row_index_in_given_partitions(spark):
     df = spark.range(0, 500, 1, 3).selectExpr("id", "id % 2 AS k")
     rows = add_row_index(df, ["k", "id"], "at", partitions=17).collect()
     assert [r.at for r in sorted(rows, key=lambda r: (r.k, r.id))] == list(range(500))
+
+
+def test_pivot_keeps_rows_that_change_between_evaluations(spark):
+    """Each evaluation of the function gives other marks; names and cells come from one of them."""
+
+    @F.udf("string")
+    def mark(k):
+        import random
+
+        return f"m{random.randrange(10**6)}"
+
+    rows = spark.range(1000).select(F.col("id").alias("key"), mark("id").alias("kind"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.pivotMaxValues", "2000")
+    wide = pivot_result(rows)
+    cells = wide.select(F.explode(F.array(*[F.col(f"`{c}`") for c in wide.columns[1:]])).alias("v")).where("v IS NOT NULL")
+    assert cells.count() == 1000
+    drawn = spark.range(50).select("id", F.floor(F.rand() * 5).cast("string").alias("kind"), F.col("id").alias("v"))
+    wide = pivot_result(drawn)
+    assert wide.count() == 50 and sum(v is not None for r in wide.collect() for v in r[1:]) == 50
+    spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_what_counts_as_a_scan(spark, tmp_path):
+    from tidetable.operators.shape import _is_scan
+
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    files = spark.read.parquet(path)
+    assert _is_scan(files) and _is_scan(files.where("id > 1").selectExpr("id + 1 AS x"))
+    touched = F.udf(lambda x: x, "long")("id")
+    for other in (files.select(F.rand()), files.select(touched), files.where(F.rand(3) > 0.5), files.groupBy("id").count(), spark.range(3)):
+        assert not _is_scan(other)
+
+
+def test_null_columns_of_one_evaluation(spark):
+    total = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            total.add(batch.num_rows)
+            yield batch
+
+    made = spark.range(0, 300, 1, 3).mapInArrow(count, "id long").withColumn("none", F.lit(None).cast("double"))
+    assert drop_null_columns(made).columns == ["id"] and total.value == 300
+    assert drop_null_columns(made.where("id < 0")).columns == []
+
+
+def test_times_in_a_session_of_another_zone(spark):
+    tokyo = isolated_session(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"})
+    text = tokyo.createDataFrame([("2024-01-01 00:00:00.25", "01/02/2024", "2024-03-10T02:30:00+09:00")], "time string, d string, z string")
+    parsed = parse_dates(text, ["time", "z"])
+    assert parsed.select(F.unix_micros("time"), F.unix_seconds("z")).first()[:] == (1704067200250000, 1710005400)
+    assert parse_dates(text, {"d": "%d/%m/%Y"}).select(F.unix_seconds("d")).first()[0] == 1706745600
+    assert convert_time(text).select(F.unix_millis("time")).first()[0] == 1704067200250
+    shown = shift_timezone(convert_time(text), "America/New_York").first().time
+    assert shown == dt.datetime(2023, 12, 31, 19, 0, 0, 250000)
+    gap = isolated_session(spark, {"spark.sql.session.timeZone": "America/New_York"})
+    late = gap.createDataFrame([(1710037800,), (-1,)], "time long")
+    assert [r.time for r in shift_timezone(convert_time(late), "UTC").collect()] == [
+        dt.datetime(2024, 3, 10, 2, 30), dt.datetime(1969, 12, 31, 23, 59, 59)
+    ]
+
+
+def test_placeholders_in_all_forms_of_text(spark):
+    cases = {
+        """SELECT "%{w}%" AS t""": "%x%",
+        """SELECT r'\\d{w}' AS t""": "\\\\dx".replace("\\\\", "\\"),
+        """SELECT R"{w}y" AS t""": "xy",
+        "SELECT 'it''s {w}' AS t -- it's {w}": "it's x",
+        "SELECT /* don't */ '{w}' AS t": "x",
+        """SELECT /* a /* b' */ " */ concat('{w}', "'") AS t""": "x'",
+        """SELECT 'say "{w}"' AS t""": 'say "x"',
+        "SELECT `t` FROM (SELECT {w} AS `t`)": "x",
+        "SELECT :w AS t, '{3}' AS u": "x",
+    }
+    for text, want in cases.items():
+        assert run_query(spark, text, {"w": "x"}).first().t == want, text
+    for text, params in (
+        ("SELECT {a}", {"b": 1}), ("SELECT {a}", {"a": 1, "b": 2}), ("SELECT '{a}' -- {b}", {"a": 1, "b": 2}),
+        ("SELECT `x{a}`", {"a": 1}), ("SELECT 'open {a}", {"a": 1}), ("SELECT /* {a}", {"a": 1}),
+    ):
+        with pytest.raises(ValueError):
+            run_query(spark, text, params)
+
+
+def test_results_tell_their_state(spark, tmp_path, monkeypatch):
+    import json
+    import threading
+    import time
+
+    from tidetable import ResultFailedError, ResultNotReadyError, read_result, save_result
+    from tidetable.sources import results
+
+    root = str(tmp_path)
+    broken = spark.range(3).selectExpr("raise_error('no such luck') AS x")
+    with pytest.raises(SparkRuntimeException):
+        save_result(broken, "a", root)
+    with pytest.raises(ResultFailedError, match="no such luck"):
+        read_result(spark, "a", root, wait_seconds=60)
+    save_result(spark.range(3), "a", root)
+    assert read_result(spark, "a", root).count() == 3
+    monkeypatch.setattr(results, "BEAT", 0.1)
+    folder = tmp_path / "results"
+
+    def slow(batches):
+        for batch in batches:
+            time.sleep(2)
+            yield batch
+
+    writer = threading.Thread(target=save_result, args=(spark.range(0, 3, 1, 1).mapInArrow(slow, "id long"), "b", root))
+    writer.start()
+    while not (folder / "b.status").exists():
+        time.sleep(0.05)
+    began = json.loads((folder / "b.status").read_text())["at"]
+    with pytest.raises(ResultNotReadyError, match="not finished"):
+        read_result(spark, "b", root, wait_seconds=0.5)
+    assert read_result(spark, "b", root, wait_seconds=60).count() == 3
+    writer.join()
+    status = json.loads((folder / "b.status").read_text())
+    assert status["state"] == "done" and status["at"] > began
+    (folder / "c.status").write_text(json.dumps({"state": "running", "at": time.time() - 3600, "cause": None}))
+    with pytest.raises(ResultNotReadyError, match="its writer is gone"):
+        read_result(spark, "c", root, wait_seconds=60)
+    save_result(spark.range(2), "c", root)
+    assert read_result(spark, "c", root).count() == 2
+
+
+def test_scratch_goes_with_its_application(spark, tmp_path):
+    import json
+    import subprocess
+    import sys
+    import time
+
+    shared = tmp_path / "shared"
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from tidetable.session import get_spark, written
+spark = get_spark(**{{"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": {str(shared)!r},
+    "spark.sql.warehouse.dir": {str(tmp_path / "wh")!r}}})
+assert written(spark.range(5), "kept").count() == 5
+import os
+top = os.path.join({str(shared)!r}, "tidetable")
+names = os.listdir(top)
+assert "gone" not in names and "live" in names, names
+print("made", os.listdir(os.path.join(top, spark.sparkContext.applicationId)))
+"""
+    for name, at in (("gone", 0), ("live", time.time())):
+        (shared / "tidetable" / name).mkdir(parents=True)
+        (shared / "tidetable" / name / "owner.json").write_text(json.dumps({"application": name, "at": at}))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert "kept" in done.stdout, done.stderr[-2000:]
+    assert [p.name for p in (shared / "tidetable").iterdir()] == ["live"]
+
+
+def test_what_is_read_no_more_is_discarded(spark):
+    from tidetable.session import discard, written
+
+    df = written(spark.range(3), "once")
+    assert path_exists(spark, df._written_at)
+    discard(df)
+    assert not path_exists(spark, df._written_at)
+    discard(spark.range(3))

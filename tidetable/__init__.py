@@ -3,6 +3,7 @@
 from tidetable.errors import (
     LoadError,
     NoValidRecordsError,
+    ResultFailedError,
     ResultNotReadyError,
     TableExistsError,
 )
@@ -22,6 +23,7 @@ from tidetable.streaming import stream_load
 __all__ = [
     "LoadError",
     "NoValidRecordsError",
+    "ResultFailedError",
     "ResultNotReadyError",
     "TableExistsError",
     "configure",

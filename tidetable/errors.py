@@ -17,3 +17,7 @@ class NoValidRecordsError(LoadError):
 
 class ResultNotReadyError(RuntimeError):
     """A stored result does not exist or was not finished."""
+
+
+class ResultFailedError(RuntimeError):
+    """A stored result could not be written; the message says why."""

@@ -93,6 +93,24 @@ def ntz_epoch(stamp: Column) -> Column:
     )
 
 
+def ntz_instant(stamp: Column) -> Column:
+    """The instant of a timestamp without zone, read as UTC whatever the session's zone is."""
+    million = F.lit(1_000_000).cast("bigint")
+    fraction = F.pmod((F.date_part(F.lit("SECOND"), stamp) * million).cast("bigint"), million)
+    return F.timestamp_micros(ntz_epoch(stamp) * million + fraction)
+
+
+def wall_clock(stamp: Column, tz: str) -> Column:
+    """What the clocks of ``tz`` show at an instant, as a timestamp without zone."""
+    shifted = F.unix_micros(F.from_utc_timestamp(stamp, F.lit(check_timezone(tz))))
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    million = F.lit(1_000_000).cast("bigint")
+    seconds = F.call_function("div", shifted - F.pmod(shifted, million), million)
+    days = F.call_function("div", seconds - F.pmod(seconds, F.lit(86_400)), F.lit(86_400).cast("bigint"))
+    rest = (F.pmod(shifted, F.lit(86_400_000_000)).cast("decimal(18,6)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return start + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), rest)
+
+
 def epoch_trunc(unit: str, time: Column, tz: str | None = None) -> Column:
     """Start of the period holding ``time``, as unix seconds."""
     name = check_unit(unit)
@@ -128,16 +146,27 @@ _ZONE = r":[0-9.]+ ?([Zz]|[+-][0-9:]+|[A-Za-z]+[A-Za-z0-9/_+:-]*)$"
 _ZONE_LETTERS = "VzOXxZ"
 
 
-def _text_epoch(column: Column, pattern: str | None, lenient: bool) -> Column:
+def _text_instant(column: Column, pattern: str | None, lenient: bool) -> Column:
+    """The instant that a text names, in UTC where it names no zone."""
     if pattern is None:
         with_zone = F.try_to_timestamp(column) if lenient else F.to_timestamp(column)
         without = column.try_cast("timestamp_ntz") if lenient else column.cast("timestamp_ntz")
-        return F.when(column.rlike(_ZONE), F.unix_seconds(with_zone)).otherwise(ntz_epoch(without))
+        return F.when(column.rlike(_ZONE), with_zone).otherwise(ntz_instant(without))
     letters = re.sub(r"'[^']*'", "", pattern)
     if not any(c in letters for c in _ZONE_LETTERS):
         column, pattern = F.concat(column, F.lit(" +0000")), f"{pattern} xx"
-    parsed = F.try_to_timestamp(column, F.lit(pattern)) if lenient else F.to_timestamp(column, pattern)
-    return F.unix_seconds(parsed)
+    return F.try_to_timestamp(column, F.lit(pattern)) if lenient else F.to_timestamp(column, pattern)
+
+
+def as_instant(column: Column, kind: T.DataType, parse_pattern: str | None = None) -> Column:
+    """A text or date column as a timestamp; times without a zone are UTC. Malformed text raises."""
+    if isinstance(kind, T.StringType):
+        return _text_instant(column, parse_pattern, False)
+    if isinstance(kind, T.TimestampNTZType):
+        return ntz_instant(column)
+    if isinstance(kind, T.DateType):
+        return F.timestamp_seconds(day_start(column))
+    return column.cast("timestamp")
 
 
 def as_epoch(
@@ -149,7 +178,7 @@ def as_epoch(
     a zone are read as UTC.
     """
     if isinstance(kind, T.StringType):
-        return _text_epoch(column, parse_pattern, lenient)
+        return F.unix_seconds(_text_instant(column, parse_pattern, lenient))
     if isinstance(kind, T.TimestampNTZType):
         return ntz_epoch(column)
     if isinstance(kind, T.DateType):

@@ -108,6 +108,21 @@ def conform_checked(df: DataFrame, schema: T.StructType, evolve: bool = False) -
     part of it (1.7 as BIGINT), or ``time`` is NULL.
     Such rows carry the reason and the row as JSON; the other rows carry NULL there.
     """
+    # Columns are named, not bound, so those made for one frame serve all frames of its schema.
+    key = (df.sparkSession.sparkContext.applicationId, df.schema.json(), schema.json(), evolve)
+    if key not in _checked:
+        while len(_checked) >= _MOST_CHECKED:
+            _checked.pop(next(iter(_checked)))
+        _checked[key] = _checked_columns(df, schema, evolve)
+    return df.select(*_checked[key])
+
+
+#: The columns of :func:`conform_checked` for the schemas that it met last.
+_checked: dict[tuple, list[Column]] = {}
+_MOST_CHECKED = 16
+
+
+def _checked_columns(df: DataFrame, schema: T.StructType, evolve: bool) -> list[Column]:
     extra = _check_columns(df, schema, evolve)
     columns, tests = [], []
     for f in schema.fields:
@@ -140,10 +155,10 @@ def conform_checked(df: DataFrame, schema: T.StructType, evolve: bool = False) -
     if TIME_TEXT in cells:
         cells["time"] = cells.pop(TIME_TEXT)
     original = F.to_json(F.struct(*[cell.alias(c) for c, cell in cells.items()]))
-    return df.select(
+    return [
         *columns,
         *[F.col(f"`{c}`") for c in extra],
         rejected.alias(REJECTED),
         F.when(rejected, reason).alias(REASON),
         F.when(rejected, original).alias(ROW),
-    )
+    ]

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,23 +19,45 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _present_counts(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """Names of the given columns that hold at least one value."""
+def _presence(df: DataFrame) -> list[Column]:
+    """For each column of ``df`` the number of values that it holds, named by place."""
     counts = []
-    for i, name in enumerate(names):
+    for i, name in enumerate(df.columns):
         value = _col(name)
         if isinstance(df.schema[name].dataType, _FLOATS):
             value = F.when(~F.isnan(value), value)
         counts.append(F.count(value).alias(f"n{i}"))
-    row = df.agg(*counts).first()
-    return [name for i, name in enumerate(names) if row[f"n{i}"]]
+    return counts
+
+
+def _nodes(tree) -> Iterator:
+    """A plan or expression of the planner and all below it."""
+    yield tree
+    children = tree.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def _name(node) -> str:
+    return node.getClass().getSimpleName()
 
 
 def _is_scan(df: DataFrame) -> bool:
-    """Whether the frame is columns and rows picked from files, which are cheap to read again."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    names = {re.sub(r"^[\s:+-]*'?", "", line).split(" ")[0].split("[")[0].split("(")[0] for line in plan.splitlines() if line.strip()}
-    return names <= {"Project", "Filter", "Relation", "SubqueryAlias", "LogicalRelation", "View"}
+    """Whether the frame is columns and rows picked from files, so that reading it again is cheap and
+    gives the same: no functions of the user's, nothing that differs from one evaluation to the next."""
+    for node in _nodes(df._jdf.queryExecution().analyzed()):
+        if _name(node) == "LogicalRelation":
+            if _name(node.relation()) != "HadoopFsRelation":
+                return False
+            continue
+        if _name(node) not in ("Project", "Filter", "SubqueryAlias", "View"):
+            return False
+        expressions = node.expressions()
+        for i in range(expressions.size()):
+            expression = expressions.apply(i)
+            if not expression.deterministic() or any("UDF" in _name(e) or "Subquery" in _name(e) for e in _nodes(expression)):
+                return False
+    return True
 
 
 def evaluated_once(df: DataFrame, tag: str) -> DataFrame:
@@ -47,14 +68,18 @@ def evaluated_once(df: DataFrame, tag: str) -> DataFrame:
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """Drop columns that hold no value in any row; NaN counts as none.
 
-    One aggregate over all rows decides. An input that is more than a scan of files is written
-    to the shared folder first, so it is evaluated once.
+    All rows decide. An input that is more than a scan of files is written to the shared folder and
+    counted in that same pass, so it is evaluated once.
     """
     if not df.columns:
         return df
-    df = evaluated_once(df, "present")
-    kept = _present_counts(df, df.columns)
-    return df.select(*[_col(c) for c in kept])
+    if _is_scan(df):
+        present = df.agg(*_presence(df)).first().asDict()
+    else:
+        seen = Observation()
+        df = written(df.observe(seen, *_presence(df)), "present")
+        present = seen.get
+    return df.select(*[_col(c) for i, c in enumerate(df.columns) if present[f"n{i}"]])
 
 
 def key_first(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
@@ -100,9 +125,20 @@ def pivot_result(
     if not measures:
         raise ValueError("nothing to pivot: every column is a key or a dimension")
     texts = [_col(d).cast("string") for d in dimensions]
+    # Each text is preceded by its length, so values holding the separator stay apart.
+    cell = "_cell"
+    marks = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    mark = F.concat(*marks)
+    single = []
+    for m in measures:
+        clash = F.raise_error(F.lit("pivot: duplicate entries for one cell")).cast(df.schema[m].dataType)
+        single.append(F.when(F.count(F.lit(1)) > 1, clash).otherwise(F.first(_col(m))).alias(m))
     if values is None:
         limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        df = evaluated_once(df, "pivot")
+        if not _is_scan(df):
+            # The cells are made once; columns and rows of the result both come from them.
+            cells = df.groupBy(_col(key), *[t.alias(d) for t, d in zip(texts, dimensions, strict=True)]).agg(*single)
+            df = written(cells, "pivot")
         found = df.select(*texts).distinct().limit(limit + 1).collect()
         if len(found) > limit:
             raise ValueError(f"more than {limit} dimension values; raise spark.sql.pivotMaxValues")
@@ -117,18 +153,10 @@ def pivot_result(
     if clashing:
         raise ValueError(f"columns of the pivot share a name: {', '.join(clashing)}")
 
-    # Each text is preceded by its length, so values holding the separator stay apart.
-    cell = "_cell"
-    marks = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     wanted = ["".join("-" if x is None else f"{len(x)}:{x}" for x in t) for t in combos]
-    mark = F.concat(*marks)
-    if values is not None and other == "error":
+    if other == "error":
         unlisted = F.raise_error(F.concat(F.lit("pivot: a dimension value is not among those listed: "), mark))
         mark = F.when(mark.isin(wanted), mark).otherwise(unlisted.cast("string"))
-    single = []
-    for m in measures:
-        clash = F.raise_error(F.lit("pivot: duplicate entries for one cell")).cast(df.schema[m].dataType)
-        single.append(F.when(F.count(F.lit(1)) > 1, clash).otherwise(F.first(_col(m))).alias(m))
     wide = (
         df.select(_col(key), mark.alias(cell), *[_col(m) for m in measures])
         .groupBy(_col(key))
@@ -147,8 +175,6 @@ def shape_result(
 ) -> DataFrame:
     """Prepare a result for reading: convert ``time``, drop empty columns, then pivot or
     bring ``time`` to the front, and show it in ``timezone``."""
-    if dropna or pivot:
-        df = evaluated_once(df, "shape")
     out = convert_time(df)
     if dropna:
         out = drop_null_columns(out)

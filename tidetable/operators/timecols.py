@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidetable.functions.patterns import parse_pattern, strftime
-from tidetable.functions.timefuncs import as_epoch, check_timezone, is_datetime
+from tidetable.functions.timefuncs import as_epoch, as_instant, is_datetime, wall_clock
 
 TIME = "time"
 TIME_TEXT = "_time_text"
@@ -91,7 +91,7 @@ def _from_number(column: Column, unit: str) -> Column:
 
 
 def parse_dates(df: DataFrame, spec: Sequence[str] | Mapping[str, str] | None) -> DataFrame:
-    """Parse columns into timestamps.
+    """Parse columns into timestamps, in UTC where they name no zone, whatever the session's zone.
 
     A list parses text in the usual forms. A mapping gives a strftime format for a text
     column, or a unit (``D s ms us ns``) for a number column. Malformed text raises.
@@ -103,13 +103,13 @@ def parse_dates(df: DataFrame, spec: Sequence[str] | Mapping[str, str] | None) -
         kind = df.schema[name].dataType
         column = _col(name)
         if is_datetime(kind):
-            changed[name] = column.cast("timestamp")
+            changed[name] = as_instant(column, kind)
         elif not isinstance(spec, Mapping):
             # A bare number is read as nanoseconds since the epoch.
             text = isinstance(kind, T.StringType)
-            changed[name] = F.to_timestamp(column) if text else _from_number(column, "ns")
+            changed[name] = as_instant(column, kind) if text else _from_number(column, "ns")
         elif isinstance(kind, T.StringType):
-            changed[name] = F.to_timestamp(column, parse_pattern(spec[name]))
+            changed[name] = as_instant(column, kind, parse_pattern(spec[name]))
         else:
             changed[name] = _from_number(column, spec[name])
     return df.withColumns(changed)
@@ -120,17 +120,18 @@ def convert_time(df: DataFrame) -> DataFrame:
     if TIME not in df.columns:
         return df
     kind = df.schema[TIME].dataType
-    if is_datetime(kind):
-        stamp = _col(TIME).cast("timestamp")
-    elif isinstance(kind, T.StringType):
-        stamp = F.to_timestamp(_col(TIME))
+    if is_datetime(kind) or isinstance(kind, T.StringType):
+        stamp = as_instant(_col(TIME), kind)
     else:
         stamp = F.timestamp_seconds(_col(TIME))
     return df.withColumn(TIME, stamp)
 
 
 def shift_timezone(df: DataFrame, tz: str | None, column: str = TIME) -> DataFrame:
-    """Show a UTC timestamp column in the wall-clock time of ``tz``."""
+    """Show a timestamp column as the wall-clock time of ``tz``, without a zone of its own.
+
+    The result is a timestamp without zone, so it is the same in any session.
+    """
     if tz is None:
         return df
-    return df.withColumn(column, F.from_utc_timestamp(_col(column), F.lit(check_timezone(tz))))
+    return df.withColumn(column, wall_clock(as_instant(_col(column), df.schema[column].dataType), tz))

@@ -19,6 +19,7 @@ from tidetable.operators import (
     shift_timezone,
 )
 from tidetable.plans.registry import EVENTS_SQL, events_with_time, query, table
+from tidetable.session import isolated_session
 
 
 @query(
@@ -132,6 +133,59 @@ def convert_time_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_time(text).withColumn("time", F.unix_seconds("time"))
 
 
+def _tokyo(spark: SparkSession) -> SparkSession:
+    return isolated_session(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"})
+
+
+def _micros_of_day_and_time(stamp: str):
+    """Digits of a timestamp without zone, which no session's zone changes."""
+    return F.regexp_replace(F.col(stamp).cast("string"), r"[^0-9]", "").substr(1, 14)
+
+
+@query(
+    "parse_dates_other_session_zone",
+    "C7",
+    """SELECT event_id, epoch_us(ts) AS iso, epoch_us(date_trunc('minute', ts)) AS txt,
+    epoch_us(ts) - 9 * 3600000000 AS zoned, epoch_us(ts) AS ntz, epoch_us(date_trunc('day', ts)) AS day FROM events""",
+)
+def parse_dates_other_session_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts, dates and times without zone are UTC in a session of another zone too."""
+    iso = F.col("ts").cast("string")
+    raw = table(_tokyo(spark), sf_dir, "events").select(
+        "event_id",
+        iso.alias("iso"),
+        F.date_format("ts", "dd/MM/yyyy HH:mm").alias("txt"),
+        F.concat(iso, F.lit("+09:00")).alias("zoned"),
+        F.col("ts").alias("ntz"),
+        F.to_date("ts").alias("day"),
+    )
+    parsed = parse_dates(parse_dates(raw, {"txt": "%d/%m/%Y %H:%M"}), ["iso", "zoned", "ntz", "day"])
+    return parsed.select("event_id", *[F.unix_micros(c).alias(c) for c in ("iso", "txt", "zoned", "ntz", "day")])
+
+
+@query(
+    "convert_time_other_session_zone",
+    "C8",
+    "SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) AS time FROM orders",
+)
+def convert_time_other_session_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(_tokyo(spark), sf_dir, "orders")
+    text = orders.select("o_orderkey", F.col("o_orderdate").cast("string").alias("time"))
+    return convert_time(text).withColumn("time", F.unix_seconds("time"))
+
+
+@query(
+    "time_zone_shift_other_session_zone",
+    "C9",
+    EVENTS_SQL
+    + """SELECT event_id, strftime(make_timestamp(time * 1000000) - INTERVAL 5 HOUR, '%Y%m%d%H%M%S') AS time FROM ev""",
+)
+def time_zone_shift_other_session_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """January in New York, asked for in Tokyo."""
+    shown = shift_timezone(convert_time(events_with_time(_tokyo(spark), sf_dir)), "America/New_York")
+    return shown.select("event_id", _micros_of_day_and_time("time").alias("time"))
+
+
 @query(
     "drop_null_columns",
     "C10",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,3 +215,24 @@ def shape_result_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = bucket_aggregate(events_with_time(spark, sf_dir), "day", {"high": ("max", "value")}, by=["event_type"])
     wide = shape_result(daily.withColumn("empty", F.lit(None).cast("double")), dropna=True, pivot=True)
     return wide.withColumn("time", F.date_format("time", "yyyy-MM-dd"))
+
+
+@query(
+    "pivot_of_a_python_function",
+    "A7",
+    """SELECT o_orderkey AS key, max(CASE WHEN o_custkey % 3 = 0 THEN o_totalprice END) AS k0,
+    max(CASE WHEN o_custkey % 3 = 1 THEN o_totalprice END) AS k1,
+    max(CASE WHEN o_custkey % 3 = 2 THEN o_totalprice END) AS k2 FROM orders GROUP BY o_orderkey""",
+)
+def pivot_of_a_python_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of the columns and their values come from one evaluation of the user's function."""
+
+    def kinds(batches):
+        for batch in batches:
+            names = pa.array([f"k{c.as_py() % 3}" for c in batch.column("o_custkey")])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("o_orderkey"), names, batch.column("o_totalprice")], names=["key", "kind", "price"]
+            )
+
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return pivot_result(orders.mapInArrow(kinds, "key long, kind string, price double"))

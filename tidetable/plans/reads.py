@@ -167,6 +167,24 @@ def sql_bound_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "sql_parameters_in_any_literal",
+    "R2 C12",
+    r"""SELECT event_id, 'it''s click' AS quoted, 'a\click' AS raw FROM events
+    WHERE event_type LIKE '%lic%' AND user_id > 10""",
+)
+def sql_parameters_in_any_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placeholders in literals of both quotes and raw ones, beside comments and names that hold quotes."""
+    table(spark, sf_dir, "events").createOrReplaceTempView("events_by_any_quote")
+    return run_query(
+        spark,
+        r"""SELECT event_id, "it's {kind}" AS quoted, /* a '{comment}' /* within */ isn't read */ r'a\{kind}' AS raw
+           FROM events_by_any_quote -- nor is {this}, it's a comment
+           WHERE event_type LIKE "%{part}%" AND `user_id` > :least""",
+        {"kind": "click", "part": "lic", "least": 10},
+    )
+
+
 @query(
     "predicates",
     "C13",

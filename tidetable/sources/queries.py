@@ -19,33 +19,93 @@ OPTIONS = ("db", "result_url")
 BROADCAST_LIMIT = 256 * 1024 * 1024
 PLANNED_LIMIT = 32 * 1024 * 1024
 
-_LITERAL = re.compile(r"""'(?:[^'\\]|\\.|'')*'""", re.S)
-_PLACEHOLDER = re.compile(r"\{(\w+)\}")
-
-
-def _bound_literal(literal: str) -> str:
+# What SQL text consists of, as far as placeholders are concerned; the rest is one character each.
+_TOKEN = re.compile(
+    r"""
+    (?P<raw>\b[rR](?:'[^']*'|"[^"]*"))
+  | (?P<text>'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*")
+  | (?P<name>`(?:[^`]|``)*`)
+  | (?P<line>--(?:\\\n|[^\n])*)
+  | (?P<block>/\*)
+  | (?P<open>['"`])
+  | \{(?P<placeholder>[A-Za-z_]\w*)\}
+  | (?<![:\w]):(?P<marker>[A-Za-z_]\w*)
+    """,
+    re.S | re.X,
+)
+_PLACEHOLDER = re.compile(r"\{([A-Za-z_]\w*)\}")
+
+
+def _block_end(text: str, at: int) -> int:
+    """Where a block comment that begins at ``at`` ends; such comments may hold others."""
+    depth = 0
+    for mark in re.finditer(r"/\*|\*/", text[at:]):
+        depth += 1 if mark.group() == "/*" else -1
+        if not depth:
+            return at + mark.end()
+    raise ValueError("a comment of the query is not closed")
+
+
+def _bound_literal(literal: str, used: list[str]) -> str:
     """A text literal with placeholders inside as its parts joined to the bound values."""
-    pieces = _PLACEHOLDER.split(literal[1:-1])
+    begin = literal.index(literal[-1])
+    prefix, quote = literal[:begin], literal[-1]
+    pieces = _PLACEHOLDER.split(literal[begin + 1 : -1])
     if len(pieces) == 1:
         return literal
-    parts = [f"CAST(:{p} AS STRING)" if i % 2 else f"'{p}'" for i, p in enumerate(pieces) if i % 2 or p]
+    used += pieces[1::2]
+    parts = [
+        f"CAST(:{p} AS STRING)" if i % 2 else f"{prefix}{quote}{p}{quote}" for i, p in enumerate(pieces) if i % 2 or p
+    ]
     if len(parts) == 1:
         return f":{pieces[1]}"
     return f"concat({', '.join(parts)})"
 
 
+def _bind(text: str) -> tuple[str, list[str]]:
+    """The query with parameter markers for its placeholders, and the names of all its parameters."""
+    out, used, at = [], [], 0
+    while (token := _TOKEN.search(text, at)) is not None:
+        out.append(text[at : token.start()])
+        end = token.end()
+        kind = token.lastgroup
+        if kind == "block":
+            end = _block_end(text, token.start())
+            out.append(text[token.start() : end])
+        elif kind == "open":
+            raise ValueError(f"a {token.group()} of the query is not closed")
+        elif kind in ("raw", "text"):
+            out.append(_bound_literal(token.group(), used))
+        elif kind == "name" and _PLACEHOLDER.search(token.group()):
+            raise ValueError(f"a placeholder cannot be a part of the name {token.group()}; use IDENTIFIER({{name}})")
+        elif kind in ("placeholder", "marker"):
+            used.append(token.group(kind))
+            out.append(f":{token.group(kind)}")
+        else:
+            out.append(token.group())
+        at = end
+    return "".join(out) + text[at:], used
+
+
 def bind_placeholders(text: str) -> str:
     """Rewrite ``{name}``, ``'{name}'`` and ``'%{name}%'`` placeholders with ``:name`` parameter markers.
 
-    Values are then bound, not spliced. A table or column name goes into
-    ``IDENTIFIER({name})``.
+    Values are then bound, not spliced, in literals of either quote and raw ones too. Comments and
+    quoted names are left as they are. A table or column name goes into ``IDENTIFIER({name})``.
     """
-    out, at = [], 0
-    for literal in _LITERAL.finditer(text):
-        out.append(_PLACEHOLDER.sub(r":\1", text[at : literal.start()]))
-        out.append(_bound_literal(literal.group()))
-        at = literal.end()
-    return "".join(out) + _PLACEHOLDER.sub(r":\1", text[at:])
+    return _bind(text)[0]
+
+
+def bound_query(text: str, params: Mapping[str, object]) -> str:
+    """The query with markers; a parameter without a value, or a value without a place, raises ``ValueError``."""
+    bound, used = _bind(text)
+    missing = sorted(set(used) - set(params))
+    if missing:
+        raise ValueError(f"no value for {', '.join(missing)}")
+    unused = sorted(set(params) - set(used))
+    if unused:
+        raise ValueError(f"the query has no place for {', '.join(unused)}")
+    return bound
 
 
 def join_settings(join: str | None, broadcast_limit: int = BROADCAST_LIMIT) -> dict[str, str]:
@@ -77,7 +137,8 @@ def run_query(
 ) -> DataFrame:
     """Run SQL and return its rows as a lazy frame.
 
-    ``params`` fills ``:name`` markers or ``{name}`` placeholders. Options: ``db`` is the
+    ``params`` fills ``:name`` markers or ``{name}`` placeholders, each of which must have a value
+    and each value a place. Options: ``db`` is the
     database unqualified names belong to; ``result_url`` also writes the rows as CSV
     there. An unknown option raises. With ``db`` or ``join`` the query gets a session of
     its own, in which only catalog tables, files and global views are known.
@@ -91,8 +152,7 @@ def run_query(
     if options.get("db"):
         session.catalog.setCurrentDatabase(str(options["db"]))
     if params:
-        text = bind_placeholders(text)
-        rows = session.sql(text, args=dict(params))
+        rows = session.sql(bound_query(text, params), args=dict(params))
     else:
         rows = session.sql(text)
     if options.get("result_url"):
