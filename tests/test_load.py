@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-import os
 import time
 
 import pandas as pd
@@ -22,14 +21,20 @@ from tidetable import (
     write_csv,
 )
 from tidetable.operators import declared_schema
-from tidetable.sinks import Destination, drop_table, rows_per_file
-from tidetable.sinks.storage import child_names
+from tidetable.sinks import Destination, drop_table, loads_of, rows_per_file
+from tidetable.sinks.snapshots import GRACE_SETTING, current, store_of, sweep
+from tidetable.sinks.storage import child_names, path_exists
 
 
 def table(spark, name):
     return sorted((tuple(r) for r in read_table(spark, name, limit=None).collect()), key=lambda t: [(v is None, v) for v in t])
 
 
+def runs(dest):
+    """Folders of files that the table's store holds."""
+    return len(child_names(dest.spark, f"{store_of(dest)}/runs"))
+
+
 def two(spark, *values):
     return spark.createDataFrame([(v, 1) for v in values], "a int, time int")
 
@@ -61,7 +66,11 @@ def test_if_exists(spark, db, extra):
         assert dict(read_table(spark, name).dtypes) == {"q": "string", "r": "double", "time": "bigint"}
         assert table(spark, name) == [("z", 5.0, 2)]
     if not extra:
-        assert not [t.name for t in spark.catalog.listTables(db) if t.name != "t"]
+        dest = Destination.of(spark, name)
+        spark.conf.set(GRACE_SETTING, "0")
+        sweep(dest)
+        spark.conf.unset(GRACE_SETTING)
+        assert {t.name for t in spark.catalog.listTables(db)} == {"t", current(dest).data}
 
 
 def test_if_exists_is_checked_first(spark, db):
@@ -181,7 +190,7 @@ def test_all_rejected_publishes_nothing(spark, db):
         load_table(bad, name, "append", validate=True)
     assert table(spark, name) == [(1, 1)]
     dest = Destination.of(spark, name)
-    assert child_names(spark, dest.loads_path) == []
+    assert [x.rows for x in loads_of(dest)] == [1] and runs(dest) == 1
 
 
 def test_validated_append_to_a_plain_table(spark, db):
@@ -211,8 +220,13 @@ def test_repeating_a_load_id(spark, db):
     assert table(spark, name) == [(3, 1), (10, 1)]
     load_table(two(spark, 3), name, "append", load_id="a")
     assert table(spark, name) == [(3, 1), (10, 1)]
-    # One folder per live load, none left from those replaced.
-    assert len(child_names(spark, Destination.of(spark, name).loads_path)) == 2
+    # One folder per live load, none left from those replaced once nothing may read them any more.
+    dest = Destination.of(spark, name)
+    assert runs(dest) == 4
+    spark.conf.set(GRACE_SETTING, "0")
+    sweep(dest)
+    spark.conf.unset(GRACE_SETTING)
+    assert runs(dest) == 2 and table(spark, name) == [(3, 1), (10, 1)]
     load_table(two(spark, 5), name, "append")
     assert table(spark, name) == [(3, 1), (5, 1), (10, 1)]
     load_table(two(spark, 3).where("a > 3"), name, "append", load_id="a", allow_empty=True)
@@ -252,8 +266,10 @@ def test_overwrite_between_kinds(spark, db):
     load_table(two(spark, 3), name, "overwrite", load_id="a")
     assert table(spark, name) == [(3, 1)]
     dest = Destination.of(spark, name)
+    store = store_of(dest)
     drop_table(dest)
-    assert not dest.exists and child_names(spark, dest.loads_path) == []
+    assert not dest.exists and not path_exists(spark, store)
+    assert not spark.catalog.listTables(db)
 
 
 def test_files_per_load(spark, db):
@@ -261,9 +277,7 @@ def test_files_per_load(spark, db):
     assert rows_per_file(10_000_000) == 50_000
     df = spark.range(1000).selectExpr("id AS a", "1 AS time").coalesce(1)
     load_table(df, f"{db}.t", chunk_rows=100)
-    location = next(r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.t").collect() if r.col_name == "Location")
-    files = [f for f in os.listdir(location.removeprefix("file:")) if f.endswith(".parquet")]
-    assert len(files) == 10
+    assert spark.table(f"{db}.t").select(F.input_file_name()).distinct().count() == 10
     load_table(df, f"{db}.s", chunk_rows=100, validate=True)
     assert spark.table(f"{db}.s").select(F.input_file_name()).distinct().count() == 10
 

@@ -65,3 +65,21 @@ def test_bad_names_fail_early(spark, source, tmp_path):
         stream_load(stream, "nowhere.t", str(tmp_path / "c"), "feed")
     with pytest.raises(ValueError):
         stream_load(stream, "default.t", str(tmp_path / "c"), "a b")
+
+
+def test_folds_take_two_loads_at_least(spark, source, db, tmp_path):
+    stream, _ = source
+    for every in (0, 1):
+        with pytest.raises(ValueError, match="2 loads"):
+            stream_load(stream, f"{db}.live", str(tmp_path / "c"), "feed", fold_every=every)
+
+
+def test_sql_is_shown_many_batches_at_once(spark, db, events, source, tmp_path, monkeypatch):
+    stream, _ = source
+    shown = []
+    real = stream_module.show
+    monkeypatch.setattr(stream_module, "show", lambda dest, now: shown.append(len(now.loads)) or real(dest, now))
+    query = stream_load(stream, f"{db}.live", str(tmp_path / "c"), "feed", publish_seconds=3600, time_col="ts")
+    query.awaitTermination()
+    n = events.count()
+    assert shown == [4] and spark.table(f"{db}.live").count() == n and ids(spark, f"{db}.live") == (n, n)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import time as clock
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -71,14 +74,78 @@ def sql_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it, or
-    the warehouse where that is not set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    the warehouse where that is not set.
+
+    Where neither was set, the warehouse is a folder of the driver's machine, which serves a local
+    session only; elsewhere this raises.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        unset = root.startswith("file:") and root.rstrip("/").endswith("/spark-warehouse")
+        if unset and not spark.sparkContext.master.startswith(("local[", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/tidetable"
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder, never used before."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the shared folder, never used before.
+
+    What lies there is deleted when the application ends.
+    """
+    return f"{own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+#: The record that tells whose an application's folder is, and when it last gave a sign of life.
+OWNER = "owner.json"
+#: Seconds between signs of life, and after which a folder without any is taken for abandoned.
+SIGN_EVERY, ABANDONED_AFTER = 600.0, 86_400.0
+_claimed: set[str] = set()
+
+
+def own_folder(spark: SparkSession) -> str:
+    """The application's folder in the shared one, claimed at its first use."""
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _claimed:
+        _claim(spark, folder)
+        _claimed.add(folder)
+    return folder
+
+
+def _claim(spark: SparkSession, folder: str) -> None:
+    """Leave the owner's record, have the folder deleted at the driver's end, clear up after others."""
+    from tidetable.sinks.storage import delete_at_exit, write_text
+
+    def sign() -> None:
+        write_text(spark, f"{folder}/{OWNER}", json.dumps({"application": folder.rsplit("/", 1)[1], "at": clock.time()}))
+
+    def keep_signing() -> None:
+        while True:
+            clock.sleep(SIGN_EVERY)
+            try:
+                sign()
+            except Exception:  # the session has ended
+                return
+
+    sign()
+    delete_at_exit(spark, folder)
+    threading.Thread(target=keep_signing, daemon=True).start()
+    sweep_abandoned(spark)
+
+
+def sweep_abandoned(spark: SparkSession, after: float = ABANDONED_AFTER) -> list[str]:
+    """Delete the folders of applications that ended without doing so; returns their names."""
+    from tidetable.sinks.storage import child_names, delete_path, read_text
+
+    root, swept = shared_dir(spark), []
+    for name in child_names(spark, root):
+        if name == spark.sparkContext.applicationId:
+            continue
+        record = read_text(spark, f"{root}/{name}/{OWNER}")
+        if record is not None and clock.time() - json.loads(record)["at"] > after:
+            delete_path(spark, f"{root}/{name}")
+            swept.append(name)
+    return swept
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
@@ -88,4 +155,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame from :func:`written` that nothing reads any more; others are left alone."""
+    from tidetable.sinks.storage import delete_path
+
+    path = getattr(df, "_written_at", None)
+    if path is not None:
+        delete_path(df.sparkSession, path)

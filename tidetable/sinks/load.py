@@ -6,37 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidetable.errors import NoValidRecordsError, TableExistsError
-from tidetable.functions.timefuncs import utc_day
+from tidetable.errors import TableExistsError
 from tidetable.operators.coerce import coerce
 from tidetable.operators.declared import conform
 from tidetable.operators.names import normalise_name, normalise_names
 from tidetable.operators.rowindex import add_row_index
-from tidetable.operators.shape import evaluated_once
 from tidetable.operators.textguess import guess_text_types
 from tidetable.operators.timecols import TIME, build_time, format_dates
-from tidetable.session import sql_settings
-from tidetable.sinks.sessions import check_load_id, run_session
-from tidetable.sinks.tables import (
-    DAY,
-    HIDDEN,
-    LOAD_ID,
-    Destination,
-    add_columns,
-    forget_loads,
-    insert_by_name,
-    policy,
-    staging_for,
-    swap_in,
-)
+from tidetable.session import discard
+from tidetable.sinks.chunks import CHUNK_ROWS, MAX_CHUNKS, chunked, rows_per_file
+from tidetable.sinks.sessions import check_load_id, run_load
+from tidetable.sinks.snapshots import current
+from tidetable.sinks.tables import DAY, HIDDEN, Destination, policy
 
-# Default rows per file, and the most files a load is cut into.
-CHUNK_ROWS = 10_000
-MAX_CHUNKS = 200
+__all__ = ["CHUNK_ROWS", "MAX_CHUNKS", "LoadReport", "from_pandas", "load_table", "rows_per_file", "store_frame"]
 
 
 @dataclass(frozen=True)
@@ -54,11 +41,6 @@ class LoadReport:
         return self.total - self.valid
 
 
-def rows_per_file(n_rows: int, chunk_rows: int = CHUNK_ROWS) -> int:
-    """Rows per file so that a load has about 200 files at most."""
-    return max(chunk_rows, n_rows // MAX_CHUNKS)
-
-
 def from_pandas(
     spark: SparkSession,
     frame: pd.DataFrame,
@@ -128,6 +110,8 @@ def load_table(
     chunk_rows: int | None = None,
     sort_by_time: bool = False,
     day_partitions: bool = False,
+    publish: bool = True,
+    prepared: bool = False,
 ) -> LoadReport:
     """Load ``df`` into table ``name`` (``"db.t"``, or ``"t"`` in the current database).
 
@@ -142,7 +126,9 @@ def load_table(
 
     Layout: ``chunk_rows`` caps rows per file (the cap grows with the data),
     ``sort_by_time`` sorts inside each task so that time ranges skip row groups,
-    ``day_partitions`` files rows under a hidden day column that time ranges prune.
+    ``day_partitions`` files rows under a hidden day column that time ranges prune (an append
+    follows the table). Without ``publish`` ``read_table`` sees the load at once, SQL with the
+    table's next publication. A ``prepared`` frame comes from :func:`prepare` as it is to be stored.
     """
     mode = policy(if_exists)
     if isinstance(df, pd.DataFrame):
@@ -153,83 +139,38 @@ def load_table(
     dest = Destination.of(spark, name)
     if load_id is not None:
         check_load_id(load_id)
-    exists = dest.exists
+    now = current(dest)
+    exists = now is not None or dest.exists
     if exists and mode == "error":
         raise TableExistsError(f"table {dest.sql} already exists")
     if exists and mode == "ignore":
         return LoadReport(dest.sql, skipped=True)
     mode = mode if exists else "create"
-    partitions = dest.partition_columns if mode == "append" else []
-    in_session = validate or load_id is not None or LOAD_ID in partitions
-    by_day = DAY in partitions or (day_partitions and not (mode == "append" and LOAD_ID in partitions))
-
-    declared = schema or (dest.schema if mode == "append" else None)
-    frame = prepare(
-        df, time_col, add_time, keep_arrays, keep_bool, infer_text_types, declared, lenient=in_session
-    )
-    settings = {}
-    if chunk_rows is not None:
-        # Written once to be counted, then dealt evenly over the files that the count allows.
-        frame = evaluated_once(frame, "chunks")
-        n_rows = frame.count()
-        cap = rows_per_file(n_rows, chunk_rows)
-        settings["spark.sql.files.maxRecordsPerFile"] = str(cap)
-        frame = frame.repartition(max(1, -(-n_rows // cap)))
-    if in_session:
-        if sort_by_time:
-            frame = frame.sortWithinPartitions(TIME)
-        load_id, total, valid = run_session(
-            frame, dest, mode, schema, evolve, load_id, allow_empty, settings, by_day
+    appending = mode == "append"
+    in_session = validate or load_id is not None or (appending and now is not None and now.named)
+    if appending:
+        by_day = now.by_day if now is not None else DAY in dest.partition_columns
+    else:
+        by_day = day_partitions
+
+    target = None if not appending else dest.schema if now is None else now.schema
+    frame = df
+    if not prepared:
+        frame = prepare(
+            df, time_col, add_time, keep_arrays, keep_bool, infer_text_types, schema or target, lenient=in_session
         )
-        return LoadReport(dest.sql, load_id=load_id, total=total, valid=valid)
-
-    if schema is not None:
+    if schema is not None and not in_session:
         frame = conform(frame, schema, evolve)
-    total = _write_direct(frame, dest, mode, evolve, settings, sort_by_time, by_day, allow_empty)
-    return LoadReport(dest.sql, total=total, valid=total)
-
-
-def _write_direct(
-    frame: DataFrame,
-    dest: Destination,
-    mode: str,
-    evolve: bool,
-    settings: dict[str, str],
-    sort_by_time: bool,
-    by_day: bool,
-    allow_empty: bool,
-) -> int:
-    """Write straight into the table (L8); returns the number of rows."""
-    if mode == "append" and evolve:
-        add_columns(dest, [f for f in frame.schema if f.name not in dest.schema.names])
-    keys = [TIME] if sort_by_time else []
-    if by_day:
-        # Rebalancing gathers a day's rows and lets AQE split the days that are too big.
-        frame = frame.withColumn(DAY, utc_day(F.col(TIME))).hint("rebalance", DAY)
-        keys = [DAY, *keys] if keys else []
-    if keys:
-        frame = frame.sortWithinPartitions(*keys)
-    seen = Observation()
-    frame = frame.observe(seen, F.count(F.lit(1)).alias("total"))
-    target = staging_for(dest) if mode == "overwrite" else dest
-    with sql_settings(dest.spark, settings):
-        if mode == "append":
-            insert_by_name(dest, frame)
-        else:
-            writer = frame.write.format("parquet")
-            if by_day:
-                writer = writer.partitionBy(DAY)
-            writer.saveAsTable(target.sql)
-    total = seen.get["total"]
-    if not total and not allow_empty:
-        if mode != "append":
-            dest.spark.sql(f"DROP TABLE {target.sql}")
-        raise NoValidRecordsError(f"no rows to load into {dest.sql}")
-    if mode == "overwrite":
-        swap_in(dest, target)
-        dest.spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
-        forget_loads(dest)
-    return total
+    settings, counted = {}, frame
+    if chunk_rows is not None:
+        frame, settings, counted = chunked(frame, chunk_rows)
+    try:
+        load_id, total, valid = run_load(
+            frame, dest, mode, in_session, now, schema, evolve, load_id, allow_empty, settings, by_day, sort_by_time, publish
+        )
+    finally:
+        discard(counted)
+    return LoadReport(dest.sql, load_id=load_id if in_session else None, total=total, valid=valid)
 
 
 def store_frame(

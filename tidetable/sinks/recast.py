@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import time as clock
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidetable.errors import LoadError
 from tidetable.operators.declared import converted, declared_type
+from tidetable.operators.timecols import TIME
 from tidetable.session import sql_settings
-from tidetable.sinks.sessions import RECAST_PREFIX, add_parts, part_path, parts_of, written_parts
-from tidetable.sinks.storage import child_names, delete_path
-from tidetable.sinks.tables import DAY, LOAD_ID, Destination, create_empty, staging_for, swap_in
+from tidetable.sinks import snapshots
+from tidetable.sinks.sessions import nullable, written_days
+from tidetable.sinks.snapshots import RUN, Gone, Load, Snapshot
+from tidetable.sinks.storage import child_names, delete_path, size_of
+from tidetable.sinks.tables import DAY, Destination, staging_for, swap_in
 
 DISPLAY_NAME = "display_name"
 
@@ -24,12 +30,15 @@ def recast_columns(
     """Rewrite a table with ``(column, type[, display name])`` changes applied.
 
     A value that does not read as the new type raises and leaves the table as it was. The
-    display name is kept as the column's comment.
+    display name is kept as the column's comment. All loads are rewritten under new names, then
+    published together as the next version.
     """
     dest = Destination.of(spark, table_name)
-    table = spark.table(dest.sql)
+    now = snapshots.current(dest)
     wanted = {column: (declared_type(kind), *rest) for column, kind, *rest in changes}
-    unknown = [c for c in wanted if c not in dest.schema.names]
+    table = spark.table(dest.sql) if now is None else snapshots.rows_of(dest, now)
+    names = dest.schema.names if now is None else now.schema.names
+    unknown = [c for c in wanted if c not in names]
     if unknown:
         raise ValueError(f"no such column: {', '.join(unknown)}")
     columns = []
@@ -41,39 +50,54 @@ def recast_columns(
             column = converted(column, field.dataType, kind).alias(field.name, metadata=notes)
         columns.append(column)
     recast = table.select(*columns)
+    if now is None:
+        _recast_plain(dest, recast)
+    else:
+        _recast_versions(dest, now, recast)
 
-    if LOAD_ID not in dest.partition_columns:
-        staged = staging_for(dest)
-        writer = recast.write.format("parquet")
-        if DAY in dest.partition_columns:
-            writer = writer.partitionBy(DAY)
-        try:
-            writer.saveAsTable(staged.sql)
-        except BaseException:
-            spark.sql(f"DROP TABLE IF EXISTS {staged.sql}")
-            raise
-        swap_in(dest, staged)
-        return
 
-    # A session table: rewrite all loads beside the old ones, then point at the new files.
-    run = f"{dest.loads_path}/{RECAST_PREFIX}{uuid.uuid4().hex}"
-    keys = [c for c in (LOAD_ID, DAY) if c in dest.partition_columns]
-    parts = parts_of(dest)
-    stored = T.StructType([f for f in recast.schema if f.name not in keys])
-    staged = staging_for(dest)
-    old = [path for path in (part_path(dest, part) for part in parts) if path]
+def _recast_plain(dest: Destination, recast: DataFrame) -> None:
+    """A table that has no versions is written beside the old one and swapped in."""
+    spark, staged = dest.spark, staging_for(dest)
     try:
-        with sql_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"}):
-            recast.write.partitionBy(*keys).parquet(run)
-        create_empty(staged, stored, keys)
-        loads = {name.split("=", 1)[1] for name in child_names(spark, run) if name.startswith(f"{LOAD_ID}=")}
-        for load_id in sorted(loads):
-            add_parts(staged, written_parts(staged, load_id, f"{run}/{LOAD_ID}={load_id}"))
-        swap_in(dest, staged)
+        recast.write.format("parquet").saveAsTable(staged.sql)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {staged.sql}")
-        delete_path(spark, run)
         raise
-    # Rejected rows stay where the rejects table points.
-    for path in old:
+    swap_in(dest, staged)
+
+
+def _recast_versions(dest: Destination, now: Snapshot, recast: DataFrame) -> None:
+    spark, store, mark = dest.spark, snapshots.store_of(dest), uuid.uuid4().hex[:12]
+    path = snapshots.run_folder(store, f"recast.{mark}")
+    keys = [RUN, DAY] if now.by_day else [RUN]
+    stored = nullable(T.StructType([f for f in recast.schema if f.name not in keys]))
+    renamed = recast.withColumn(RUN, F.concat(F.col(RUN), F.lit(f".{mark}")))
+    try:
+        with sql_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"}):
+            renamed.write.partitionBy(*keys).parquet(path)
+    except BaseException:
         delete_path(spark, path)
+        raise
+    timed = TIME in stored.names and isinstance(stored[TIME].dataType, T.LongType)
+    written = set(child_names(spark, path))
+    loads = []
+    for load in now.loads:
+        run = f"{load.run}.{mark}"
+        if f"{RUN}={run}" in written:
+            at = f"{path}/{RUN}={run}"
+            times = (load.least, load.last) if timed else (None, None)
+            days = written_days(spark, at) if now.by_day else None
+            loads.append(Load(run, at, load.rows, size_of(spark, at), *times, days))
+    data = snapshots.create_data(dest, store, stored, now.by_day)
+    snapshots.stage(dest, data, loads)
+
+    def changed(newest: Snapshot) -> Snapshot:
+        if newest.data != now.data or newest.loads != now.loads:
+            raise LoadError(f"{dest.sql} was changed while its columns were recast; run it again")
+        emptied = newest.without(newest.loads)
+        gone = (*emptied.gone, Gone(clock.time(), newest.data))
+        return replace(newest, data=data, schema=stored, loads=tuple(loads), gone=gone)
+
+    snapshots.commit(dest, changed)
+    snapshots.sweep(dest)

@@ -1,45 +1,37 @@
-"""Load sessions: validated, named, repeatable loads published by one catalog call.
+"""Loads: staged once, counted, published as one new version of the table.
 
-A session writes its files once, split into good and rejected rows, into a folder of its
-own beside the table. Publishing points the table's ``_load_id`` partition at the good
-files, so nothing is copied, a load appears at once or not at all, and repeating an id
-replaces that load's rows. A table that is also divided by day has a partition for each
-load and day; there a load appears day by day.
+A load writes its files once, into a folder of its own in the table's store, split into good and
+rejected rows if it is validated. Rows, valid rows and the range of times are counted in the same
+pass. Publishing names the files in the next version, so nothing is copied, a load appears at once
+or not at all, with all its days, and repeating an id replaces that load's rows.
 """
 
 from __future__ import annotations
 
 import logging
 import re
+import time as clock
 import uuid
+from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidetable.errors import NoValidRecordsError
+from tidetable.errors import LoadError, NoValidRecordsError
 from tidetable.functions.timefuncs import utc_day
-from tidetable.operators.declared import REASON, REJECTED, ROW, conform_checked
+from tidetable.operators.declared import REASON, REJECTED, ROW, conform_checked, declared_schema
 from tidetable.operators.timecols import TIME, TIME_TEXT
 from tidetable.session import sql_settings
-from tidetable.sinks.storage import child_names, delete_path
-from tidetable.sinks.tables import (
-    DAY,
-    LOAD_ID,
-    Destination,
-    add_columns,
-    create_empty,
-    forget_loads,
-    insert_by_name,
-    staging_for,
-    swap_in,
-)
+from tidetable.sinks import snapshots
+from tidetable.sinks.snapshots import RUN, Gone, Load, Snapshot, commit, current, new_run, run_folder, stage
+from tidetable.sinks.storage import child_names, delete_path, size_of
+from tidetable.sinks.tables import DAY, Destination, add_columns, insert_by_name
 
 logger = logging.getLogger(__name__)
 
-# Holds a dot, which no load id may.
-RECAST_PREFIX = "recast."
-
 # Stands for the day of rejected rows while a load is staged.
 NO_DAY = "none"
 
@@ -57,228 +49,272 @@ def check_load_id(load_id: str | None) -> str:
     return load_id
 
 
-Part = dict[str, str]
-
-
-def _spec(part: Part) -> str:
-    return f"PARTITION ({', '.join(f'`{c}` = {v!r}' for c, v in part.items())})"
-
-
-def parts_of(table: Destination, load_id: str | None = None) -> list[Part]:
-    """The catalog partitions of a table, or of one load in it; nothing is listed."""
-    if not table.exists or LOAD_ID not in table.partition_columns:
-        return []
-    only = "" if load_id is None else _spec({LOAD_ID: load_id})
-    rows = table.spark.sql(f"SHOW PARTITIONS {table.sql} {only}").collect()
-    return [dict(p.split("=", 1) for p in r.partition.split("/")) for r in rows]
-
-
-def part_path(table: Destination, part: Part) -> str | None:
-    """Where the files of a partition lie, as the catalog knows it."""
-    rows = table.spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql} {_spec(part)}").collect()
-    return next((r.data_type for r in rows if r.col_name == "Location"), None)
-
-
-def add_parts(table: Destination, located: list[tuple[Part, str]]) -> None:
-    for at in range(0, len(located), 500):
-        specs = " ".join(f"{_spec(part)} LOCATION '{path}'" for part, path in located[at : at + 500])
-        table.spark.sql(f"ALTER TABLE {table.sql} ADD {specs}")
-
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
 
-def drop_parts(table: Destination, parts: list[Part]) -> None:
-    if not parts:
-        return
-    for at in range(0, len(parts), 500):
-        specs = ", ".join(map(_spec, parts[at : at + 500]))
-        table.spark.sql(f"ALTER TABLE {table.sql} DROP IF EXISTS {specs}")
-    table.refresh()
 
+def written_days(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The days that files at ``path`` are divided into."""
+    return tuple(sorted(n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith(f"{DAY}=")))
 
-def _run_folder(dest: Destination, path: str) -> str:
-    """What to delete when a load's files at ``path`` are replaced: its run's folder, or within the
-    shared folder of a recast its own."""
-    at = path.index("__loads/") + len("__loads/")
-    run = path[at:].split("/", 1)[0]
-    return path if run.startswith(RECAST_PREFIX) else path[:at] + run
 
+def _as_target(frame: DataFrame, target: T.StructType, evolve: bool) -> DataFrame:
+    """``frame`` by name as the columns of ``target``, with Spark's rules for storing values."""
+    extra = [f for f in frame.schema if f.name not in target.names]
+    if extra and not evolve:
+        raise AnalysisException(f"columns not in the table: {', '.join(f.name for f in extra)}")
+    return frame.to(nullable(T.StructType([*target, *extra])))
 
-def written_parts(table: Destination, load_id: str, path: str) -> list[tuple[Part, str]]:
-    """The partitions that a load's files at ``path`` make, one for each day if the table has days."""
-    if DAY not in table.partition_columns:
-        return [({LOAD_ID: load_id}, path)]
-    days = [n.split("=", 1)[1] for n in child_names(table.spark, path) if n.startswith(f"{DAY}=")]
-    return [({LOAD_ID: load_id, DAY: day}, f"{path}/{DAY}={day}") for day in sorted(days)]
 
+def _range_of_times(schema: T.StructType, valid: Column) -> list[Column]:
+    has_time = TIME in schema.names and isinstance(schema[TIME].dataType, T.LongType)
+    time = F.when(valid, F.col(TIME)) if has_time else F.lit(None).cast("bigint")
+    return [F.min(time).alias("least"), F.max(time).alias("last")]
 
-def _point_load(table: Destination, load_id: str, path: str) -> None:
-    """Let a load's partitions show the files at ``path``, and nothing that it held before."""
-    have = parts_of(table, load_id)
-    located = written_parts(table, load_id, path)
-    for part, place in located:
-        if part in have:
-            table.spark.sql(f"ALTER TABLE {table.sql} {_spec(part)} SET LOCATION '{place}'")
-    add_parts(table, [(part, place) for part, place in located if part not in have])
-    now = [part for part, _ in located]
-    drop_parts(table, [part for part in have if part not in now])
 
-
-def _keep_rejects(dest: Destination, load_id: str, path: str | None) -> None:
-    rejects = dest.sibling("__rejects")
-    if path is None:
-        if rejects.exists:
-            drop_parts(rejects, parts_of(rejects, load_id))
-        return
-    if not rejects.exists:
-        create_empty(rejects, _REJECTS_SCHEMA, [LOAD_ID])
-    _point_load(rejects, load_id, path)
-
-
-def run_session(
+def run_load(
     df: DataFrame,
     dest: Destination,
     mode: str,
+    checked: bool,
+    now: Snapshot | None = None,
     schema: T.StructType | None = None,
     evolve: bool = False,
     load_id: str | None = None,
     allow_empty: bool = False,
     write_settings: dict[str, str] | None = None,
     by_day: bool = False,
+    sort_by_time: bool = False,
+    view: bool = True,
 ) -> tuple[str, int, int]:
     """Stage, count, publish. Returns the load id and the total and valid row counts.
 
-    ``by_day`` files the rows of each load by their day too, so that time ranges skip files.
-    ``mode`` is ``create``, ``overwrite`` or ``append``. No valid row: nothing is
-    published and :class:`NoValidRecordsError` is raised (unless ``allow_empty``).
+    ``mode`` is ``create``, ``overwrite`` or ``append``; ``now`` is the version that ``dest`` has, if it
+    has versions. ``checked`` sets rows aside that do not fit;
+    without it such a row fails the load. ``by_day`` files the rows by their day too, so that time
+    ranges skip files. No valid row: nothing is published and :class:`NoValidRecordsError` is raised
+    (unless ``allow_empty``).
     """
     spark = dest.spark
     given, load_id = load_id, check_load_id(load_id)
     appending = mode == "append"
-    by_session = not appending or LOAD_ID in dest.partition_columns
-    if given is not None and not by_session:
+    foreign = appending and now is None
+    if given is not None and appending and (now is None or not now.named):
         raise ValueError(f"{dest.sql} was not created by a load session, so a load id cannot be replaced in it")
-    declared = schema or (dest.schema if appending else T.StructType([f for f in df.schema if f.name != TIME_TEXT]))
-    checked = conform_checked(df, declared, evolve)
-    stored = T.StructType([f for f in checked.schema if f.name not in (REJECTED, REASON, ROW)])
-
-    run = f"{dest.loads_path}/{load_id}-{uuid.uuid4().hex}"
-    # What a repeated load id replaces, read from the catalog before it changes.
-    replaced = []
-    if appending and by_session:
-        tables = (dest, dest.sibling("__rejects"))
-        replaced = [path for t in tables for path in (part_path(t, p) for p in parts_of(t, load_id)) if path]
+    target = None if not appending else dest.schema if now is None else now.schema
+    if checked:
+        declared = schema or target or T.StructType([f for f in df.schema if f.name != TIME_TEXT])
+        rows = conform_checked(df, declared, evolve)
+        good_row = ~F.col(REJECTED)
+    else:
+        rows = df if target is None else _as_target(df, target, evolve)
+        good_row = F.lit(True)
+    stored = nullable(T.StructType([f for f in rows.schema if f.name not in (REJECTED, REASON, ROW)]))
+
+    store = (now and snapshots.store_of(dest)) or snapshots.new_store(dest)
+    run = new_run(load_id)
+    path = run_folder(store, run)
+    split = [REJECTED] if checked else []
+    if by_day:
+        day = utc_day(F.col(TIME))
+        rows = rows.withColumn(DAY, F.when(good_row, day.cast("string")).otherwise(NO_DAY) if checked else day)
+        split.append(DAY)
+        if not checked:
+            # Rebalancing gathers a day's rows and lets AQE split the days that are too big.
+            rows = rows.hint("rebalance", DAY)
+    if sort_by_time:
+        rows = rows.sortWithinPartitions(*([DAY] if by_day and not checked else []), TIME)
     seen = Observation()
-    observed = checked.observe(
+    observed = rows.observe(
         seen,
         F.count(F.lit(1)).alias("total"),
-        F.count(F.when(~F.col(REJECTED), 1)).alias("valid"),
+        F.count(F.when(good_row, 1)).alias("valid"),
+        *_range_of_times(stored, good_row),
     )
     # A few open files per task instead of a sort on the split columns.
-    settings = {"spark.sql.maxConcurrentOutputFileWriters": "32" if by_day else "2", **(write_settings or {})}
-    split = [REJECTED]
-    if by_day:
-        day = F.when(F.col(REJECTED), F.lit(NO_DAY)).otherwise(utc_day(F.col(TIME)).cast("string"))
-        observed, split = observed.withColumn(DAY, day), [REJECTED, DAY]
+    settings = dict(write_settings or {})
+    if checked:
+        settings["spark.sql.maxConcurrentOutputFileWriters"] = "32" if by_day else "2"
     try:
         with sql_settings(spark, settings):
-            observed.write.partitionBy(*split).parquet(run)
+            observed.write.partitionBy(*split).parquet(path) if split else observed.write.parquet(path)
         total, valid = seen.get["total"], seen.get["valid"]
         if total > valid:
             logger.warning("load %s: %d of %d rows rejected", load_id, total - valid, total)
         if not valid and not (allow_empty and not total):
             raise NoValidRecordsError(f"load {load_id}: none of {total} rows can be stored in {dest.sql}")
     except BaseException:
-        delete_path(spark, run)
+        delete_path(spark, path)
         raise
-    good, bad = f"{run}/{REJECTED}=false", f"{run}/{REJECTED}=true" + (f"/{DAY}={NO_DAY}" if by_day else "")
+    good = f"{path}/{REJECTED}=false" if checked else path
+    bad = f"{path}/{REJECTED}=true" + (f"/{DAY}={NO_DAY}" if by_day else "")
     if not valid:
-        delete_path(spark, run)
-        if by_session and appending:
-            # Repeating an id with an empty input takes that load's rows out again.
-            drop_parts(dest, parts_of(dest, load_id))
-            _keep_rejects(dest, load_id, None)
-            for path in {_run_folder(dest, path) for path in replaced}:
-                delete_path(spark, path)
-        return load_id, total, valid
-
-    if appending:
-        add_columns(dest, [f for f in stored if f.name not in dest.schema.names])
-        if by_session:
-            _point_load(dest, load_id, good)
-        else:
+        delete_path(spark, path)
+        if checked and not appending:
+            return load_id, total, valid
+    if foreign:
+        if valid:
             days = [T.StructField(DAY, T.DateType())] if by_day else []
+            add_columns(dest, [f for f in stored if f.name not in target.names])
             insert_by_name(dest, spark.read.schema(T.StructType([*stored, *days])).parquet(good))
             delete_path(spark, good)
     else:
-        # The new table is complete under another name before the old one goes.
-        staged = staging_for(dest)
-        create_empty(staged, stored, [LOAD_ID, DAY] if by_day else [LOAD_ID])
-        _point_load(staged, load_id, good)
-        swap_in(dest, staged)
-        spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
-        forget_loads(dest, keep=run)
-    _keep_rejects(dest, load_id, bad if total > valid else None)
-    for path in {_run_folder(dest, path) for path in replaced}:
-        delete_path(spark, path)
+        load = None
+        if valid:
+            days = written_days(spark, good) if by_day else None
+            load = Load(run, good, valid, size_of(spark, good), seen.get["least"], seen.get["last"], days)
+        after = publish(dest, now, store, mode, stored, checked, by_day, load, load_id, view)
+        snapshots.sweep(dest, after)
+    if total > valid:
+        keep_rejects(dest, load_id, Load(run, bad, total - valid, size_of(spark, bad)), view)
+    elif given is not None or not appending:
+        keep_rejects(dest, load_id, None, view, appending)
     return load_id, total, valid
 
 
+def publish(
+    dest: Destination,
+    now: Snapshot | None,
+    store: str,
+    mode: str,
+    stored: T.StructType,
+    named: bool,
+    by_day: bool,
+    load: Load | None,
+    load_id: str,
+    view: bool = True,
+) -> Snapshot:
+    """Name a staged load (None: no rows) in the next version of ``dest``, which is returned."""
+    if mode == "append":
+        columns = [f for f in stored if f.name not in now.schema.names]
+        add_columns(dest, columns, now.data)
+        stage(dest, now.data, [load] if load else [])
+
+        def added(newest: Snapshot) -> Snapshot:
+            if newest.data != now.data:
+                raise LoadError(f"{dest.sql} was replaced while load {load_id} was written; load it again")
+            more = [f for f in stored if f.name not in newest.schema.names]
+            wide = replace(newest, schema=T.StructType([*newest.schema, *more]))
+            if load is None:
+                return wide.without([x for x in wide.loads if x.load_id == load_id])
+            return wide.instead(load)
+
+        return commit(dest, added, view, now)
+    # The new files are complete, under names of their own, before the next version names them.
+    data = snapshots.create_data(dest, store, stored, by_day)
+    loads = (load,) if load else ()
+    stage(dest, data, loads)
+    if now is None:
+        first = Snapshot(1, data, stored, named, by_day, loads)
+        snapshots.create(dest, store, first)
+        return first
+
+    def replaced(newest: Snapshot) -> Snapshot:
+        emptied = newest.without(newest.loads)
+        return Snapshot(0, data, stored, named, by_day, loads, (*emptied.gone, Gone(clock.time(), newest.data)))
+
+    return commit(dest, replaced, view, now)
+
+
+def keep_rejects(dest: Destination, load_id: str, load: Load | None, view: bool = True, appending: bool = True) -> None:
+    """Let the table of rejects hold ``load`` (None: nothing) in the place of what it held of that id."""
+    rejects = dest.rejects
+    now = current(rejects)
+    if now is not None and not appending and load is None:
+        snapshots.drop(rejects)
+    elif now is not None:
+        if load is not None:
+            stage(rejects, now.data, [load])
+        elif not any(x.load_id == load_id for x in now.loads):
+            return
+        commit(
+            rejects,
+            lambda s: s.instead(load) if load is not None else s.without([x for x in s.loads if x.load_id == load_id]),
+            view,
+        )
+        snapshots.sweep(rejects)
+    elif load is not None:
+        store = snapshots.new_store(rejects)
+        data = snapshots.create_data(rejects, store, _REJECTS_SCHEMA, False)
+        stage(rejects, data, [load])
+        snapshots.create(rejects, store, Snapshot(1, data, _REJECTS_SCHEMA, True, False, (load,)))
+
+
+def create_table(
+    spark: SparkSession, name: str, names: Sequence[str] = (), types: Sequence[str] = ()
+) -> None:
+    """Create an empty table with declared columns, or an open one that has ``time`` only."""
+    schema = declared_schema(names, types)
+    if not schema.fields:
+        schema = declared_schema(["time"], ["bigint"])
+    dest = Destination.of(spark, name)
+    store = snapshots.new_store(dest)
+    publish(dest, None, store, "create", nullable(schema), False, False, None, "")
+
+
+def drop_table(dest: Destination) -> None:
+    """Drop a table together with its versions, files and rejects."""
+    for table in (dest, dest.rejects):
+        if current(table) is not None:
+            snapshots.drop(table)
+        elif table.exists:
+            dest.spark.sql(f"DROP TABLE IF EXISTS {table.sql}")
+
+
+def loads_of(dest: Destination) -> tuple[Load, ...]:
+    """The loads that a table holds now."""
+    now = current(dest)
+    return () if now is None else now.loads
+
+
 FOLD_EVERY = 50
 
 
-def fold_loads(dest: Destination, name: str, every: int = FOLD_EVERY) -> None:
+def check_fold_every(every: int) -> int:
+    if every < 2:
+        raise ValueError(f"a fold takes 2 loads at least, not {every}")
+    return every
+
+
+def fold_loads(dest: Destination, name: str, every: int = FOLD_EVERY, view: bool = True) -> None:
     """Fold finished loads ``<name>-<number>`` into loads ``<name>-<first>_<last>`` of many.
 
     As soon as there are ``every`` loads of one size, they and all loads of other sizes that lie
     between them become one, and the results are folded again in turn; so the number of
-    partitions grows with the logarithm of that of loads. The newest load is left alone, as it
-    may be run again. A folded load is added before its parts are dropped; if a run ends between,
-    the next call drops them.
+    loads grows with the logarithm of that of the loads made. The newest load is left alone, as it
+    may be run again. One version holds the parts, the next the folded load in their place.
     """
-    tables = (dest, dest.sibling("__rejects"))
-    emptied: list[str] = []
-    for table in tables:
-        emptied += _drop_inner(table, name)
-        while spans := _full_span(table, name, every):
-            emptied += _fold(table, name, spans)
-    held = {_run_folder(dest, p) for t in tables for p in (part_path(t, part) for part in parts_of(t)) if p} if emptied else set()
-    for path in {_run_folder(dest, path) for path in emptied} - held:
-        delete_path(dest.spark, path)
-
-
-def _spans(table: Destination, name: str) -> dict[tuple[int, int], str]:
-    """First and last number of each load of that name, and its id."""
+    check_fold_every(every)
+    for table in (dest, dest.rejects):
+        while (now := current(table)) is not None and (spans := _full_span(now, name, every)):
+            if not _fold(table, now, name, spans, view):
+                break
+        snapshots.sweep(table)
+
+
+def _spans(snapshot: Snapshot, name: str) -> dict[tuple[int, int], Load]:
+    """Loads of that name by their first and last number."""
     found = {}
-    for load_id in {part[LOAD_ID] for part in parts_of(table)}:
-        match = re.fullmatch(rf"{re.escape(name)}-(\d+)(?:_(\d+))?", load_id)
+    for load in snapshot.loads:
+        match = re.fullmatch(rf"{re.escape(name)}-(\d+)(?:_(\d+))?", load.load_id)
         if match:
-            found[int(match[1]), int(match[2] or match[1])] = load_id
+            found[int(match[1]), int(match[2] or match[1])] = load
     return found
 
 
 def covering_load(dest: Destination, name: str, number: int) -> bool:
     """Whether a folded load already holds the load of that number."""
-    return any(first <= number <= last and first < last for first, last in _spans(dest, name))
-
+    now = current(dest)
+    return now is not None and any(first <= number <= last and first < last for first, last in _spans(now, name))
 
-def _drop_inner(table: Destination, name: str) -> list[str]:
-    """Drop the loads that lie within another one; where their files were."""
-    spans = _spans(table, name)
-    inner = {load for (a, b), load in spans.items() if any(c <= a and b <= d and (a, b) != (c, d) for c, d in spans)}
-    parts = [part for part in parts_of(table) if part[LOAD_ID] in inner] if inner else []
-    paths = [part_path(table, part) for part in parts]
-    drop_parts(table, parts)
-    for path in filter(None, paths):
-        delete_path(table.spark, path)
-    return [path for path in paths if path]
 
-
-def _full_span(table: Destination, name: str, every: int) -> list[tuple[int, int]]:
+def _full_span(snapshot: Snapshot, name: str, every: int) -> list[tuple[int, int]]:
     """All finished loads from the first to the last one of the smallest size that has ``every`` loads.
 
     Sizes are by numbers, which batches without rows leave out, so loads of another size may lie
     between; as the folded load's numbers span them, they belong to it.
     """
-    done = sorted(_spans(table, name))[:-1]
+    done = sorted(_spans(snapshot, name))[:-1]
     by_size: dict[int, list[tuple[int, int]]] = {}
     for first, last in done:
         size = 0
@@ -292,15 +328,32 @@ def _full_span(table: Destination, name: str, every: int) -> list[tuple[int, int
     return [span for span in done if spans[0] <= span <= spans[-1]]
 
 
-def _fold(table: Destination, name: str, spans: list[tuple[int, int]]) -> list[str]:
+def _fold(table: Destination, now: Snapshot, name: str, spans: list[tuple[int, int]], view: bool) -> bool:
+    """Write the loads of ``spans`` as one and publish it in their place; False if they changed meanwhile."""
     spark = table.spark
-    ids = [load for span, load in _spans(table, name).items() if span in spans]
-    load_id = f"{name}-{spans[0][0]}_{spans[-1][1]}"
-    run = f"{table.loads_path}/{load_id}-{uuid.uuid4().hex}"
-    rows = spark.table(table.sql).where(F.col(LOAD_ID).isin(ids)).drop(LOAD_ID)
-    if DAY in table.partition_columns:
-        rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(run)
-    else:
-        rows.hint("rebalance").write.parquet(run)
-    _point_load(table, load_id, run)
-    return _drop_inner(table, name)
+    loads = [load for span, load in _spans(now, name).items() if span in spans]
+    run = new_run(f"{name}-{spans[0][0]}_{spans[-1][1]}")
+    path = run_folder(snapshots.store_of(table), run)
+    rows = snapshots.rows_of(table, now, loads).drop(RUN)
+    rows = rows.hint("rebalance", DAY) if now.by_day else rows.hint("rebalance")
+    if TIME in now.schema.names:
+        # Row groups of a few days each, whatever the loads were.
+        rows = rows.sortWithinPartitions(*([DAY] if now.by_day else []), TIME)
+    rows.write.partitionBy(DAY).parquet(path) if now.by_day else rows.write.parquet(path)
+    times = [t for x in loads for t in (x.least, x.last) if t is not None]
+    known = all(x.least is not None for x in loads)
+    folded = Load(
+        run, path, sum(x.rows for x in loads), size_of(spark, path),
+        min(times) if known else None, max(times) if known else None,
+        written_days(spark, path) if now.by_day else None,
+    )
+    stage(table, now.data, [folded])
+    parts = {x.run for x in loads}
+
+    def fold(newest: Snapshot) -> Snapshot | None:
+        if newest.data != now.data or not parts <= {x.run for x in newest.loads}:
+            return None
+        kept = newest.without(loads)
+        return replace(kept, loads=(*kept.loads, folded))
+
+    return folded in commit(table, fold, view).loads

@@ -10,11 +10,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidetable.operators.declared import declared_schema
-from tidetable.sinks.storage import child_names, delete_path
-
 LOAD_ID, DAY = "_load_id", "_day"
-HIDDEN = (LOAD_ID, DAY)
+#: Columns the toolkit keeps for itself.
+HIDDEN = (LOAD_ID, DAY, "_run")
+REJECTS = "__rejects"
 
 # Accepted if_exists words and the policy each stands for.
 POLICIES = {
@@ -56,6 +55,21 @@ class Destination:
     def sibling(self, suffix: str) -> Destination:
         return Destination(self.spark, self.database, self.table + suffix)
 
+    def beside(self, table: str) -> str:
+        """A table of the same database, as it is written in SQL."""
+        return f"`{self.database}`.`{table}`"
+
+    @property
+    def rejects(self) -> Destination:
+        """Where the rows go that validated loads set aside."""
+        return self.sibling(REJECTS)
+
+    @property
+    def loaded(self) -> Destination | None:
+        """The table whose rejects this one holds, if it does."""
+        name = self.table.removesuffix(REJECTS)
+        return None if name == self.table else Destination(self.spark, self.database, name)
+
     @property
     def sql(self) -> str:
         return f"`{self.database}`.`{self.table}`"
@@ -75,11 +89,10 @@ class Destination:
         return [c.name for c in columns if c.isPartition]
 
     @property
-    def loads_path(self) -> str:
-        """Folder beside the table that holds the files of its load sessions."""
+    def folder(self) -> str:
+        """Folder of the database."""
         rows = self.spark.sql(f"DESCRIBE DATABASE `{self.database}`").collect()
-        base = next(r.info_value for r in rows if r.info_name == "Location")
-        return f"{base.rstrip('/')}/{self.table}__loads"
+        return next(r.info_value for r in rows if r.info_name == "Location").rstrip("/")
 
     def refresh(self) -> None:
         self.spark.catalog.refreshTable(self.sql)
@@ -94,43 +107,21 @@ def _definition(field: T.StructField) -> str:
     return text
 
 
-def create_empty(dest: Destination, schema: T.StructType, partitioned_by: Sequence[str] = ()) -> None:
-    """Create a parquet table with the given columns, partition columns last."""
-    columns = ", ".join(_definition(f) for f in schema.fields)
-    columns += "".join(f", `{c}` {'DATE' if c == DAY else 'STRING'}" for c in partitioned_by)
-    tail = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitioned_by)})" if partitioned_by else ""
-    dest.spark.sql(f"CREATE TABLE {dest.sql} ({columns}) USING parquet{tail}")
-
+def column_list(schema: T.StructType, partitioned_by: Sequence[str] = ()) -> str:
+    """The columns of a table as DDL, partition columns last."""
+    columns = [_definition(f) for f in schema.fields]
+    return ", ".join([*columns, *[f"`{c}` {'DATE' if c == DAY else 'STRING'}" for c in partitioned_by]])
 
-def create_table(
-    spark: SparkSession, name: str, names: Sequence[str] = (), types: Sequence[str] = ()
-) -> None:
-    """Create an empty table with declared columns, or an open one that has ``time`` only."""
-    schema = declared_schema(names, types)
-    if not schema.fields:
-        schema = declared_schema(["time"], ["bigint"])
-    create_empty(Destination.of(spark, name), schema)
 
-
-def add_columns(dest: Destination, fields: Sequence[T.StructField]) -> None:
-    """Append columns to a table; rows already stored read as NULL there."""
+def add_columns(dest: Destination, fields: Sequence[T.StructField], table: str | None = None) -> None:
+    """Append columns to a table (or to one beside it); rows already stored read as NULL there."""
     if fields:
         columns = ", ".join(_definition(f) for f in fields)
-        dest.spark.sql(f"ALTER TABLE {dest.sql} ADD COLUMNS ({columns})")
-
-
-def drop_table(dest: Destination) -> None:
-    """Drop a table together with its load sessions and rejects."""
-    spark = dest.spark
-    spark.sql(f"DROP TABLE IF EXISTS {dest.sql}")
-    spark.sql(f"DROP TABLE IF EXISTS {dest.sibling('__rejects').sql}")
-    loads = dest.loads_path
-    if child_names(spark, loads):
-        delete_path(spark, loads)
+        dest.spark.sql(f"ALTER TABLE {dest.sql if table is None else dest.beside(table)} ADD COLUMNS ({columns})")
 
 
 def swap_in(dest: Destination, staged: Destination) -> None:
-    """Put a finished staging table in the place of ``dest``.
+    """Put a finished staging table in the place of ``dest``, a table without versions.
 
     The old table is renamed away and dropped only once the new one has its name; if that
     fails it gets its name back. Readers can meet a moment without the table, never a lost one.
@@ -150,14 +141,6 @@ def swap_in(dest: Destination, staged: Destination) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {old.sql}")
 
 
-def forget_loads(dest: Destination, keep: str | None = None) -> None:
-    """Delete the files of all load sessions but the run at ``keep``, of which nothing may read any more."""
-    for name in child_names(dest.spark, dest.loads_path):
-        path = f"{dest.loads_path}/{name}"
-        if path != keep:
-            delete_path(dest.spark, path)
-
-
 def staging_for(dest: Destination) -> Destination:
     return dest.sibling(f"__stg_{uuid.uuid4().hex[:12]}")
 
