@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.llm.decontaminate import mark_contamination
+from tidetable.llm.decontaminate import contamination_counts
 from tidetable.llm.frames import table
 from tidetable.llm.langid import languages
 from tidetable.llm.merkle import verified_versions
@@ -51,9 +51,9 @@ def op4_relative_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = mark_contamination(docs, table(spark, sf_dir, "benchmark"))
+    marked = contamination_counts(docs, table(spark, sf_dir, "benchmark"))
     return marked.select(
-        "row.doc_id",
+        "doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
