@@ -34,13 +34,16 @@ from tidetable.llm.frames import row_struct, stored, text_runs, whole_text
 SIZES = (3, 4)
 #: Labelled rows of a language that the filters are fitted on, about.
 PER_LANGUAGE = 4_000
-#: Share of a language's documents that contain its n-grams, and least number of them.
+#: Share of a language's documents that contain its n-grams, and least number of them (1 if it has one).
 LEAST_SHARE, LEAST_DOCS = 0.002, 2
 #: Part of an n-gram's largest share in a language that its share in another must have.
 LEAST_PART = 0.2
 #: Places of the table, and places an n-gram has.
 PLACES, HASHES = 1 << 20, 4
 
+#: Code points of a text that are taken at once; longer ones are cut into such runs.
+RUN = 1 << 20
+
 UNKNOWN = "und"
 
 _odd = np.uint64(0x9E3779B97F4A7C15)
@@ -78,6 +81,50 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.concatenate([none.astype(np.uint64), *hashes]), np.concatenate([none, *owners]), any_letter
 
 
+def run_grams(text: str, run: int | None = None) -> Iterator[np.ndarray]:
+    """The hashes of one text's n-grams in runs of so many code points, each n-gram in one of them.
+
+    They are those of :func:`grams_of`, for texts too long to be taken at once.
+    """
+    run = run or RUN
+    lowered = f" {text.lower()} "
+    tail = np.zeros(0, np.uint64)
+    after_letter = True
+    for begin in range(0, len(lowered), run):
+        codes = np.frombuffer(lowered[begin : begin + run].encode("utf-32-le", "replace"), np.uint32)
+        letter = letters()[codes]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= after_letter
+        after_letter = bool(letter[-1])
+        new = np.where(letter, codes, 32)[keep].astype(np.uint64)
+        held = np.concatenate([tail, new])
+        for n in SIZES:
+            # Those that end in the new part; the tail has at most what the longest of them needs.
+            first = max(0, len(tail) - n + 1)
+            count = len(held) - n + 1 - first
+            if count > 0:
+                value = np.full(count, n, np.uint64)
+                for j in range(n):
+                    value = value * _odd + held[first + j : first + j + count]
+                yield mixed(value)
+        tail = held[-(max(SIZES) - 1) :]
+
+
+def distinct_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of some texts and the text of each; of a long text each n-gram once."""
+    hashes, of, _ = grams_of([t if t and len(t) <= RUN else None for t in texts])
+    parts, owners = [hashes], [of]
+    for k, text in enumerate(texts):
+        if text and len(text) > RUN:
+            found = np.zeros(0, np.uint64)
+            for grams in run_grams(text):
+                found = np.union1d(found, grams)
+            parts.append(found)
+            owners.append(np.full(len(found), k))
+    return np.concatenate(parts), np.concatenate(owners)
+
+
 def places_of(hashes: np.ndarray) -> Iterator[np.ndarray]:
     """The table places of n-grams, one array for each hash."""
     first = hashes & np.uint64(0xFFFFFFFF)
@@ -97,21 +144,32 @@ class LanguageFilters:
     table: np.ndarray
     false_rate: np.ndarray
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language and score of each text, and its number of n-grams."""
-        hashes, of, any_letter = grams_of(texts)
-        totals = np.bincount(of, minlength=len(texts))
-        if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), totals
+    def hits(self, hashes: np.ndarray, of: np.ndarray, n_texts: int) -> np.ndarray:
+        """For each text the number of its n-grams that each language's filter contains."""
         masks = None
         for place in places_of(hashes):
             found = self.table[place]
             masks = found if masks is None else masks & found
-        hits = np.zeros((len(texts), len(self.languages)))
+        hits = np.zeros((n_texts, len(self.languages)))
         width = 8 * self.table.dtype.itemsize
         for k in range(len(self.languages)):
             has = (masks[:, k // width] >> self.table.dtype.type(k % width)) & self.table.dtype.type(1)
-            hits[:, k] = np.bincount(of[has.astype(bool)], minlength=len(texts))
+            hits[:, k] = np.bincount(of[has.astype(bool)], minlength=n_texts)
+        return hits
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and its number of n-grams."""
+        hashes, of, any_letter = grams_of([t if t and len(t) <= RUN else None for t in texts])
+        totals = np.bincount(of, minlength=len(texts))
+        hits = self.hits(hashes, of, len(texts))
+        for k, text in enumerate(texts):
+            if text and len(text) > RUN:
+                any_letter[k] = any(map(str.isalpha, text.lower()))
+                for grams in run_grams(text):
+                    totals[k] += len(grams)
+                    hits[k] += self.hits(grams, np.zeros(len(grams), np.int64), 1)[0]
+        if not self.languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), totals
         rest = (hits - totals[:, None] * self.false_rate) / (1 - self.false_rate)
         best = rest.argmax(axis=1)
         score = np.clip(rest[np.arange(len(texts)), best] / np.maximum(totals, 1), 0, 1)
@@ -138,7 +196,7 @@ def fit_filters(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFi
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_runs(batches):
-            hashes, of, _ = grams_of(batch.column("text").to_pylist())
+            hashes, of = distinct_grams(batch.column("text").to_pylist())
             # Each document counts an n-gram once.
             order = np.lexsort((hashes, of))
             hashes, of = hashes[order], of[order]
@@ -174,7 +232,7 @@ def fit_filters(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFi
     part = F.col("n") / sampled[F.col("language")]
     largest = F.max("share").over(Window.partitionBy("gram"))
     kept = (
-        counted.where(f"gram <> 0 and n >= {LEAST_DOCS}")
+        counted.where((F.col("gram") != 0) & (F.col("n") >= F.least(F.lit(LEAST_DOCS), sampled[F.col("language")])))
         .select("gram", "language", part.alias("share"))
         .where(F.col("share") >= LEAST_SHARE)
         .select("gram", "language", "share", largest.alias("largest"))
