@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidetable.llm.encoding import BYTE_BPE, piece_encoder
-from tidetable.llm.frames import open_store, stored, text_runs, whole_text, work_path
+from tidetable.llm.frames import open_store, sort_tasks, stored, text_runs, whole_text, work_path
 
 BLOCK = 1024
 #: Share of a block's distances that its width must hold.
@@ -114,14 +115,15 @@ class TokenWriter:
         self.sink, self.share = sink, share
         self.rest = np.zeros(0, np.uint32)
         self.place = self.tokens = 0
-        self.blocks: list[int] = []
-        self.doc_ids: list[int | None] = []
-        self.firsts: list[int] = []
+        # Numbers of the footer as they will be stored, 17 bytes a document.
+        self.blocks, self.firsts = array("Q"), array("Q")
+        self.doc_ids, self.present = array("q"), bytearray()
 
     def add(self, doc_ids: list[int | None], ids: np.ndarray, counts: np.ndarray) -> None:
         """Documents with all their ids in a row and each one's number of ids."""
-        self.doc_ids += doc_ids
-        self.firsts += (self.tokens + np.cumsum(counts) - counts).tolist()
+        self.doc_ids.extend(0 if i is None else i for i in doc_ids)
+        self.present.extend(i is not None for i in doc_ids)
+        self.firsts.frombytes((self.tokens + np.cumsum(counts) - counts).astype(np.uint64).tobytes())
         self.tokens += len(ids)
         held = np.concatenate([self.rest, ids])
         whole = len(held) - len(held) % BLOCK
@@ -139,8 +141,8 @@ class TokenWriter:
             self.put(self.rest)
         footer = [
             np.array(self.blocks, "<u8"),
-            np.array([0 if i is None else i for i in self.doc_ids], "<i8"),
-            np.array([i is not None for i in self.doc_ids], np.uint8),
+            np.array(self.doc_ids, "<i8"),
+            np.array(self.present, np.uint8),
             np.array(self.firsts, "<u8"),
         ]
         for part in footer:
@@ -195,7 +197,7 @@ def write_token_files(
     ordered = (
         docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
         .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
+        .repartitionByRange(sort_tasks(docs), "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
     )
 
