@@ -20,6 +20,7 @@ from tidetable.llm.langid import with_known_language
 from tidetable.llm.packing import packed
 from tidetable.llm.pii import sanitised
 from tidetable.llm.simhash import one_of_each_group
+from tidetable.session import discard
 
 #: Share of a text's n-grams that its language must explain.
 LEAST_SCORE = 0.3
@@ -61,8 +62,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of ``documents``, each stage written before the next one reads it."""
+    """The packed pieces of ``documents``, each stage written before the next one reads it and deleted after."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{number}")
+        last, docs = docs, stored(stage(spark, docs, sf_dir), f"stage-{number}")
+        discard(last)
     return docs

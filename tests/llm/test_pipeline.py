@@ -60,6 +60,84 @@ def test_run(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near duplicates", "decontamination", "personal data", "packing"]
 
 
+@pytest.fixture
+def small_corpus(spark, tmp_path):
+    """A folder of tables with one case of each stage's decisions, null ids and empty texts."""
+    body = [f"the {w} was seen by them and then it went on to the old house of {w}" for w in ("fox", "dog", "hen", "cow", "owl")]
+    en = [" ".join(f"{b} number {k} {j}" for j, b in enumerate(body)) for k in range(30)]
+    item = "seen fox old hen went owl house dog then cow on them number by was it to the and of"
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(en)]
+    rows += [
+        (100, en[3], "en", "s", 1), (101, en[3], "en", "s", 1), (102, "1234 5678", "en", "s", 9), (103, None, "en", "s", 0), (104, "", "en", "s", 0),
+        (105, f"the old house {item} was seen", "en", "s", 1), (106, "the house of the man was seen, write to jo@example.org and then go", "en", "s", 1),
+        (None, "the house and the owl went on to them", "en", "s", 1), (None, f"it was {item}", None, None, None),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path), rows, item
+
+
+def test_whole_run_against_brute_force(spark, small_corpus):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+    from tests.llm.test_dedup_ops import brute_components, brute_fingerprint
+
+    folder, rows, item = small_corpus
+    docs, outputs = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder).cache()
+        outputs[name] = docs.collect()
+    texts = lambda name: sorted(str((r.doc_id, r.text)) for r in outputs[name])
+    lettered = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    assert texts("language") == sorted(str(r[:2]) for r in lettered)
+    named = [r for r in lettered if r[0] is not None]
+    roots = brute_components([brute_fingerprint(r[1]) for r in named])
+    smallest = {}
+    for r, root in zip(named, roots, strict=True):
+        smallest[root] = min(r, smallest.get(root, r), key=lambda x: x[0])
+    kept = [*smallest.values(), *[r for r in lettered if r[0] is None]]
+    assert texts("near duplicates") == sorted(str(r[:2]) for r in kept)
+    clean = [r for r in kept if item not in r[1]]
+    assert texts("decontamination") == sorted(str(r[:2]) for r in clean) and len(clean) < len(kept)
+    masked = [(r[0], r[1].replace("jo@example.org", "[EMAIL]")) for r in clean]
+    got = {r.doc_id: r.text for r in outputs["personal data"]}
+    assert len(outputs["personal data"]) == len(clean)
+    assert "jo@example.org" not in str(got) and got[106].count("[EMAIL]") == 1
+    assert sorted(str(d) for d in got) == sorted(str(d) for d, _ in {(d, t) for d, t in masked})
+    library = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    lengths = sorted(len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in outputs["personal data"])
+    assert sorted(r.length for r in outputs["packing"]) == lengths
+    places = {}
+    for r in outputs["packing"]:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in places.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert corpus_pipeline.run(spark, folder).count() == len(outputs["packing"])
+
+
+def test_run_of_an_empty_table_and_what_it_leaves(spark, small_corpus, tmp_path):
+    import os
+
+    from tidetable.session import own_folder
+
+    folder, _, _ = small_corpus
+    empty = tmp_path / "empty"
+    spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(str(empty / "documents.parquet"))
+    spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(empty / "benchmark.parquet"))
+    top = own_folder(spark).removeprefix("file:")
+    before = set(os.listdir(top))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+    assert corpus_pipeline.run(spark, folder).count() > 0
+    left = sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(top)) - before)
+    assert [n for n in left if "stage" in n] == ["corpus-stage-4", "corpus-stage-4"]
+
+
 def test_queries_cover_all_operators():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,42 @@ def test_many_languages():
         assert np.all(filters.false_rate < 0.01)
 
 
+def test_long_texts_are_read_in_runs(monkeypatch):
+    import random
+    import tracemalloc
+
+    import numpy as np
+
+    turn = random.Random(4)
+    texts = ["", "a", " ß", "ΑΣ ΣΑΣ!", "x" * 50, "12 ... 34", None] + [
+        "".join(turn.choice("abcde ÉΣ中1.,\n") for _ in range(turn.randrange(400))) for _ in range(40)
+    ]
+    for text in texts:
+        want = sorted(langid.grams_of([text])[0].tolist())
+        for run in (1, 2, 3, 7, 64, 10_000):
+            if text:
+                assert sorted(np.concatenate([np.zeros(0, np.uint64), *langid.run_grams(text, run)]).tolist()) == want
+    hashes, of, _ = langid.grams_of(texts)
+    filters = langid.build_filters(["one", "two"], hashes, of % 2)
+    whole = [x.tolist() if hasattr(x, "tolist") else x for x in filters.predict(texts)]
+    monkeypatch.setattr(langid, "RUN", 30)
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in filters.predict(texts)] == whole
+    found, owner = langid.distinct_grams(texts)
+    assert {(k, h) for k, h in zip(owner.tolist(), found.tolist())} == {(k, h) for k, h in zip(of.tolist(), hashes.tolist())}
+    monkeypatch.undo()
+    tracemalloc.start()
+    filters.predict(["words and more words " * 500_000])
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
+def test_a_language_of_one_labelled_row(spark):
+    rows = [(k, "und die katze sitzt auf dem dach", "de") for k in range(0, 40)] + [(100, "zqx wvk jjyx qqz xkw", "zz")]
+    docs = spark.createDataFrame([r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2], "doc_id long, text string, lang string")
+    filters = langid.fit_filters(docs)
+    assert filters.predict(["zqx wvk jjyx", "die katze sitzt"])[0] == (["zz", "de"] if docs.where("lang = 'zz'").count() else ["de", "de"])
+
+
 WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
@@ -267,6 +304,29 @@ def test_contamination(contaminated, monkeypatch, most):
     assert decontaminate.mark_contamination(docs.limit(0), bench).count() == 0
 
 
+def test_items_of_a_window_do_not_travel_with_its_hits(spark):
+    """8,000 items share a word that 20 documents hold 200 times; hits are of fixed width."""
+    bench = spark.range(8000).selectExpr("id AS item_id", "'shared' AS text")
+    docs = spark.range(20).selectExpr("id AS doc_id", "repeat('shared word ', 200) AS text")
+    windows = decontaminate.item_windows(bench)
+    hits = decontaminate.window_hits(docs, windows)
+    assert hits.schema["hits"].dataType.elementType.names == ["at", "size", "digest"]
+    assert windows.select("digest").distinct().count() == 1
+    rows = decontaminate.contamination_counts(docs, bench).collect()
+    want = sorted(str(k) for k in range(8000))
+    assert len(rows) == 20 and all((r.n_words, r.n_hit, r["items"]) == (400, 200, want) for r in rows)
+
+
+def test_rows_of_one_id_are_judged_by_their_own_words(spark):
+    bench = spark.createDataFrame([(1, "only here")], "item_id long, text string")
+    rows = [(1, "only here"), (1, "nothing at all"), (1, "only here"), (None, "only here"), (None, "clean text"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination_counts(docs, bench).collect()
+    assert sorted(map(str, ((r.doc_id, r.n_words, r.n_hit) for r in got))) == sorted(
+        map(str, [(1, 2, 2), (1, 3, 0), (1, 2, 2), (None, 2, 2), (None, 2, 0), (None, 0, 0)])
+    )
+
+
 def test_archives(spark):
     find_code(spark)
     real = spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "url", "html")

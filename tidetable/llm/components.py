@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidetable.llm.frames import stored
+from tidetable.session import discard
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -24,7 +25,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         if now["n"] == 0 or now == before:
             break
         before = now
-        links = stored(small_star(large_star(links)), "links")
+        last, links = links, stored(small_star(large_star(links)), "links")
+        discard(last)
     stars = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,11 +12,12 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidetable.session import scratch_path, written
+
 
 def work_path(spark: SparkSession, tag: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, or under the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/corpus/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    """A new folder in the application's part of the shared folder, deleted when the application ends."""
+    return scratch_path(spark, f"corpus-{tag}")
 
 
 def find_code(spark: SparkSession) -> None:
@@ -30,10 +30,11 @@ def find_code(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder now and read it back, which cuts its lineage."""
-    path = work_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder now and read it back, which cuts its lineage.
+
+    ``discard`` deletes its files once nothing reads them any more.
+    """
+    return written(df, f"corpus-{tag}")
 
 
 #: Bytes of a table's files that a sorting task should get.
