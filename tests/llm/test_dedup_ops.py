@@ -154,7 +154,11 @@ def brute_removed(rows):
     return out
 
 
-def test_substring_dedup(spark, docs, monkeypatch):
+@pytest.mark.parametrize("all_hot", [False, True])
+def test_substring_dedup(spark, docs, monkeypatch, all_hot):
+    if all_hot:
+        real = substring_dedup.hot_keys
+        monkeypatch.setattr(substring_dedup, "hot_keys", lambda texts: real(texts, 0.0, 1))
     rng = random.Random(2)
     common = [f"w{k}" for k in range(60)]
     extra = []
@@ -176,6 +180,65 @@ def test_substring_dedup(spark, docs, monkeypatch):
     assert substring_dedup.deduplicated(both.limit(0)).count() == 0
 
 
+def phrase_runs(n_runs, per_run):
+    """Runs of documents that all hold a phrase of 60 words, between words of their own."""
+    phrase, turn, runs = [f"p{k}" for k in range(60)], random.Random(8), []
+    for r in range(n_runs):
+        ids = [1000 * r + k for k in range(per_run)]
+        texts = [" ".join([f"o{i}_{j}" for j in range(turn.randrange(5, 40))] + phrase + [f"e{i}_{j}" for j in range(12)]) for i in ids]
+        runs.append((ids, texts))
+    return runs
+
+
+def coverage(batches):
+    """The words that the factors among some filed rows cover, by document."""
+    out = {}
+    for batch in batches:
+        for kind, doc, payload in zip(*(batch.column(n).to_pylist() for n in ("kind", "doc_id", "payload")), strict=True):
+            if kind == substring_dedup.FACTORS:
+                for f in np.frombuffer(payload, substring_dedup._factor):
+                    assert (f["source"], f["source_begin"]) < (doc, f["begin"])
+                    out.setdefault(doc, set()).update(range(f["begin"], f["end"]))
+    return out
+
+
+def filed_rows(runs, hot=None):
+    import pyarrow as pa
+
+    rows = pa.Table.from_batches([b for ids, texts in runs for b in substring_dedup.look_through(ids, texts, hot)])
+    return rows.sort_by("key")
+
+
+@pytest.mark.parametrize("most", [0, 500, 1 << 30])
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_phrase_of_all_documents(monkeypatch, most, hot):
+    runs = phrase_runs(40, 5)
+    want = brute_removed([(i, t.split()) for ids, texts in runs for i, t in zip(ids, texts)])
+    keys = np.unique(np.concatenate([substring_dedup.RunWindows(i, [t.encode().split() for t in x]).low for i, x in runs]))
+    monkeypatch.setattr(substring_dedup, "MOST_HELD", most)
+    for size in (7, 64, 100_000):
+        batches = filed_rows(runs, keys if hot else None).to_batches(size)
+        found = coverage(substring_dedup.resolve(iter(batches)))
+        assert found == {i: gone for i, gone in want.items() if gone}
+
+
+def test_hot_keys_keep_places_small(spark):
+    """A passage that every document holds between words of its own fills places; split, it fills none."""
+    runs = phrase_runs(60, 4)
+    rows = [(i, t) for ids, texts in runs for i, t in zip(ids, texts)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    hot = substring_dedup.hot_keys(texts, 1e-6, 10)
+    assert 0 < len(hot) < 200 and (np.diff(hot.astype(object)) > 0).all()
+
+    def largest(hot):
+        filed = filed_rows(runs, hot).to_pandas()
+        blocks = filed[filed.kind == substring_dedup.BLOCK]
+        return blocks.payload.map(len).groupby(blocks.key).sum().max() // 6
+
+    # Windows that go on into the documents' own words share a key until it is split.
+    assert largest(None) > 3 * largest(hot) and largest(hot) <= 60
+
+
 def test_factors_name_their_source(spark):
     text = " ".join(f"v{k}" for k in range(50))
     rows = [(1, text), (2, "start " + text + " end"), (3, text[: text.index(" v30")] + " x " + text)]

@@ -11,7 +11,10 @@ least; the words they cover are the duplicate spans.
 
 A task resolves the windows that repeat within its own run of texts and files only first ones, so
 a passage in a third of all documents reaches the index once a run of texts and not once a
-document.
+document. Hashes under which more than ``HOT_SHARE`` of all blocks would meet are found first, in a
+pass of its own; windows under them are filed one by one under their own hashes, so no place of the
+index grows with a common phrase. What meets in a place is matched bit by bit, of which only first
+windows are kept, so a task holds no more than the distinct windows of one place.
 
 Words are runs of anything but ASCII white space. Hashes have 64 bits for the block and 48 more
 for the window. Null texts have no words. A row without an id is kept whole and no reference,
@@ -37,6 +40,12 @@ WINDOW = 20
 GRAM = 10
 #: Text that a task looks through at once, in bytes.
 RUN = 8 << 20
+#: A key is hot if it has this share of all blocks, and so many at least; there are 1 / ``HOT_SHARE`` hot keys at most.
+HOT_SHARE, HOT_LEAST = 1e-6, 100
+#: A run of texts reports its keys of so many blocks, and those of windows that repeat in it.
+REPORTED = 3
+#: Bytes of one key's windows that are held until they are matched.
+MOST_HELD = 16 << 20
 #: Up to so many ids of partly removed documents (8 bytes each) are broadcast to find their texts.
 MOST_BROADCAST = 1_000_000
 
@@ -97,44 +106,89 @@ def first_matches(group: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[
     return order[later], first[later]
 
 
-def look_through(ids: list[int | None], texts: list[str]) -> Iterator[pa.RecordBatch]:
-    """The rows that a run of texts files: its first windows in blocks, factors within it, sizes."""
+class RunWindows:
+    """The windows of a run of texts, and which of them repeat an earlier one of the run."""
+
+    def __init__(self, ids: list[int | None], words: list[list[bytes]]):
+        hashes, starts, owners, total = [], [], [], 0
+        for i, w in zip(ids, words, strict=True):
+            if i is not None and len(w) >= WINDOW:
+                hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)))
+                starts.append(total)
+                owners.append(i)
+                total += len(w)
+        whole, low = window_hashes(np.concatenate([np.zeros(0, np.uint64), *hashes]))
+        sizes = np.array([len(h) - WINDOW + 1 for h in hashes], np.int64)
+        base = np.array(starts, np.int64)
+        at = np.repeat(base - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        self.doc = np.repeat(np.array(owners, np.int64), sizes)
+        self.pos = at - np.repeat(base, sizes)
+        self.whole, self.low = whole[at], low[at]
+        self.later, self.first = first_matches(self.whole, self.doc, self.pos)
+        fresh = np.ones(len(self.whole), bool)
+        fresh[self.later] = False
+        self.kept = np.flatnonzero(fresh)
+
+    def cuts(self, kept: np.ndarray) -> np.ndarray:
+        """Where among some first windows a block begins."""
+        breaks = (
+            (np.diff(kept) != 1)
+            | (self.doc[kept[1:]] != self.doc[kept[:-1]])
+            | (self.low[kept[1:]] != self.low[kept[:-1]])
+        )
+        return np.flatnonzero(np.r_[True, breaks]) if len(kept) else np.zeros(0, np.int64)
+
+
+def reported_keys(run: RunWindows) -> pa.RecordBatch:
+    """Numbers of blocks by key, of the keys that may be hot; under key 0 that of all blocks."""
+    begins = run.kept[run.cuts(run.kept)]
+    keys, counts = np.unique(run.low[begins], return_counts=True)
+    repeated = np.isin(keys, run.low[run.first])
+    told = (counts >= REPORTED) | repeated
+    keys, counts = np.r_[np.uint64(0), keys[told]], np.r_[len(begins), counts[told]]
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "n"])
+
+
+def look_through(ids: list[int | None], texts: list[str], hot: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows that a run of texts files: its first windows in blocks, factors within it, sizes.
+
+    Windows under the ``hot`` keys (in order) are blocks of their own, under their own hashes.
+    """
     rows: list[tuple] = []
-    hashes, starts, owners, total = [], [], [], 0
-    for i, text in zip(ids, texts, strict=True):
-        words = text.encode().split()
-        digest = hashlib.sha256(b" ".join(words)).digest()
-        rows.append((DOCUMENT, xxhash.xxh3_64_intdigest(digest) >> 1, i, len(words), digest))
-        if i is not None and len(words) >= WINDOW:
-            hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
-            starts.append(total)
-            owners.append(i)
-            total += len(words)
+    words = [text.encode().split() for text in texts]
+    for i, w in zip(ids, words, strict=True):
+        digest = hashlib.sha256(b" ".join(w)).digest()
+        rows.append((DOCUMENT, xxhash.xxh3_64_intdigest(digest) >> 1, i, len(w), digest))
     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _filed_arrow)], schema=_filed_arrow)
-    if not hashes:
-        return
-    whole, low = window_hashes(np.concatenate(hashes))
-    sizes = np.array([len(h) - WINDOW + 1 for h in hashes])
-    base = np.array(starts)
-    at = np.repeat(base - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    doc = np.repeat(np.array(owners, np.int64), sizes)
-    pos = at - np.repeat(base, sizes)
-    whole, low = whole[at], low[at]
-    later, first = first_matches(whole, doc, pos)
-    fresh = np.ones(len(whole), bool)
-    fresh[later] = False
-
-    if len(later):
-        back = np.argsort(later)
-        yield filed_factors(doc, pos, later[back], first[back])
-
-    kept = np.flatnonzero(fresh)
-    breaks = (np.diff(kept) != 1) | (doc[kept[1:]] != doc[kept[:-1]]) | (low[kept[1:]] != low[kept[:-1]])
-    cuts = np.flatnonzero(np.r_[True, breaks])
-    raw = np.ascontiguousarray(whole[kept], "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-    offsets = pa.array(np.r_[cuts, len(kept)] * 6, pa.int32())
-    blocks = pa.Array.from_buffers(pa.binary(), len(cuts), [None, offsets.buffers()[1], pa.py_buffer(raw)])
-    yield filed(BLOCK, low[kept[cuts]].view(np.int64), doc[kept[cuts]], pos[kept[cuts]], blocks)
+    run = RunWindows(ids, words)
+    del words
+    if len(run.later):
+        back = np.argsort(run.later)
+        yield filed_factors(run.doc, run.pos, run.later[back], run.first[back])
+    is_hot = held_in(run.low[run.kept], hot)
+    kept = run.kept[~is_hot]
+    cuts = run.cuts(kept)
+    if len(cuts):
+        begins = kept[cuts]
+        yield filed(BLOCK, run.low[begins].view(np.int64), run.doc[begins], run.pos[begins], packed(run.whole[kept], cuts))
+    kept = run.kept[is_hot]
+    if len(kept):
+        keys = mixed(run.whole[kept] + _step * run.low[kept]).view(np.int64)
+        yield filed(BLOCK, keys, run.doc[kept], run.pos[kept], packed(run.whole[kept], np.arange(len(kept))))
+
+
+def held_in(values: np.ndarray, ordered: np.ndarray | None) -> np.ndarray:
+    """Which values are among the ordered ones."""
+    if ordered is None or not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def packed(whole: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Windows as binary values of 6 bytes each, one value for each block."""
+    raw = np.ascontiguousarray(whole, "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    offsets = pa.array(np.r_[cuts, len(whole)] * 6, pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, offsets.buffers()[1], pa.py_buffer(raw)])
 
 
 def filed_factors(doc: np.ndarray, pos: np.ndarray, later: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
@@ -158,6 +212,18 @@ def filed(kind: int, keys: np.ndarray, docs: np.ndarray, pos: np.ndarray, payloa
     )
 
 
+def unpacked(blocks: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The row, document, place and 48 bits of each window in some blocks."""
+    payload = blocks.column("payload")
+    sizes = pa.compute.binary_length(payload).to_numpy() // 6
+    raw = np.frombuffer(b"".join(payload.to_pylist()), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :6] = raw
+    row = np.repeat(np.arange(blocks.num_rows), sizes)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return row, blocks.column("doc_id").to_numpy()[row], blocks.column("pos").to_numpy()[row] + inside, wide.view("<u8")[:, 0]
+
+
 def match_blocks(blocks: pa.RecordBatch) -> pa.RecordBatch | None:
     """Factors between blocks of the same key, a row each; rows come sorted by key and keys whole."""
     key = blocks.column("key").to_numpy()
@@ -166,22 +232,13 @@ def match_blocks(blocks: pa.RecordBatch) -> pa.RecordBatch | None:
     if not len(shared):
         return None
     key = key[shared]
-    some = blocks.take(pa.array(shared))
-    payload = some.column("payload")
-    sizes = pa.compute.binary_length(payload).to_numpy() // 6
-    raw = np.frombuffer(b"".join(payload.to_pylist()), np.uint8).reshape(-1, 6)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :6] = raw
-    row = np.repeat(np.arange(len(key)), sizes)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    doc = some.column("doc_id").to_numpy()[row]
-    pos = some.column("pos").to_numpy()[row] + inside
+    row, doc, pos, windows = unpacked(blocks.take(pa.array(shared)))
     # 16 bits of the key's own number tell the keys of a batch apart beside the window's 48.
     number = np.cumsum(np.r_[0, key[1:] != key[:-1]]).astype(np.uint64)
     out = []
     for part in range(0, int(number[-1]) + 1, 1 << 16):
         within = (number[row] >= part) & (number[row] < part + (1 << 16))
-        group = ((number[row[within]] - np.uint64(part)) << np.uint64(48)) | wide.view("<u8")[within, 0]
+        group = ((number[row[within]] - np.uint64(part)) << np.uint64(48)) | windows[within]
         at = np.flatnonzero(within)
         later, first = first_matches(group, doc[at], pos[at])
         out.append((at[later], at[first]))
@@ -192,9 +249,30 @@ def match_blocks(blocks: pa.RecordBatch) -> pa.RecordBatch | None:
     return filed_factors(doc, pos, later[order], first[order])
 
 
+def first_blocks(blocks: pa.RecordBatch) -> tuple[pa.RecordBatch | None, pa.RecordBatch]:
+    """Factors between blocks that all have one key, and blocks of the windows that come first."""
+    _, doc, pos, windows = unpacked(blocks)
+    later, first = first_matches(windows, doc, pos)
+    fresh = np.ones(len(doc), bool)
+    fresh[later] = False
+    order = np.lexsort((pos[later], doc[later]))
+    factors = filed_factors(doc, pos, later[order], first[order]) if len(later) else None
+    kept = np.flatnonzero(fresh)
+    kept = kept[np.lexsort((pos[kept], doc[kept]))]
+    goes_on = (doc[kept[1:]] == doc[kept[:-1]]) & (pos[kept[1:]] == pos[kept[:-1]] + 1)
+    cuts = np.flatnonzero(np.r_[True, ~goes_on])
+    keys = np.full(len(cuts), blocks.column("key")[0].as_py())
+    return factors, filed(BLOCK, keys, doc[kept[cuts]], pos[kept[cuts]], packed(windows[kept], cuts))
+
+
 def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches the blocks of a partition sorted by key; the other rows pass."""
-    held: pa.RecordBatch | None = None
+    """Matches the blocks of a partition sorted by key; the other rows pass.
+
+    Of a key that goes on from batch to batch only first windows are kept as soon as more than
+    ``MOST_HELD`` bytes are held.
+    """
+    held: list[pa.RecordBatch] = []
+    size, most = 0, MOST_HELD
     for batch in batches:
         kind = batch.column("kind").to_numpy()
         if (kind != BLOCK).any():
@@ -202,14 +280,25 @@ def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = batch.take(pa.array(np.flatnonzero(kind == BLOCK)))
         if not batch.num_rows:
             continue
-        if held is not None:
-            batch = pa.concat_batches([held, batch])
         key = batch.column("key").to_numpy()
-        cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
-        held = batch.slice(cut)
-        if cut and (found := match_blocks(batch.slice(0, cut))) is not None:
+        last = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
+        if held and (last or held[0].column("key")[0].as_py() != key[0]):
+            whole = pa.concat_batches([*held, batch.slice(0, last)])
+            held, size, most = [], 0, MOST_HELD
+            if (found := match_blocks(whole)) is not None:
+                yield found
+        elif last and (found := match_blocks(batch.slice(0, last))) is not None:
             yield found
-    if held is not None and (found := match_blocks(held)) is not None:
+        held.append(batch.slice(last))
+        size += held[-1].column("payload").nbytes
+        if size > most:
+            found, kept = first_blocks(pa.concat_batches(held))
+            held, size = [kept], kept.column("payload").nbytes
+            # Twice what is left, so that a place of many distinct windows is not gone through too often.
+            most = max(MOST_HELD, 2 * size)
+            if found is not None:
+                yield found
+    if held and (found := match_blocks(pa.concat_batches(held))) is not None:
         yield found
 
 
@@ -245,13 +334,31 @@ def greedy_parse(factors: np.ndarray) -> np.ndarray:
     return factors[taken]
 
 
+def hot_keys(texts: DataFrame, share: float = HOT_SHARE, least: int = HOT_LEAST) -> np.ndarray:
+    """The keys, in order, that more than ``share`` of all blocks would be filed under; 1 / ``share`` at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_runs(batches, RUN):
+            words = [text.encode().split() for text in batch.column("text").to_pylist()]
+            yield reported_keys(RunWindows(batch.column("doc_id").to_pylist(), words))
+
+    counts = stored(texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "keys")
+    total = counts.where("key = 0").head(1)
+    most = max(least, share * (total[0].n if total else 0))
+    found = counts.where((F.col("key") != 0) & (F.col("n") > most)).select("key").toArrow()
+    return np.sort(found.column("key").to_numpy().view(np.uint64))
+
+
 def parse(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text): n_words, the hash of all its words joined by
     spaces, and its factors (begin, end, source, source_begin) in order; already stored."""
 
+    texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
+    hot = docs.sparkSession.sparkContext.broadcast(hot_keys(texts))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_runs(batches, RUN):
-            yield from look_through(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
+            yield from look_through(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), hot.value)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +369,6 @@ def parse(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in ("doc_id", "n_words", "digest")] + [pa.array(chosen, factors)], names=["doc_id", "n_words", "digest", "factors"])
 
     factors = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("source_begin", pa.int32())]))
-    texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     indexed = texts.mapInArrow(run, _filed).repartition("key").sortWithinPartitions("key")
     rows = stored(indexed.mapInArrow(resolve, _filed).select("kind", "doc_id", "pos", "payload"), "matches")
     sizes = rows.where(F.col("kind") == DOCUMENT).select(
