@@ -15,8 +15,8 @@ save that rows of one whole text count as one between them and a line that a tex
 where it first stands, so that copies and repeated lines are no evidence; fewer than ``SUPPORT``
 contexts are none either. Words and occurrences of terms are counted in the same lines of the
 same texts. In a context of its
-entity a term of disclosure ``GENERALISE`` or more is replaced by its kind of word, one of
-``REMOVE`` or more is left out.
+entity a term of disclosure ``GENERALISE`` or more is replaced by ``[TERM]``, one of ``REMOVE`` or
+more is left out.
 
 DataFrame operations only. Null texts are empty and hold nothing; null ids and repeated rows are
 kept, each row with its own spans; an empty table gives an empty result.
