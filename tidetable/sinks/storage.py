@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time as clock
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -48,15 +49,30 @@ def size_of(spark: SparkSession, path: str) -> int:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """The text of a small file; None if there is no such file."""
+    """The text of a small file; None if there is no such file.
+
+    A local file that is being replaced is gone for a moment, or at odds with its checksum, so it is
+    looked for again.
+    """
     fs, target = _resolve(spark, path)
-    if not fs.exists(target):
-        return None
-    stream = fs.open(target)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
+    for turn in range(_TURNS):
+        try:
+            stream = fs.open(target)
+            try:
+                return bytes(stream.readAllBytes()).decode()
+            finally:
+                stream.close()
+        except Py4JJavaError as error:
+            kind = error.java_exception.getClass().getSimpleName()
+            if kind not in ("FileNotFoundException", "ChecksumException"):
+                raise
+            if kind == "FileNotFoundException" and not fs.exists(target.getParent()):
+                return None
+        clock.sleep(0.02 * turn)
+    return None
+
+
+_TURNS = 4
 
 
 def _write(spark: SparkSession, path: str, text: str) -> None:
