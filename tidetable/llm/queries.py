@@ -225,6 +225,66 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest
     CASE WHEN coalesce(first, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (digest)""",
+    "op11_url_rules": rf"""
+WITH read AS (
+    SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url,
+        CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parts AS (
+    SELECT r, page_id, translate(url, '{_UPPER}', '{_LOWER}') AS text,
+        translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM read),
+listed AS (
+    SELECT r, max(struct_pack(size := length(h || p), rule := h || p, verdict := v)) AS l
+    FROM parts, (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS rules(v, h, p)
+    WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r),
+words AS (
+    SELECT *, list_filter(regexp_split_to_array(translate(path, '{_UPPER}', '{_LOWER}'), '[^\p{{L}}\p{{N}}]+'),
+        lambda w: w <> '') AS words
+    FROM parts),
+tokens AS (
+    SELECT r, page_id, host, path, l.rule AS rule, l.verdict AS verdict, list_distinct(list_concat(
+        list_transform(list_filter([regexp_extract(text, '^([a-z0-9+.-]*)://', 1)], lambda x: x <> ''), lambda x: 'scheme:' || x),
+        list_transform(list_filter([split_part(host, '.', -1)], lambda x: x <> ''), lambda x: 'tld:' || x),
+        list_transform(list_filter(regexp_split_to_array(host, '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''), lambda x: 'host:' || x),
+        list_transform(words, lambda w: CASE WHEN regexp_full_match(w, '[0-9]+') THEN 'path:#' ELSE 'path:' || w END),
+        list_transform(list_filter(words, lambda w: regexp_full_match(w, '[0-9]+')), lambda w: 'digit:' || w[1]),
+        list_transform(list_filter(list_transform(string_split(regexp_extract(text, '^[^?#]*\?([^#]*)', 1), '&'),
+            lambda x: split_part(x, '=', 1)), lambda x: x <> ''), lambda x: 'query:' || x),
+        CASE WHEN contains(text, '#') THEN ['fragment'] ELSE [] END)) AS tokens
+    FROM words LEFT JOIN listed USING (r)),
+totals AS (
+    SELECT n, greatest(0.01::DOUBLE, least(1::DOUBLE, 5::DOUBLE / n)) AS support, blocked::DOUBLE / n AS share FROM (
+        SELECT count(*) AS n, count(*) FILTER (WHERE verdict = 'block') AS blocked FROM tokens WHERE verdict IS NOT NULL)),
+known AS (
+    SELECT token, urls, abs(blocked::DOUBLE / urls - share) AS telling FROM (
+        SELECT token, count(*) AS urls, count(*) FILTER (WHERE verdict = 'block') AS blocked
+        FROM (SELECT verdict, unnest(tokens) AS token FROM tokens WHERE verdict IS NOT NULL) GROUP BY token), totals
+    WHERE urls >= support * n),
+kept AS (
+    SELECT r, verdict, list_sort(list(token ORDER BY telling DESC, urls DESC, token DESC)[1:8]) AS tokens
+    FROM (SELECT r, verdict, unnest(tokens) AS token FROM tokens WHERE verdict IS NOT NULL) JOIN known USING (token)
+    GROUP BY r, verdict),
+sets AS (
+    SELECT verdict, list_filter(tokens, lambda t, i: (mask >> (i - 1)) & 1 = 1) AS tokens
+    FROM kept, unnest(range(1, CAST(2 ** len(tokens) AS BIGINT))) t(mask)),
+rules AS (
+    SELECT tokens, verdict, told::DOUBLE / alone AS confidence, told::DOUBLE / n AS support FROM (
+        SELECT tokens, verdict, count(*) AS told, sum(count(*)) OVER (PARTITION BY tokens) AS alone
+        FROM sets GROUP BY tokens, verdict), totals
+    WHERE told >= ceil(totals.support * n) AND told::DOUBLE / alone >= 0.8),
+weaker AS (
+    SELECT DISTINCT a.tokens, a.verdict FROM rules a, unnest(a.tokens) u(t) JOIN rules b
+        ON b.verdict = a.verdict AND b.tokens = list_filter(a.tokens, lambda x: x <> t) AND b.confidence >= a.confidence),
+best AS (
+    SELECT r, max(struct_pack(confidence, support, size := len(m.tokens), verdict := m.verdict,
+        evidence := array_to_string(m.tokens, ' '))) AS b
+    FROM tokens t JOIN (SELECT * FROM rules ANTI JOIN weaker USING (tokens, verdict)) m ON list_has_all(t.tokens, m.tokens)
+    WHERE t.verdict IS NULL GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, b.verdict, 'allow') AS verdict, b.evidence AS evidence
+FROM tokens LEFT JOIN best USING (r)""",
     "op12_merkle_versions": f"""
 WITH RECURSIVE d AS (
     SELECT row_number() OVER () AS r, doc_id, lang, {_leaf('text')} AS leaf,
