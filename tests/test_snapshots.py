@@ -153,6 +153,22 @@ def test_files_go_after_the_grace_period(spark, db):
     assert not storage.path_exists(spark, store) and not spark.catalog.listTables(db)
 
 
+@pytest.mark.parametrize("by_day", [False, True])
+def test_what_a_lost_writer_left_is_cleared(spark, db, monkeypatch, by_day):
+    name = f"{db}.t"
+    numbered(spark, name, 2, day_partitions=by_day)
+    Steps(monkeypatch, spark, lambda what: None, fail_at=2)
+    with pytest.raises(RuntimeError, match="lost before"):
+        load_table(days(spark, 50, 53), name, "append", load_id="lost")
+    monkeypatch.undo()
+    dest = Destination.of(spark, name)
+    assert snapshots.vacuum(dest) == []
+    assert [x.split(".")[0] for x in snapshots.vacuum(dest, 0)] == ["lost"]
+    assert counts(spark, name) == {20}
+    load_table(days(spark, 50, 53), name, "append", load_id="lost")
+    assert counts(spark, name) == {23} and snapshots.vacuum(dest, 0) == []
+
+
 def test_writers_at_the_same_time(spark, db):
     name = f"{db}.t"
     load_table(days(spark, 0, 1), name, load_id="first")

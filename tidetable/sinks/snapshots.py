@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidetable.sinks.storage import child_names, create_once, delete_path, read_text
+from tidetable.sinks.storage import changed_at, child_names, create_once, delete_path, read_text
 from tidetable.sinks.tables import DAY, LOAD_ID, Destination, column_list
 
 #: The partition column of the files' table: a load's id, a dot, and what tells its runs apart.
@@ -302,6 +302,28 @@ def sweep(dest: Destination, snapshot: Snapshot | None = None) -> None:
             delete_path(spark, folder if free else x.path)
 
 
+def vacuum(dest: Destination, older_than: float = GRACE) -> list[str]:
+    """Delete the runs that lost writers left in a table's store, untouched for so many seconds; their names."""
+    spark, store = dest.spark, store_of(dest)
+    if store is None:
+        return []
+    family = [d for d in (dest, dest.rejects, dest.loaded) if d is not None]
+    now = [s for d in family if (s := current(d)) is not None]
+    named = [x.path for s in now for x in (*s.loads, *s.gone) if x.path is not None]
+    lost = []
+    for name in child_names(spark, f"{store}/runs"):
+        folder = run_folder(store, name)
+        unused = not any(p == folder or p.startswith(f"{folder}/") for p in named)
+        if unused and clock.time() - changed_at(spark, folder) >= older_than:
+            delete_path(spark, folder)
+            lost.append(name)
+    for s in now:
+        if lost and s.data.startswith(f"{dest.table}{DATA_MARK}"):
+            gone = ", ".join(_spec(name) for name in lost)
+            spark.sql(f"ALTER TABLE {dest.beside(s.data)} DROP IF EXISTS {gone}")
+    return lost
+
+
 def drop(dest: Destination) -> None:
     """Drop a table with all its versions and files."""
     spark, store = dest.spark, store_of(dest)

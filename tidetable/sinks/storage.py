@@ -42,6 +42,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def changed_at(spark: SparkSession, path: str) -> float:
+    """When something directly below ``path`` last came or went, in unix seconds."""
+    fs, target = _resolve(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``."""
     fs, target = _resolve(spark, path)

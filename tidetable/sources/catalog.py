@@ -94,7 +94,7 @@ def list_tables(
     known: list[tuple] = []
     parts: list[DataFrame] = []
     measured: list[DataFrame] = []
-    footers = isolated_session(spark, _FOOTERS)
+    footers: SparkSession | None = None
     for db, name in _table_names(spark, pattern, database):
         dest = Destination(spark, db, name)
         details = _details(spark, dest.sql)
@@ -113,7 +113,10 @@ def list_tables(
             continue
         has_time = TIME in table.columns and table.schema[TIME].dataType.typeName() in ("long", "integer")
         last = F.max(F.col(TIME)) if has_time else F.lit(None).cast("bigint")
-        plain = _of_footers(footers, table, details) if size is not None and not dest.partition_columns else None
+        plain = None
+        if size is not None and not dest.partition_columns:
+            footers = footers or isolated_session(spark, _FOOTERS)
+            plain = _of_footers(footers, table, details)
         labels = [F.lit(db).alias("db_name"), F.lit(name).alias("name")]
         if plain is not None:
             counted = plain.agg(F.count(F.lit(1)).alias("count"), last.cast("bigint").alias("last"))
