@@ -375,3 +375,11 @@ def test_write_csv(spark, tmp_path, monkeypatch):
     assert path == str(tmp_path / "out")
     back = spark.read.csv(path, header=True)
     assert sorted((r.a, r.b) for r in back.collect()) == [("1", "x,y"), ("2", None)]
+
+
+def test_files_per_load_from_many_partitions(spark, db):
+    # Rows that fill their files exactly, coming from more parts than one: no file is split.
+    df = spark.range(0, 1000, 1, 7).selectExpr("id AS a", "1 AS time")
+    load_table(df, f"{db}.t", chunk_rows=100)
+    files = spark.table(f"{db}.t").groupBy(F.input_file_name()).count()
+    assert sorted(r["count"] for r in files.collect()) == [100] * 10
