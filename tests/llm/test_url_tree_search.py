@@ -315,3 +315,15 @@ def test_empty_search(spark):
 def test_terms_in_runs():
     text = "Ab cd,EF " * 1000 + "é1 " * 50
     assert ranked_search.term_counts(text, 17) == ranked_search.term_counts(text) == Counter(t.encode() for t in brute_terms(text))
+
+
+def test_mined_rules_take_every_token(spark):
+    # a and b tell nothing alone and rank below the eight fillers, yet together they always block.
+    fillers = [f"f{i}" for i in range(8)]
+    groups = [(["a", "b"], "block"), (["a"], "allow"), (["b"], "allow"), (["g"], "block")]
+    labelled = [(sorted(extra + fillers), verdict) for extra, verdict in groups for _ in range(10)]
+    frame = spark.createDataFrame(labelled, "tokens array<string>, verdict string")
+    found = url_rules.mined_rules(frame).collect()
+    want = brute_rules(labelled, url_rules.SUPPORT, url_rules.CONFIDENCE, 100, url_rules.LEAST_URLS)
+    assert {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in found} == want
+    assert (("a", "b"), "block") in want
